@@ -156,16 +156,23 @@ def conditional_join(
     how: str = "inner",
     left_alias: str = LEFT,
     right_alias: str = RIGHT,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join on an arbitrary condition over ``left_table`` / ``right_table``.
 
     Equalities inside the condition become hash/sort-merge keys (Catalyst
     extracts them); a condition of inequalities only is planned as a
-    nested-loop join, so for point-in-interval use ``interval_join``.
+    nested-loop join, so for point-in-interval use ``interval_join``.  When
+    the join streams the left side and the right side is measured at most
+    ``max_broadcast_bytes``, the right side is broadcast: every task streams
+    its share of the left side against it, with no shuffle.
     """
     how = normalize_join_type(how)
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
-    out = left.alias(left_alias).join(right.alias(right_alias), cond, how)
+    right = right.alias(right_alias)
+    if how in _LEFT_STREAMED and fits_broadcast(right, max_broadcast_bytes):
+        right = F.broadcast(right)
+    out = left.alias(left_alias).join(right, cond, how)
     return _project(out, select_columns)
 
 
@@ -228,6 +235,7 @@ def interval_join(
     how: str = "inner",
     select_columns: Sequence[str | Column] | None = None,
     bin_width: float | None = None,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of ``points`` joined to every range with ``start <= point <= end``.
 
@@ -237,7 +245,10 @@ def interval_join(
     side under three rows per range on average while a point meets only the
     ranges of its own bin.  Each point falls into exactly one bin, so left,
     semi and anti joins keep their meaning; ranges can't be the preserved side.
-    A bin holding a third of all points is split by AQE's skew-join handling.
+    When the exploded range side is measured at most ``max_broadcast_bytes``
+    it is broadcast and the points are never shuffled; otherwise both sides
+    are shuffled on the bin, and a bin holding a third of all points is split
+    by AQE's skew-join handling.
     """
     how = normalize_join_type(how)
     if how not in _LEFT_STREAMED:
@@ -262,6 +273,8 @@ def interval_join(
             F.sequence(F.floor(_ordinal(s, ctype) / width), F.floor(_ordinal(e, ctype) / width))
         ),
     )
+    if fits_broadcast(rng, max_broadcast_bytes):
+        rng = F.broadcast(rng)
     pc = F.col(f"{LEFT}.`{point_col}`").cast(ctype)
     cond = (
         (F.col(f"{LEFT}.__tw_pbin") == F.col(f"{RIGHT}.__tw_rbin"))
@@ -299,8 +312,9 @@ def range_join(
     range condition is a large share of all pairs, so the aim is to spend work
     on matches only and to keep the join parallel:
 
-    * right side measured at most ``max_broadcast_bytes``: broadcast it; every
-      task streams its share of the left side against it (no shuffle).
+    * a side measured at most ``max_broadcast_bytes`` (right first, then left):
+      broadcast it; every task streams its share of the other side against it
+      (no shuffle).
     * otherwise: equal-width bins over the right key's ``[min, max]`` (one
       aggregate job); each left row is exploded into the bins that can hold a
       partner, each right row goes to its own bin, and the join is an equi-join
@@ -317,6 +331,9 @@ def range_join(
     if fits_broadcast(right, max_broadcast_bytes):
         out = left.alias(LEFT).join(F.broadcast(right.alias(RIGHT)), op(lcol, rcol), "inner")
         return _project(out, select_columns)
+    if fits_broadcast(left, max_broadcast_bytes):
+        out = F.broadcast(left.alias(LEFT)).join(right.alias(RIGHT), op(lcol, rcol), "inner")
+        return _project(out, select_columns)
 
     rkey = F.col(f"`{right_key}`").cast(ctype)
     lkey = F.col(f"`{left_key}`").cast(ctype)

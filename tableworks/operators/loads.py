@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tableworks.sources.tables import (
     create_table,
     qualified_name,
+    recover_interrupted_swap,
     replace_table,
     table_exists,
 )
@@ -277,6 +278,8 @@ def load_data(
     spark: SparkSession = source.sparkSession
     name = qualified_name(target_table, target_catalog)
     write_opts = {k: kwargs.pop(k) for k in ("drop_stale", "bucket_by", "num_buckets", "partition_by") if k in kwargs}
+    # Settle an interrupted swap before deciding whether the table exists.
+    recover_interrupted_swap(spark, name, drop_stale=write_opts.get("drop_stale", False))
 
     if strategy == "delete_insert":
         condition = kwargs.pop("filter_condition", None)

@@ -1,0 +1,58 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+import datetime as dt
+import decimal
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SF_SMALL
+
+TABLES = "region nation customer supplier part orders lineitem events".split()
+
+
+def _norm(v):
+    if isinstance(v, decimal.Decimal):
+        return float(v)
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 6)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def _sorted(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    rows = df.collect()
+    res = duck.execute(entry.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(dcols)
+    assert _sorted(rows, df.columns) == _sorted(res.fetchall(), dcols)
+
+
+def test_entry_runs(spark):
+    out = entry.entry(spark)
+    assert out.columns == ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "total_amount"]
+    assert out.count() > 0
