@@ -104,26 +104,65 @@ def equi_join(
     join_keys: KeySpec,
     how: str = "inner",
     select_columns: Sequence[str | Column] | None = None,
+    split_full_outer: bool = True,
 ) -> DataFrame:
     """Join on equal keys.
 
     ``join_keys`` entries are a column name present on both sides (joined
     ``USING``-style: one key column in the output, the coalesced key for a full
     outer join) or a ``(left_name, right_name)`` pair (both columns kept).
+    A full outer join runs as ``full_outer_split`` so a hot key can be split;
+    ``split_full_outer=False`` keeps Spark's single full outer join (one shuffle
+    per side) for keys known to be unique on both sides.
     """
     how = normalize_join_type(how)
-    pairs = _key_pairs(join_keys)
-    lt, rt = left.alias(LEFT), right.alias(RIGHT)
-    if all(lk == rk for lk, rk in pairs):
-        out = lt.join(rt, [lk for lk, _ in pairs], how)
-    else:
-        cond = reduce(
-            operator.and_, [_qualified(LEFT, lk) == _qualified(RIGHT, rk) for lk, rk in pairs]
-        )
-        out = lt.join(rt, cond, how)
+    on = _join_on(_key_pairs(join_keys))
+    if how == "full_outer" and split_full_outer:
+        return full_outer_split(left, right, on, lambda joined: _project(joined, select_columns))
+    out = left.alias(LEFT).join(right.alias(RIGHT), on, how)
     return _project(out, select_columns)
 
 
+def _join_on(pairs: list[tuple[str, str]]) -> list[str] | Column:
+    """Key names for a ``USING`` join, or an equality condition over the aliases."""
+    if all(lk == rk for lk, rk in pairs):
+        return [lk for lk, _ in pairs]
+    return reduce(operator.and_, [_qualified(LEFT, lk) == _qualified(RIGHT, rk) for lk, rk in pairs])
+
+
+def full_outer_split(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str] | Column,
+    project: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+) -> DataFrame:
+    """Full outer join as matched ∪ left-only ∪ right-only.
+
+    AQE can split a skewed partition of an inner or anti join but not of a full
+    outer join, so a key holding a third of one side would otherwise land in one
+    task.  The three parts are an inner join and two anti joins, each of which
+    AQE splits; both sides are shuffled once (the exchanges are reused).  The
+    unmatched parts are joined back to an empty copy of the other side, which
+    the optimizer folds into NULL columns, so every part has the same columns
+    under the same ``left_table`` / ``right_table`` aliases and ``project``
+    (e.g. a ``select`` with qualified names) applies to each part alike.
+
+    Cost: each side is shuffled once per part that reads it (the parts prune
+    and filter differently, so exchanges are not shared): about twice the
+    shuffle of one full outer join, in exchange for no unsplittable task.
+    """
+    lt, rt = left.alias(LEFT), right.alias(RIGHT)
+    matched = lt.join(rt, on, "inner")
+    left_only = (
+        lt.join(rt, on, "left_anti").alias(LEFT).join(right.where(F.lit(False)).alias(RIGHT), on, "left")
+    )
+    right_only = left.where(F.lit(False)).alias(LEFT).join(
+        rt.join(lt, on, "left_anti").alias(RIGHT), on, "right"
+    )
+    parts = [project(p) for p in (matched, left_only, right_only)]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def inner_join(left, right, join_keys, select_columns=None):
     return equi_join(left, right, join_keys, "inner", select_columns)
 
@@ -418,9 +457,13 @@ def coalesce_join(
     join_keys: Sequence[str],
     coalesce_columns: dict[str, Sequence[str]],
     how: str = "full_outer",
+    split_full_outer: bool = True,
 ) -> DataFrame:
     """Full outer join on ``join_keys`` that prefers left values, then right.
 
+    The full outer join runs as ``full_outer_split`` (skewed keys can be split)
+    unless ``split_full_outer`` is false.
+
     ``coalesce_columns`` maps an output name to ``[left_column, right_column]``
     (plain names are looked up on their own side).  Output: the keys, every
     other column (a column on both sides is coalesced the same way, left
@@ -428,7 +471,6 @@ def coalesce_join(
     """
     how = normalize_join_type(how)
     keys = list(join_keys)
-    joined = left.alias(LEFT).join(right.alias(RIGHT), keys, how)
     outputs = dict(coalesce_columns)
     cols: list[Column] = [F.col(f"`{k}`") for k in keys]
     seen = set(keys) | set(outputs)
@@ -448,7 +490,9 @@ def coalesce_join(
     for out_name, pair in outputs.items():
         lname, rname = pair
         cols.append(F.coalesce(_side(LEFT, lname), _side(RIGHT, rname)).alias(out_name))
-    return joined.select(*cols)
+    if how == "full_outer" and split_full_outer:
+        return full_outer_split(left, right, keys, lambda joined: joined.select(*cols))
+    return left.alias(LEFT).join(right.alias(RIGHT), keys, how).select(*cols)
 
 
 def broadcast_join(

@@ -1,9 +1,8 @@
 """Size checks that stand behind every explicit broadcast.
 
-A side is broadcast only when a bounded job has measured it: the job reads at
-most ``max_rows + 1`` rows (a per-partition limit), so it costs little even when
-the side turns out to be huge, and the answer is a measured byte count, not an
-optimizer estimate.
+A side is broadcast only when bounded jobs have measured it: they read about
+``max_rows + 1`` rows at most, so they cost little even when the side turns out
+to be huge, and the answer is a measured byte count, not an optimizer estimate.
 """
 
 from __future__ import annotations
@@ -43,24 +42,22 @@ def row_bytes(df: DataFrame) -> Column:
 def measured_size(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int | None:
     """Exact byte size of ``df`` if it is at most ``max_bytes``, else ``None``.
 
-    Reads at most ``max_bytes // row_floor + 1`` rows, where ``row_floor`` is
-    the fixed part of a row: a frame with more rows than that is certainly
-    bigger than ``max_bytes``.
+    Two bounded jobs.  First ``offset(max_rows).take(1)``: Spark's collect-limit
+    scans partitions incrementally (one, then more) and stops once
+    ``max_rows + 1`` rows are seen, so a huge frame costs about ``max_rows``
+    rows of reading, where ``max_rows = max_bytes // row_floor`` and
+    ``row_floor`` is the fixed part of a row.  Only then, with the row count
+    proven small, one aggregate sums the real row sizes.
     """
     if max_bytes <= 0:
         return None
     ncols = max(len(df.columns), 1)
     row_floor = _WORD * (ncols + (ncols + 63) // 64)
     max_rows = max_bytes // row_floor
-    probe = (
-        df.limit(max_rows + 1)
-        .select(row_bytes(df).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"))
-        .collect()[0]
-    )
-    if probe["n"] > max_rows:
+    if df.select(F.lit(1).alias("one")).offset(max_rows).take(1):
         return None
-    size = int(probe["bytes"] or 0)
+    size = df.agg(F.sum(row_bytes(df)).alias("bytes")).collect()[0]["bytes"]
+    size = int(size or 0)
     return size if size <= max_bytes else None
 
 

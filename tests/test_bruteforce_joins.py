@@ -105,3 +105,25 @@ def test_interval_join_preserves_points_only(spark):
     df = spark.createDataFrame([(1, 1, 2)], "p int, s int, e int")
     with pytest.raises(ValueError, match="point side"):
         interval_join(df, df, "p", "s", "e", how="right")
+
+
+@pytest.mark.parametrize("keys", [["k"], [("k", "k2")]])
+def test_split_full_outer_equals_full_outer(spark, keys):
+    from tableworks import coalesce_join, equi_join
+
+    rng = random.Random(5)
+    left = [(None if rng.random() < 0.1 else rng.choice([0, 0, 0, 1, 2, 3]), f"l{i}") for i in range(40)]
+    right = [(None if rng.random() < 0.1 else rng.choice([0, 2, 4, 5]), f"r{i}") for i in range(30)]
+    ldf = spark.createDataFrame(left, "k int, lv string")
+    rdf = spark.createDataFrame(right, "k int, rv string")
+    if keys != ["k"]:
+        rdf = rdf.withColumnRenamed("k", "k2")
+    split = equi_join(ldf, rdf, keys, "full_outer")
+    single = equi_join(ldf, rdf, keys, "full_outer", split_full_outer=False)
+    assert split.columns == single.columns
+    assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, single.collect()), key=str)
+    if keys == ["k"]:
+        spec = {"v": ["lv", "rv"]}
+        a = coalesce_join(ldf, rdf, ["k"], spec)
+        b = coalesce_join(ldf, rdf, ["k"], spec, split_full_outer=False)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
