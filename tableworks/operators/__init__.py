@@ -25,8 +25,10 @@ from tableworks.operators.loads import (
     check_unique_keys,
     create_history_table,
     delete_insert,
+    delete_insert_partitions,
     load_data,
     merge_upsert,
+    merge_upsert_partitions,
     scd2_apply,
     scd2_current,
     scd2_history,
@@ -45,6 +47,7 @@ __all__ = [
     "conditional_join",
     "create_history_table",
     "delete_insert",
+    "delete_insert_partitions",
     "equi_join",
     "fits_broadcast",
     "full_outer_join",
@@ -57,6 +60,7 @@ __all__ = [
     "load_data",
     "measured_size",
     "merge_upsert",
+    "merge_upsert_partitions",
     "multi_table_join",
     "normalize_join_type",
     "range_join",

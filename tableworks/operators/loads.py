@@ -15,6 +15,7 @@ collected whole to the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import operator
 from collections.abc import Sequence
 from functools import reduce
@@ -23,9 +24,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from tableworks.sources.tables import (
     create_table,
+    drop_partitions,
+    overwrite_partitions,
+    partition_columns,
     qualified_name,
     recover_interrupted_swap,
     replace_table,
@@ -252,6 +257,120 @@ def scd2_history(history: DataFrame, business_keys: Sequence[str]) -> DataFrame:
     return history.orderBy(*business_keys, EFFECTIVE_DATE)
 
 
+# ---------------------------------------------------------------------------
+# partition-scoped loads: rewrite only the partitions a load touches
+
+# Up to this many distinct source partitions are turned into a literal filter
+# on the target's partition columns, which Spark applies to the file listing
+# (static partition pruning).  Above it the touched partitions are selected by
+# a null-safe semi join with the source's partition values instead: the
+# result is the same, the target is just read in full.
+MAX_LITERAL_PARTITIONS = 1000
+
+
+def _null_safe_on(pcols: Sequence[str], left: str, right: str) -> Column:
+    return reduce(
+        operator.and_, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in pcols]
+    )
+
+
+def source_partitions(target: DataFrame, source: DataFrame, pcols: Sequence[str]) -> DataFrame:
+    """Distinct partition values of ``source``, typed as the target's partition columns."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return source.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in pcols]).distinct()
+
+
+def touched_partitions(
+    target: DataFrame,
+    source: DataFrame,
+    pcols: Sequence[str],
+    max_literal: int = MAX_LITERAL_PARTITIONS,
+) -> DataFrame:
+    """Rows of ``target`` in the partitions ``source`` has rows for.
+
+    One bounded job lists at most ``max_literal + 1`` distinct source partition
+    values; if that is all of them they become a partition filter, so only
+    those partitions' files are listed and read.  Otherwise the rows are
+    selected by a semi join (same rows, full read of the target).
+    """
+    parts = source_partitions(target, source, pcols)
+    values = parts.take(max_literal + 1)
+    if len(values) > max_literal:
+        return target.alias("t").join(parts.alias("p"), _null_safe_on(pcols, "t", "p"), "left_semi")
+    if not values:
+        return target.where(F.lit(False))
+    if len(pcols) == 1:
+        c = pcols[0]
+        present = [r[c] for r in values if r[c] is not None]
+        pred = F.col(f"`{c}`").isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            pred = pred | F.col(f"`{c}`").isNull()
+        return target.where(pred)
+    pred = reduce(
+        operator.or_,
+        [reduce(operator.and_, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in pcols]) for r in values],
+    )
+    return target.where(pred)
+
+
+def _only_over(columns: Sequence[str], target: DataFrame, condition: Column) -> bool:
+    """Whether ``condition`` resolves over ``columns`` of ``target`` alone."""
+    spark = target.sparkSession
+    schema = T.StructType([target.schema[c] for c in columns])
+    # PySpark logs every analysis error it raises; this one is an expected answer.
+    quiet = logging.getLogger("SQLQueryContextLogger")
+    was_disabled, quiet.disabled = quiet.disabled, True
+    try:
+        spark.createDataFrame([], schema).where(condition)
+    except AnalysisException:  # unresolved column: the condition reads other columns
+        return False
+    finally:
+        quiet.disabled = was_disabled
+    return True
+
+
+def delete_insert_partitions(
+    name: str, source: DataFrame, filter_condition: str | Column, pcols: Sequence[str]
+) -> DataFrame:
+    """``delete_insert`` for a condition over partition columns only.
+
+    Such a condition deletes whole partitions.  The partitions the source has
+    rows for are rewritten as (their rows not deleted) + (their source rows);
+    partitions the condition deletes and the source does not refill are
+    dropped from the catalog afterwards; all others are not touched.
+    """
+    spark = source.sparkSession
+    target = spark.table(name)
+    cond = _as_condition(filter_condition)
+    emptied = (
+        target.where(F.coalesce(cond, F.lit(False)))
+        .select(*pcols)
+        .distinct()
+        .alias("d")
+        .join(source_partitions(target, source, pcols).alias("s"), _null_safe_on(pcols, "d", "s"), "left_anti")
+    )
+    # Partition specs only: catalog metadata, one small row per partition.
+    specs = [{c: r[c] for c in pcols} for r in emptied.collect()]
+    overwrite_partitions(delete_insert(touched_partitions(target, source, pcols), source, cond), name)
+    drop_partitions(spark, name, specs)
+    return spark.table(name)
+
+
+def merge_upsert_partitions(
+    name: str, source: DataFrame, merge_keys: Sequence[str], pcols: Sequence[str]
+) -> DataFrame:
+    """``merge_upsert`` when the partition columns are among the merge keys.
+
+    A key then fixes its partition, so only the partitions the source has
+    rows for can change: they are rewritten as (their rows whose key is not in
+    the source) + (their source rows), and no other partition is read or
+    written.
+    """
+    spark = source.sparkSession
+    target = spark.table(name)
+    return overwrite_partitions(merge_upsert(touched_partitions(target, source, pcols), source, merge_keys), name)
+
+
 # ---------------------------------------------------------------------------
 # dispatch: read -> pure transform -> staged write
 
@@ -272,21 +391,34 @@ def load_data(
     A missing table is created from the (prepared) source.  Other keyword
     arguments go to ``replace_table`` (``drop_stale``, ``bucket_by``,
     ``num_buckets``, ``partition_by``).  Returns a fresh scan of the table.
+
+    On a partitioned table two loads rewrite only the partitions they touch
+    (``partition_scoped=False`` forces the whole-table swap): a delete+insert
+    whose condition reads partition columns only, and a merge/upsert whose
+    keys include every partition column.  Everything else rewrites the whole
+    table through the staged swap.
     """
     if strategy not in LOAD_STRATEGIES:
         raise ValueError(f"unknown loading strategy {strategy!r}; use one of {LOAD_STRATEGIES}")
     spark: SparkSession = source.sparkSession
     name = qualified_name(target_table, target_catalog)
     write_opts = {k: kwargs.pop(k) for k in ("drop_stale", "bucket_by", "num_buckets", "partition_by") if k in kwargs}
+    scoped = kwargs.pop("partition_scoped", True)
     # Settle an interrupted swap before deciding whether the table exists.
     recover_interrupted_swap(spark, name, drop_stale=write_opts.get("drop_stale", False))
+    exists = table_exists(spark, name)
+    pcols = partition_columns(spark, name) if exists and scoped else []
 
     if strategy == "delete_insert":
         condition = kwargs.pop("filter_condition", None)
         _no_extra(kwargs)
-        if not table_exists(spark, name):
+        if not exists:
             return replace_table(source, name, **write_opts)
-        return replace_table(delete_insert(spark.table(name), source, condition), name, **write_opts)
+        target = spark.table(name)
+        if pcols and condition is not None and _only_over(pcols, target, _as_condition(condition)):
+            _same_columns(target, source)
+            return delete_insert_partitions(name, source, condition, pcols)
+        return replace_table(delete_insert(target, source, condition), name, **write_opts)
 
     if strategy == "merge_upsert":
         keys = kwargs.pop("merge_keys", None)
@@ -294,8 +426,10 @@ def load_data(
         if not keys:
             raise ValueError("merge_keys must be provided for merge/upsert")
         check_unique_keys(source, keys)
-        if not table_exists(spark, name):
+        if not exists:
             return replace_table(source, name, **write_opts)
+        if pcols and set(pcols) <= set(keys):
+            return merge_upsert_partitions(name, source, keys, pcols)
         return replace_table(merge_upsert(spark.table(name), source, keys), name, **write_opts)
 
     keys = kwargs.pop("business_keys", None)
@@ -305,7 +439,7 @@ def load_data(
         raise ValueError("business_keys must be provided for SCD type 2")
     if effective_date is None:  # pin one instant for the whole load
         effective_date = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    if not table_exists(spark, name):
+    if not exists:
         check_unique_keys(source, keys)
         return replace_table(scd2_initial(source, effective_date), name, **write_opts)
     return replace_table(scd2_apply(spark.table(name), source, keys, effective_date), name, **write_opts)

@@ -5,6 +5,9 @@ from tableworks.sources.tables import (
     TableStateError,
     append_table,
     create_table,
+    drop_partitions,
+    overwrite_partitions,
+    partition_columns,
     qualified_name,
     read_table,
     recover_interrupted_swap,
@@ -18,6 +21,9 @@ __all__ = [
     "TableStateError",
     "append_table",
     "create_table",
+    "drop_partitions",
+    "overwrite_partitions",
+    "partition_columns",
     "qualified_name",
     "read_table",
     "recover_interrupted_swap",

@@ -47,6 +47,12 @@ def _check_columns(columns: list[str], target_columns: list[str], name: str) ->
         )
 
 
+# Table option under which an overwrite of a partitioned file-source table
+# replaces only the partitions the written rows fall into (Spark's data source
+# option ``partitionOverwriteMode``; kept with the table, not the session).
+DYNAMIC_OVERWRITE = ("partitionOverwriteMode", "dynamic")
+
+
 def _create(
     df: DataFrame,
     name: str,
@@ -57,7 +63,7 @@ def _create(
 ) -> None:
     writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option(*DYNAMIC_OVERWRITE)
     if bucket_by:
         writer = writer.bucketBy(num_buckets or 10, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(name)
@@ -71,7 +77,11 @@ def create_table(
     num_buckets: int | None = None,
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """Create ``name`` from ``df``; fails if it already exists."""
+    """Create ``name`` from ``df``; fails if it already exists.
+
+    A partitioned table is created with dynamic partition overwrite as its own
+    option, so ``overwrite_partitions`` can later replace single partitions.
+    """
     _create(df, name, bucket_by=bucket_by, num_buckets=num_buckets, partition_by=partition_by)
     return df.sparkSession.table(name)
 
@@ -175,6 +185,58 @@ def replace_table(
     return spark.table(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """Partition columns of a catalog table, in table order (empty if none)."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def overwrite_partitions(df: DataFrame, name: str) -> DataFrame:
+    """Replace the partitions of ``name`` that ``df`` has rows for.
+
+    Partitions without rows in ``df`` are neither read nor rewritten, so a
+    load touching one day of a partitioned fact table costs that day, not the
+    table.  ``df`` may read ``name`` itself: Spark writes the new partitions
+    into a staging folder under the table and moves them in at job commit, so
+    a lost executor only retries its tasks and a failed job leaves every
+    partition as it was.  Session-catalog file tables get the dynamic-overwrite
+    table option set (a metadata change, idempotent); V2 catalogs use
+    ``overwritePartitions``.  Returns a fresh scan of the table.
+    """
+    spark = df.sparkSession
+    if not partition_columns(spark, name):
+        raise ValueError(f"table {name} is not partitioned")
+    target_columns = spark.table(name).columns
+    _check_columns(df.columns, target_columns, name)
+    ordered = df.select(*target_columns)
+    if _is_session_catalog(name):
+        key, value = DYNAMIC_OVERWRITE
+        spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('{key}' = '{value}')")
+        ordered.write.insertInto(name, overwrite=True)
+    else:
+        ordered.writeTo(name).overwritePartitions()
+    return spark.table(name)
+
+
+def _sql_literal(value: object) -> str:
+    if value is None:  # the NULL partition (Hive's default partition)
+        return "null"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def drop_partitions(spark: SparkSession, name: str, specs: list[dict[str, object]]) -> None:
+    """Drop the partitions given as ``{column: value}`` specs (missing ones are skipped)."""
+    for start in range(0, len(specs), 500):
+        parts = ", ".join(
+            "PARTITION (" + ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in spec.items()) + ")"
+            for spec in specs[start : start + 500]
+        )
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
 def write_bucketed(
     df: DataFrame,
     name: str,
