@@ -17,6 +17,8 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def final_plan_text(df: DataFrame) -> str:
-    """Plan after running ``df`` once, so adaptive decisions are visible."""
-    df.write.format("noop").mode("overwrite").save()
+    """Plan after running ``df`` once through its own query execution, so the
+    adaptive decisions (skew splits, broadcasts, coalescing) are visible.
+    Collects ``df``: for tests on small frames only."""
+    df.collect()
     return plan_text(df)
