@@ -30,6 +30,7 @@ from tableworks.operators.loads import (
     merge_upsert,
     merge_upsert_partitions,
     scd2_apply,
+    scd2_apply_partitions,
     scd2_current,
     scd2_history,
     scd2_initial,
@@ -66,6 +67,7 @@ __all__ = [
     "range_join",
     "right_join",
     "scd2_apply",
+    "scd2_apply_partitions",
     "scd2_current",
     "scd2_history",
     "scd2_initial",

@@ -371,6 +371,26 @@ def merge_upsert_partitions(
     return overwrite_partitions(merge_upsert(touched_partitions(target, source, pcols), source, merge_keys), name)
 
 
+def scd2_apply_partitions(
+    name: str,
+    source: DataFrame,
+    business_keys: Sequence[str],
+    effective_date: _dt.datetime | _dt.date | str,
+    pcols: Sequence[str],
+) -> DataFrame:
+    """``scd2_apply`` when the partition columns are among the business keys.
+
+    Keys absent from the source keep all their versions, and a key never
+    leaves its partition, so only partitions the source has rows for change;
+    each of them still has rows afterwards (the source row's version, new or
+    unchanged), so overwriting exactly those partitions is the whole update.
+    """
+    spark = source.sparkSession
+    history = spark.table(name)
+    touched = touched_partitions(history, source, pcols)
+    return overwrite_partitions(scd2_apply(touched, source, business_keys, effective_date), name)
+
+
 # ---------------------------------------------------------------------------
 # dispatch: read -> pure transform -> staged write
 
@@ -392,11 +412,11 @@ def load_data(
     arguments go to ``replace_table`` (``drop_stale``, ``bucket_by``,
     ``num_buckets``, ``partition_by``).  Returns a fresh scan of the table.
 
-    On a partitioned table two loads rewrite only the partitions they touch
+    On a partitioned table these loads rewrite only the partitions they touch
     (``partition_scoped=False`` forces the whole-table swap): a delete+insert
-    whose condition reads partition columns only, and a merge/upsert whose
-    keys include every partition column.  Everything else rewrites the whole
-    table through the staged swap.
+    whose condition reads partition columns only, and a merge/upsert or SCD
+    type 2 load whose keys include every partition column.  Everything else
+    rewrites the whole table through the staged swap.
     """
     if strategy not in LOAD_STRATEGIES:
         raise ValueError(f"unknown loading strategy {strategy!r}; use one of {LOAD_STRATEGIES}")
@@ -442,6 +462,8 @@ def load_data(
     if not exists:
         check_unique_keys(source, keys)
         return replace_table(scd2_initial(source, effective_date), name, **write_opts)
+    if pcols and set(pcols) <= set(keys):
+        return scd2_apply_partitions(name, source, keys, effective_date, pcols)
     return replace_table(scd2_apply(spark.table(name), source, keys, effective_date), name, **write_opts)
 
 

@@ -131,3 +131,46 @@ def test_whole_table_path_still_available(spark, fresh):
     assert rows_of(out) == rows_of(spark.createDataFrame([(2, "b", "d2", 1), (3, "c", "d1", 1)], SCHEMA))
     assert partition_columns(spark, name) == ["day"]
     assert out.where(F.col("day") == "d1").count() == 1
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_scoped_scd2_equals_whole_table_scd2(spark, fresh, seed):
+    import datetime as dt
+
+    from tableworks import scd2_apply, scd2_initial
+
+    rng = random.Random(seed)
+    days = ["d1", "d2", "d3"]
+
+    def batch(n, keys):
+        rows = {(k, d): (k, rng.choice(["a", "b", None]), d, rng.choice([1, 2])) for k, _, d, _ in
+                random_rows(rng, n, keys, days, False)}
+        return spark.createDataFrame(list(rows.values()), SCHEMA)
+
+    first, second, third = batch(30, range(15)), batch(12, range(25)), batch(12, range(25))
+    t1, t2, t3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
+    keys = ["day", "k"]
+    expected = scd2_apply(scd2_apply(scd2_initial(first, t1), second, keys, t2), third, keys, t3)
+    name = fresh("scd")
+    load_data(first, name, "scd_type2", business_keys=keys, effective_date=t1, partition_by=["day"])
+    untouched = files_of(spark, name, "day = 'd9'")
+    load_data(second, name, "scd_type2", business_keys=keys, effective_date=t2)
+    out = load_data(third, name, "scd_type2", business_keys=keys, effective_date=t3)
+    assert partition_columns(spark, name) == ["day"]
+    assert rows_of(out) == rows_of(expected)
+    assert untouched == set()
+
+
+def test_scoped_scd2_leaves_other_partitions_alone(spark, fresh):
+    import datetime as dt
+
+    rows = [(i, "a", d, 1) for i, d in enumerate(["d1", "d2", "d3"] * 3)]
+    name = fresh("scd_keep")
+    load_data(spark.createDataFrame(rows, SCHEMA), name, "scd_type2", business_keys=["day", "k"],
+              effective_date=dt.datetime(2024, 1, 1), partition_by=["day"])
+    before = files_of(spark, name, "day = 'd3'")
+    src = spark.createDataFrame([(0, "changed", "d1", 1)], SCHEMA)
+    out = load_data(src, name, "scd_type2", business_keys=["day", "k"], effective_date=dt.datetime(2024, 2, 1))
+    assert files_of(spark, name, "day = 'd3'") == before
+    assert out.count() == len(rows) + 1
+    assert out.where("k = 0 AND is_current").first()["v"] == "changed"
