@@ -244,18 +244,27 @@ def write_bucketed(
     num_buckets: int = 10,
     *,
     sort: bool = True,
+    files_per_bucket: int | None = None,
 ) -> DataFrame:
     """Write ``df`` as a table bucketed (and sorted) on ``bucket_columns``.
 
-    The frame is first hash-partitioned into exactly ``num_buckets`` partitions
-    on the bucket columns; Spark's bucket id is the same Murmur3 hash, so each
-    task writes one file per bucket and the sort order inside the bucket
-    survives, letting a later sort-merge join skip both the exchange and the
-    sort.  Two tables joined on their bucket columns need the same bucket count.
+    The frame is hash-partitioned on the bucket columns into
+    ``num_buckets * files_per_bucket`` partitions.  Spark's bucket id is the
+    same Murmur3 hash modulo ``num_buckets``, so partition ``p`` holds rows of
+    bucket ``p % num_buckets`` only: every task writes one sorted file of one
+    bucket, and each bucket is written by ``files_per_bucket`` tasks in
+    parallel instead of one.  The default takes the write parallelism from the
+    session (``spark.sql.shuffle.partitions // num_buckets``, at least 1), so a
+    cluster sized for its data does not funnel a 10-bucket table through 10
+    tasks.  Joins on the bucket columns of two tables with the same bucket
+    count skip the exchange whatever the number of files per bucket.
     """
     if not bucket_columns:
         raise ValueError("bucket_columns must not be empty")
-    writer = df.repartition(num_buckets, *bucket_columns).write.bucketBy(
+    if files_per_bucket is None:
+        shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        files_per_bucket = max(shuffle_partitions // num_buckets, 1)
+    writer = df.repartition(num_buckets * max(int(files_per_bucket), 1), *bucket_columns).write.bucketBy(
         num_buckets, *bucket_columns
     )
     if sort:

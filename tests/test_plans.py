@@ -67,6 +67,32 @@ def test_bucketed_join_has_no_exchange(spark, fresh):
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize("files_per_bucket", [1, 3])
+def test_bucketed_write_one_bucket_per_file(spark, fresh, files_per_bucket):
+    """Each written file holds one bucket; several files per bucket still join
+    without an exchange, and the join result is unchanged."""
+    import re
+
+    customer, orders = w.table(spark, SF_SMALL, "customer"), w.table(spark, SF_SMALL, "orders")
+    lt, rt = fresh("bc"), fresh("bo")
+    left = write_bucketed(customer, lt, ["c_custkey"], 4, files_per_bucket=files_per_bucket)
+    write_bucketed(orders, rt, ["o_custkey"], 4, files_per_bucket=files_per_bucket)
+    # file name: part-<task>-<uuid>_<bucket>.c000...: one bucket per task
+    names = [re.search(r"part-(\d{5})-.*_(\d{5})\.c\d+", f).groups() for f in left.inputFiles()]
+    tasks = {}
+    for task, bucket in names:
+        tasks.setdefault(task, set()).add(bucket)
+    assert all(len(b) == 1 for b in tasks.values())
+    assert len({b for _, b in names}) == 4
+    assert len(names) == 4 * files_per_bucket
+    with conf(spark, **NO_AUTO_BROADCAST):
+        joined = bucketed_join(spark, lt, rt, [("c_custkey", "o_custkey")])
+        plan = plan_text(joined)
+        assert "Exchange" not in plan
+        expected = customer.join(orders, F.col("c_custkey") == F.col("o_custkey")).count()
+        assert joined.count() == expected
+
+
 def test_bucket_count_mismatch_needs_exchange(spark, fresh):
     customer, orders = w.table(spark, SF_SMALL, "customer"), w.table(spark, SF_SMALL, "orders")
     lt, rt = fresh("bc"), fresh("bo")
