@@ -116,9 +116,10 @@ def equi_join(
     per side) for keys known to be unique on both sides.
     """
     how = normalize_join_type(how)
-    on = _join_on(_key_pairs(join_keys))
+    pairs = _key_pairs(join_keys)
+    on = _join_on(pairs)
     if how == "full_outer" and split_full_outer:
-        return full_outer_split(left, right, on, lambda joined: _project(joined, select_columns))
+        return full_outer_split(left, right, on, lambda joined: _project(joined, select_columns), pairs)
     out = left.alias(LEFT).join(right.alias(RIGHT), on, how)
     return _project(out, select_columns)
 
@@ -135,30 +136,48 @@ def full_outer_split(
     right: DataFrame,
     on: list[str] | Column,
     project: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+    key_pairs: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Full outer join as matched ∪ left-only ∪ right-only.
 
     AQE can split a skewed partition of an inner or anti join but not of a full
     outer join, so a key holding a third of one side would otherwise land in one
     task.  The three parts are an inner join and two anti joins, each of which
-    AQE splits; both sides are shuffled once (the exchanges are reused).  The
-    unmatched parts are joined back to an empty copy of the other side, which
-    the optimizer folds into NULL columns, so every part has the same columns
-    under the same ``left_table`` / ``right_table`` aliases and ``project``
-    (e.g. a ``select`` with qualified names) applies to each part alike.
-
-    Cost: each side is shuffled once per part that reads it (the parts prune
-    and filter differently, so exchanges are not shared): about twice the
-    shuffle of one full outer join, in exchange for no unsplittable task.
+    AQE splits.  The unmatched parts are joined back to an empty copy of the
+    other side, which the optimizer folds into NULL columns, so every part has
+    the same columns under the same ``left_table`` / ``right_table`` aliases
+    and ``project`` (e.g. a ``select`` with qualified names) applies to each
+    part alike.
+
+    Shuffle cost: rows with a NULL key can never match, so they are set aside
+    first (no shuffle) and all three joins read the same NULL-free inputs.  The
+    inner join and the anti join that keeps a side then read identical
+    subtrees, and Spark reuses that side's exchange; the other input of each
+    anti join is its key columns only.  So each side is shuffled once in full
+    plus once as keys: close to a single full outer join, with no unsplittable
+    task.
     """
-    lt, rt = left.alias(LEFT), right.alias(RIGHT)
+    if key_pairs is None:
+        if not isinstance(on, list):
+            raise ValueError("key_pairs is needed when on is a condition")
+        key_pairs = [(k, k) for k in on]
+    lkeys = [lk for lk, _ in key_pairs]
+    rkeys = [rk for _, rk in key_pairs]
+
+    def split(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+        all_set = reduce(operator.and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+        return df.where(all_set), df.where(~all_set)
+
+    left_nn, left_null = split(left, lkeys)
+    right_nn, right_null = split(right, rkeys)
+    lt, rt = left_nn.alias(LEFT), right_nn.alias(RIGHT)
     matched = lt.join(rt, on, "inner")
-    left_only = (
-        lt.join(rt, on, "left_anti").alias(LEFT).join(right.where(F.lit(False)).alias(RIGHT), on, "left")
-    )
-    right_only = left.where(F.lit(False)).alias(LEFT).join(
-        rt.join(lt, on, "left_anti").alias(RIGHT), on, "right"
-    )
+    left_rows = lt.join(right_nn.select(*rkeys).alias(RIGHT), on, "left_anti").unionByName(left_null)
+    # ``on`` names columns through the aliases, so it reads the same with the
+    # right side streamed.
+    right_rows = rt.join(left_nn.select(*lkeys).alias(LEFT), on, "left_anti").unionByName(right_null)
+    left_only = left_rows.alias(LEFT).join(right.where(F.lit(False)).alias(RIGHT), on, "left")
+    right_only = left.where(F.lit(False)).alias(LEFT).join(right_rows.alias(RIGHT), on, "right")
     parts = [project(p) for p in (matched, left_only, right_only)]
     return parts[0].union(parts[1]).union(parts[2])
 

@@ -154,3 +154,19 @@ def test_order_amounts_aggregates_before_the_join(spark):
     # the join reuses the aggregate's hash partitioning: 2 hash exchanges + 1 range (sort)
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("Exchange rangepartitioning") == 1
+
+
+def test_split_full_outer_reuses_side_exchanges(spark):
+    """The inner part and each anti part read the same NULL-free side, so each
+    side is shuffled once in full (reused) plus once as keys only."""
+    from tableworks import equi_join
+    from tableworks.plans.inspect import final_plan_text
+
+    customer = w.table(spark, SF_SMALL, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    orders = w.table(spark, SF_SMALL, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    with conf(spark, **NO_AUTO_BROADCAST):
+        joined = equi_join(customer, orders, [("c_custkey", "o_custkey")], "full_outer")
+        final = final_plan_text(joined).split("Initial Plan")[0]
+    exchanges = [line for line in final.splitlines() if "Exchange" in line and "Reused" not in line]
+    assert len(exchanges) == 4
+    assert final.count("ReusedExchange") == 2
