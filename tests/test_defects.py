@@ -1,0 +1,136 @@
+"""One check per survey defect (§2.11) that has a built behaviour and is not
+covered in test_golden.py / test_load_rules.py."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableworks import (
+    broadcast_join,
+    conditional_join,
+    equi_join,
+    join_data,
+    load_data,
+    multi_table_join,
+    normalize_text,
+    normalize_join_type,
+    range_join,
+    write_bucketed,
+)
+from tableworks.plans.inspect import plan_text
+from tests import fixtures as fx
+
+
+def _frames(spark):
+    return (
+        spark.createDataFrame(fx.JOIN_CUSTOMERS, fx.JOIN_CUSTOMER_SCHEMA),
+        spark.createDataFrame(fx.JOIN_ORDERS, fx.JOIN_ORDER_SCHEMA),
+        spark.createDataFrame(fx.DATE_RANGES, fx.RANGE_SCHEMA),
+    )
+
+
+def test_d9_one_effective_instant_per_load(spark, fresh):
+    """Without an effective date, closing and opening use the same instant."""
+    name = fresh("d9")
+    first = spark.createDataFrame([(1, "a")], "id long, v string")
+    load_data(first, name, "scd_type2", business_keys=["id"])
+    out = load_data(spark.createDataFrame([(1, "b")], "id long, v string"), name, "scd_type2", business_keys=["id"])
+    closed = out.where("NOT is_current").first()
+    opened = out.where("is_current").first()
+    assert closed["expiry_date"] == opened["effective_date"]
+
+
+def test_d16_caller_chosen_aliases(spark):
+    _, orders, ranges = _frames(spark)
+    out = conditional_join(
+        orders, ranges,
+        "orders.order_date >= date_ranges.start_date AND orders.order_date <= date_ranges.end_date",
+        ["order_id", "period_name"], left_alias="orders", right_alias="date_ranges",
+    )
+    assert out.count() == 4
+
+
+def test_d17_d18_dispatch_advanced_and_bucket(spark, fresh):
+    customers, orders, ranges = _frames(spark)
+    by_points = join_data(orders, ranges, strategy="advanced", point_col="order_date",
+                          start_col="start_date", end_col="end_date")
+    assert by_points.count() == 4
+    by_range = join_data(orders, ranges, strategy="advanced", left_key="order_date", right_key="start_date")
+    assert by_range.count() == orders.join(ranges, F.col("order_date") >= F.col("start_date")).count()
+    lt, rt = fresh("d18l"), fresh("d18r")
+    write_bucketed(customers, lt, ["customer_id"], 2)
+    write_bucketed(orders, rt, ["customer_id"], 2)
+    assert join_data(lt, rt, ["customer_id"], strategy="bucket", join_type="left").count() == 5
+    with pytest.raises(ValueError, match="advanced"):
+        join_data(orders, ranges, strategy="advanced")
+
+
+@pytest.mark.parametrize("bad", ["cross", "sideways", "outer join"])
+def test_d19_unknown_join_type_raises(spark, bad):
+    customers, orders, _ = _frames(spark)
+    with pytest.raises(ValueError, match="join type"):
+        join_data(customers, orders, ["customer_id"], "basic", bad)
+    with pytest.raises(ValueError):
+        normalize_join_type(bad)
+
+
+def test_d20_range_operator_whitelist(spark):
+    customers, orders, _ = _frames(spark)
+    with pytest.raises(ValueError, match="range_condition"):
+        range_join(customers, orders, "customer_id", "customer_id", ">= 0 OR 1 =")
+
+
+def test_d21_multi_table_defaults_follow_order(spark):
+    customers, orders, _ = _frames(spark)
+    single = multi_table_join([customers], [])
+    assert single.count() == customers.count()
+    chained = multi_table_join([customers, orders], [{"left_key": "customer_id", "right_key": "customer_id"}])
+    assert chained.count() == 3
+
+
+def test_d22_outer_in_multi_table_is_full_outer(spark):
+    customers, orders, _ = _frames(spark)
+    out = multi_table_join(
+        [customers, orders],
+        [{"left_key": "customer_id", "right_key": "customer_id", "join_type": "outer"}],
+        ["table_0.customer_id", "table_1.order_id"],
+    )
+    assert out.count() == 6
+
+
+@pytest.mark.parametrize("how,hinted", [("inner", True), ("left", True), ("right", False), ("full_outer", False)])
+def test_d23_broadcast_hint_only_where_it_can_serve(spark, how, hinted):
+    customers, orders, _ = _frames(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = broadcast_join(orders, customers, ["customer_id"], how)
+        text = plan_text(out)
+        assert ("BroadcastHashJoin" in text) == hinted
+        expected = equi_join(orders, customers, ["customer_id"], how).count()
+        assert out.count() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_d24_broadcast_join_leaves_session_settings(spark):
+    customers, orders, _ = _frames(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    broadcast_join(orders, customers, ["customer_id"], "inner", broadcast_threshold_mb=123).count()
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
+def test_d28_normalize_text_null_stays_null(spark):
+    df = spark.createDataFrame([("  MiXed \t",), (None,)], "s string")
+    assert [r.s for r in normalize_text(df, "s").collect()] == ["mixed", None]
+
+
+def test_d29_no_temp_views_left_behind(spark, fresh):
+    customers, orders, ranges = _frames(spark)
+    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    conditional_join(orders, ranges, "left_table.order_date >= right_table.start_date").count()
+    multi_table_join([customers, orders], [{"left_key": "customer_id", "right_key": "customer_id"}]).count()
+    name = fresh("d29")
+    load_data(customers, name, "merge_upsert", merge_keys=["customer_id"])
+    load_data(customers, name, "merge_upsert", merge_keys=["customer_id"])
+    after = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    assert after == before
