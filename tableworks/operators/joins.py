@@ -297,16 +297,27 @@ def interval_join(
 ) -> DataFrame:
     """Rows of ``points`` joined to every range with ``start <= point <= end``.
 
-    Binned equi-join: ``bin = floor(key / width)`` for the point, and one row per
-    bin in ``[bin(start), bin(end)]`` for each range.  ``width`` defaults to the
-    mean range length (one small aggregate job), which keeps the exploded range
-    side under three rows per range on average while a point meets only the
-    ranges of its own bin.  Each point falls into exactly one bin, so left,
-    semi and anti joins keep their meaning; ranges can't be the preserved side.
-    When the exploded range side is measured at most ``max_broadcast_bytes``
-    it is broadcast and the points are never shuffled; otherwise both sides
-    are shuffled on the bin, and a bin holding a third of all points is split
-    by AQE's skew-join handling.
+    Binned equi-join with multi-level bins.  The base width is the median range
+    length (one small aggregate).  A range of length ``L`` belongs to level
+    ``max(0, ceil(log2(L / base)))``, whose bins are ``base * 2**level`` wide,
+    so it covers at most two bins of its level (``explode``) whatever its
+    length.  A point gets its bin at every level that holds ranges (a second
+    small aggregate lists them, at most a few dozen), and the join is an
+    equi-join on ``(level, bin)`` with the exact predicate as residual.  A
+    match is found once, at the range's own level, and a point meets only the
+    ranges of similar length in its bin, so a third of the ranges being very
+    long neither multiplies the range side nor makes short ranges share wide
+    bins (which a single width from the mean length would).  ``bin_width``
+    fixes one level of that width instead.
+
+    Inner joins are one join.  Left, semi and anti joins keep each point once:
+    with a single level they are one join; with several, the levels are
+    joined one after the other (semi: matched at this level and not before;
+    anti: matched at none), and a left join is inner ∪ anti.  When the
+    exploded range side is measured at most ``max_broadcast_bytes`` it is
+    broadcast and the points are never shuffled; otherwise both sides are
+    shuffled on the bin, and a bin holding a third of all points is split by
+    AQE's skew-join handling.
     """
     how = normalize_join_type(how)
     if how not in _LEFT_STREAMED:
@@ -317,31 +328,88 @@ def interval_join(
     p = F.col(f"`{point_col}`").cast(ctype)
     s = F.col(f"`{start_col}`").cast(ctype)
     e = F.col(f"`{end_col}`").cast(ctype)
+    s_ord, e_ord = _ordinal(s, ctype), _ordinal(e, ctype)
 
     valid = ranges.where(s <= e)
-    if bin_width is None:
-        mean_len = valid.agg(F.avg(_ordinal(e, ctype) - _ordinal(s, ctype)).alias("m")).collect()[0]["m"]
-        bin_width = max(float(mean_len or 0.0), _unit(ctype))
-    width = F.lit(float(bin_width))
-
-    pts = points.withColumn("__tw_pbin", F.floor(_ordinal(p, ctype) / width))
-    rng = valid.withColumn(
+    if bin_width is not None:
+        base = max(float(bin_width), _unit(ctype))
+        level = F.lit(0)
+        levels = [0]
+    else:
+        length = e_ord - s_ord
+        median = valid.agg(F.percentile_approx(length, 0.5).alias("m")).collect()[0]["m"]
+        base = max(float(median or 0.0), _unit(ctype))
+        # log2 of a zero length is NULL; greatest() skips it, giving level 0.
+        level = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(base)))).cast("int")
+        levels = sorted(r[0] for r in valid.select(level.alias("l")).distinct().collect())
+        if not levels:
+            levels = [0]
+
+    def width_of(lvl: Column) -> Column:
+        # Literal widths, the same doubles on both sides, so bin edges agree.
+        w = F.lit(base * 2.0 ** levels[0])
+        for lv in levels[1:]:
+            w = F.when(lvl == lv, F.lit(base * 2.0**lv)).otherwise(w)
+        return w
+
+    rng = valid.withColumn("__tw_rlvl", level).withColumn(
         "__tw_rbin",
         F.explode(
-            F.sequence(F.floor(_ordinal(s, ctype) / width), F.floor(_ordinal(e, ctype) / width))
+            F.sequence(
+                F.floor(s_ord / width_of(F.col("__tw_rlvl"))), F.floor(e_ord / width_of(F.col("__tw_rlvl")))
+            )
         ),
     )
     if fits_broadcast(rng, max_broadcast_bytes):
         rng = F.broadcast(rng)
+    p_ord = _ordinal(p, ctype)
     pc = F.col(f"{LEFT}.`{point_col}`").cast(ctype)
-    cond = (
-        (F.col(f"{LEFT}.__tw_pbin") == F.col(f"{RIGHT}.__tw_rbin"))
-        & (pc >= F.col(f"{RIGHT}.`{start_col}`").cast(ctype))
-        & (pc <= F.col(f"{RIGHT}.`{end_col}`").cast(ctype))
-    )
-    out = pts.alias(LEFT).join(rng.alias(RIGHT), cond, how)
-    out = out.drop("__tw_pbin", "__tw_rbin") if how in ("inner", "left") else out.drop("__tw_pbin")
-    return _project(out, select_columns)
+    residual = (pc >= F.col(f"{RIGHT}.`{start_col}`").cast(ctype)) & (pc <= F.col(f"{RIGHT}.`{end_col}`").cast(ctype))
+    helpers = ("__tw_plvl", "__tw_pbin", "__tw_rlvl", "__tw_rbin")
+
+
+    def at_level(frame: DataFrame, lv: int) -> DataFrame:
+        return frame.withColumns({"__tw_plvl": F.lit(lv), "__tw_pbin": F.floor(p_ord / F.lit(base * 2.0**lv))})
+
+    def at_all_levels(frame: DataFrame) -> DataFrame:
+        if len(levels) == 1:
+            return at_level(frame, levels[0])
+        keys = F.array(
+            *[F.struct(F.lit(lv).alias("l"), F.floor(p_ord / F.lit(base * 2.0**lv)).alias("b")) for lv in levels]
+        )
+        return (
+            frame.withColumn("__tw_pk", F.explode(keys))
+            .select("*", F.col("__tw_pk.l").alias("__tw_plvl"), F.col("__tw_pk.b").alias("__tw_pbin"))
+            .drop("__tw_pk")
+        )
+
+    def join_level(pts: DataFrame, join_how: str) -> DataFrame:
+        cond = (
+            (F.col(f"{LEFT}.__tw_plvl") == F.col(f"{RIGHT}.__tw_rlvl"))
+            & (F.col(f"{LEFT}.__tw_pbin") == F.col(f"{RIGHT}.__tw_rbin"))
+            & residual
+        )
+        return pts.alias(LEFT).join(rng.alias(RIGHT), cond, join_how).drop(*helpers)
+
+    if how == "inner" or len(levels) == 1:
+        return _project(join_level(at_all_levels(points), how), select_columns)
+
+    # Several levels and a join that keeps each point once: level by level,
+    # each level seeing only the points no earlier level matched.
+    unmatched = points
+    matched_parts = []
+    for lv in levels:
+        if how == "left_semi":
+            matched_parts.append(join_level(at_level(unmatched, lv), "left_semi"))
+        unmatched = join_level(at_level(unmatched, lv), "left_anti")
+    if how == "left_anti":
+        return _project(unmatched, select_columns)
+    if how == "left_semi":
+        return _project(reduce(DataFrame.union, matched_parts), select_columns)
+    # left = inner ∪ (points matched at no level, with NULL range columns)
+    inner = join_level(at_all_levels(points), "inner")
+    alone = unmatched.alias(LEFT).join(rng.where(F.lit(False)).alias(RIGHT), F.lit(False), "left").drop(*helpers)
+    return _project(inner, select_columns).union(_project(alone, select_columns))
 
 
 _RANGE_OPS: dict[str, Callable[[Column, Column], Column]] = {

@@ -88,6 +88,49 @@ def test_interval_join_matches_brute_force(spark, how, width):
         assert sorted(r.pid for r in out.collect()) == sorted(i for i, _ in points if i not in matched)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("max_bytes", [0, 10 << 20])
+def test_interval_join_mixed_lengths_matches_brute_force(spark, how, max_bytes):
+    """A third of the ranges are very long: several bin levels, each match once."""
+    rng = random.Random(21)
+    points = [(i, None if rng.random() < 0.05 else rng.uniform(-50, 5000)) for i in range(300)]
+    ranges = []
+    for j in range(90):
+        s = rng.uniform(0, 4000)
+        length = rng.choice([0.0, 0.5, 2.0, 3.0]) if j % 3 else rng.choice([800.0, 2500.0, 4000.0])
+        ranges.append((j, s, s + length))
+    pdf = spark.createDataFrame(points, "pid int, p double")
+    rdf = spark.createDataFrame(ranges, "rid int, s double, e double")
+    out = interval_join(pdf, rdf, "p", "s", "e", how=how, max_broadcast_bytes=max_bytes)
+    pairs = [(i, j) for i, p in points for j, s, e in ranges if p is not None and s <= p <= e]
+    matched = {i for i, _ in pairs}
+    if how == "inner":
+        assert sorted((r.pid, r.rid) for r in out.collect()) == sorted(pairs)
+    elif how == "left":
+        got = sorted((r.pid, r.rid if r.rid is not None else -1) for r in out.collect())
+        assert got == sorted(pairs + [(i, -1) for i, _ in points if i not in matched])
+    elif how == "left_semi":
+        assert sorted(r.pid for r in out.collect()) == sorted(matched)
+        assert out.columns == ["pid", "p"]
+    else:
+        assert sorted(r.pid for r in out.collect()) == sorted(i for i, _ in points if i not in matched)
+
+
+def test_interval_join_short_and_very_long_ranges(spark):
+    """Ranges 1 and 100,000 long: each level finds its own matches once."""
+    from tableworks.plans.inspect import plan_text
+
+    short = [(j, float(j), float(j) + 1.0) for j in range(200)]
+    long_ = [(1000 + j, float(j), float(j) + 100000.0) for j in range(100)]
+    rdf = spark.createDataFrame(short + long_, "rid int, s double, e double")
+    pdf = spark.createDataFrame([(0, 5.5), (1, 150000.0)], "pid int, p double")
+    out = interval_join(pdf, rdf, "p", "s", "e", max_broadcast_bytes=0)
+    assert sorted(r.rid for r in out.collect()) == [5] + [1000 + j for j in range(6)]
+    assert "CartesianProduct" not in plan_text(out)
+    anti = interval_join(pdf, rdf, "p", "s", "e", how="left_anti", max_broadcast_bytes=0)
+    assert [r.pid for r in anti.collect()] == [1]
+
+
 def test_interval_join_timestamp_points_in_date_ranges(spark):
     base = dt.datetime(2024, 1, 1)
     points = [(i, base + dt.timedelta(hours=7 * i)) for i in range(100)]
