@@ -24,7 +24,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 
 from tableworks.sources.tables import (
     create_table,
@@ -391,6 +391,68 @@ def scd2_apply_partitions(
     return overwrite_partitions(scd2_apply(touched, source, business_keys, effective_date), name)
 
 
+# ---------------------------------------------------------------------------
+# row-level writes on tables that support them (Iceberg, Delta, ...)
+
+# Providers whose tables Spark writes as plain files: no row-level operations.
+FILE_PROVIDERS = frozenset({"parquet", "orc", "csv", "json", "text", "avro", "hive"})
+
+
+def table_provider(spark: SparkSession, name: str) -> str | None:
+    """The table's provider (``parquet``, ``iceberg``, ...), from the catalog."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].strip().lower() if rows else None
+
+
+def _refused(exc: BaseException) -> bool:
+    """Errors a table raises while the statement is analysed or planned: the
+    table does not support the operation and nothing was written."""
+    return isinstance(exc, (AnalysisException, UnsupportedOperationException))
+
+
+def merge_upsert_row_level(source: DataFrame, name: str, merge_keys: Sequence[str]) -> None:
+    """``MERGE INTO name`` from ``source``: matched rows take every source
+    column, unmatched source rows are inserted (Spark's ``mergeInto``).  On
+    tables with row-level support only the files holding matched keys are
+    rewritten, in one atomic commit."""
+    target = name.split(".")[-1].strip("`")
+    on = reduce(
+        operator.and_, [F.col(f"`{target}`.`{k}`") == F.col(f"`__tw_src`.`{k}`") for k in merge_keys]
+    )
+    (
+        source.alias("__tw_src")
+        .mergeInto(name, on)
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
+def delete_insert_row_level(source: DataFrame, name: str, filter_condition: str | Column | None) -> None:
+    """Delete the rows matching ``filter_condition`` (all rows without one) and
+    append ``source``, as one atomic overwrite-by-filter (``writeTo().overwrite``)."""
+    cond = F.lit(True) if filter_condition is None else _as_condition(filter_condition)
+    target_columns = source.sparkSession.table(name).columns
+    source.select(*target_columns).writeTo(name).overwrite(cond)
+
+
+def _try_row_level(spark: SparkSession, name: str, row_level: bool | None, write: Any) -> bool:
+    """Run ``write`` natively when the table may support it; ``False`` if it refused."""
+    if row_level is False:
+        return False
+    if row_level is None and (table_provider(spark, name) or "parquet") in FILE_PROVIDERS:
+        return False
+    try:
+        write()
+    except Exception as exc:  # noqa: BLE001 - only analysis-time refusals fall back
+        if _refused(exc):
+            return False
+        raise
+    return True
+
+
 # ---------------------------------------------------------------------------
 # dispatch: read -> pure transform -> staged write
 
@@ -412,6 +474,12 @@ def load_data(
     arguments go to ``replace_table`` (``drop_stale``, ``bucket_by``,
     ``num_buckets``, ``partition_by``).  Returns a fresh scan of the table.
 
+    Tables whose provider is not a plain file format (Iceberg, Delta, ...)
+    are first loaded with row-level statements: ``MERGE INTO`` for upserts,
+    an atomic overwrite-by-filter for delete+insert.  A table that refuses
+    them while the statement is analysed falls back to the paths below;
+    ``row_level=True`` forces the attempt, ``False`` skips it.
+
     On a partitioned table these loads rewrite only the partitions they touch
     (``partition_scoped=False`` forces the whole-table swap): a delete+insert
     whose condition reads partition columns only, and a merge/upsert or SCD
@@ -424,6 +492,7 @@ def load_data(
     name = qualified_name(target_table, target_catalog)
     write_opts = {k: kwargs.pop(k) for k in ("drop_stale", "bucket_by", "num_buckets", "partition_by") if k in kwargs}
     scoped = kwargs.pop("partition_scoped", True)
+    row_level = kwargs.pop("row_level", None)
     # Settle an interrupted swap before deciding whether the table exists.
     recover_interrupted_swap(spark, name, drop_stale=write_opts.get("drop_stale", False))
     exists = table_exists(spark, name)
@@ -435,8 +504,10 @@ def load_data(
         if not exists:
             return replace_table(source, name, **write_opts)
         target = spark.table(name)
+        _same_columns(target, source)
+        if _try_row_level(spark, name, row_level, lambda: delete_insert_row_level(source, name, condition)):
+            return spark.table(name)
         if pcols and condition is not None and _only_over(pcols, target, _as_condition(condition)):
-            _same_columns(target, source)
             return delete_insert_partitions(name, source, condition, pcols)
         return replace_table(delete_insert(target, source, condition), name, **write_opts)
 
@@ -448,6 +519,9 @@ def load_data(
         check_unique_keys(source, keys)
         if not exists:
             return replace_table(source, name, **write_opts)
+        _same_columns(spark.table(name), source)
+        if _try_row_level(spark, name, row_level, lambda: merge_upsert_row_level(source, name, keys)):
+            return spark.table(name)
         if pcols and set(pcols) <= set(keys):
             return merge_upsert_partitions(name, source, keys, pcols)
         return replace_table(merge_upsert(spark.table(name), source, keys), name, **write_opts)
