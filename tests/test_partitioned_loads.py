@@ -174,3 +174,15 @@ def test_scoped_scd2_leaves_other_partitions_alone(spark, fresh):
     assert files_of(spark, name, "day = 'd3'") == before
     assert out.count() == len(rows) + 1
     assert out.where("k = 0 AND is_current").first()["v"] == "changed"
+
+
+@pytest.mark.parametrize("pcols", [["day"], ["day", "region"]])
+def test_source_with_null_partition_values(spark, fresh, pcols):
+    rng = random.Random(9)
+    target = spark.createDataFrame(random_rows(rng, 40, range(20), ["d1", "d2"]), SCHEMA)
+    source = spark.createDataFrame([(50, "n", None, 1), (51, "m", "d2", 2)], SCHEMA)
+    for condition in ["day = 'd1'", "day IS NULL"]:
+        expected = rows_of(delete_insert(target, source, condition))
+        name = fresh("nullsrc")
+        create_table(target, name, partition_by=pcols)
+        assert rows_of(load_data(source, name, "delete_insert", filter_condition=condition)) == expected
