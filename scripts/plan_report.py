@@ -89,9 +89,11 @@ def main() -> int:
         "  time, the inner join and the anti join that keep the same side reuse that side's exchange",
         "  (`ReusedExchange`), and the remaining inputs carry key columns only. `tests/test_plans.py`",
         "  checks 4 exchanges plus 2 reused on the final plan.",
-        "* `join_multi_table` and `query_discount` shuffle `nation` and `part` only because automatic",
-        "  broadcast is off in this report. Under the default threshold Catalyst broadcasts such small",
-        "  dimension tables from their file size, and AQE does the same from measured shuffle sizes.",
+        "* `join_multi_table` shuffles `nation` (25 rows) only because automatic broadcast is off in",
+        "  this report. Under the default threshold Catalyst broadcasts it from its file size, and AQE",
+        "  does the same from measured shuffle sizes. The other joins there and in `query_discount`",
+        "  shuffle `customer`, `orders`, `lineitem` and `part` on their keys, which is the right plan",
+        "  when those tables are large.",
         "* `query_order_amounts` aggregates `lineitem` on the order key before the join. The join",
         "  reuses that partitioning, so there is no third hash shuffle; the range shuffle is the global",
         "  `ORDER BY`.",
