@@ -191,8 +191,12 @@ def scd2_apply(
     hist_types = {f.name: f.dataType for f in history.schema.fields}
 
     is_cur = F.coalesce(F.col(IS_CURRENT), F.lit(False))
-    expired = history.where(~is_cur)
-    current = history.where(is_cur).withColumn("__tw_t", F.lit(True))
+    # Current versions with a NULL key can never match a (validated, non-NULL)
+    # source key; like expired versions they pass through without a shuffle,
+    # so many of them cannot pile up in the one task the NULL key hashes to.
+    all_keys = reduce(operator.and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    expired = history.where(~is_cur | ~all_keys)
+    current = history.where(is_cur & all_keys).withColumn("__tw_t", F.lit(True))
     src = source.select(
         *[F.col(f"`{c}`").cast(hist_types[c]).alias(c) for c in data_cols],
         F.lit(True).alias("__tw_s"),

@@ -244,3 +244,12 @@ def test_refused_row_level_falls_back_to_rewrite(spark, fresh, strategy, kwargs)
     target.write.saveAsTable(name)
     out = load_data(source, name, strategy, row_level=True, **kwargs)
     assert rows_of(out) == rows_of(expected)
+
+
+def test_scd2_null_key_history_rows_pass_through(spark):
+    """Current versions with a NULL key (from older loads) stay as they are."""
+    history = scd2_initial(df(spark, [(None, "x", 1.0, None), (None, "y", 2.0, None), (1, "a", 1.0, None)]), T1)
+    out = scd2_apply(history, df(spark, [(1, "b", 1.0, None)]), ["id"], T2)
+    assert out.count() == 4
+    assert sorted(r.name for r in out.where("id IS NULL AND is_current").collect()) == ["x", "y"]
+    assert out.where("id = 1 AND is_current").first()["name"] == "b"
