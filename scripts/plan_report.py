@@ -81,9 +81,10 @@ def main() -> int:
         "Reading the table:",
         "",
         "* No query plans a cartesian product or a Python node.",
-        "* The only nested-loop joins are range and conditional joins whose other side was measured",
-        "  small and broadcast: each task streams its share of the big side, with no shuffle. Without",
-        "  that broadcast the range join runs as a binned equi-join (`join_range_binned`).",
+        "* The only nested-loop joins are range joins whose other side was measured small and",
+        "  broadcast: each task streams its share of the big side, with no shuffle. Without that",
+        "  broadcast the range join runs as a binned equi-join (`join_range_binned`). The interval",
+        "  condition of `join_conditional` runs as the binned interval join.",
         "* Full outer joins (`join_full_outer`, `join_coalesce`) run as an inner join and two anti",
         "  joins, so hot keys can be split. The static plan lists one exchange per join input. At run",
         "  time, the inner join and the anti join that keep the same side reuse that side's exchange",

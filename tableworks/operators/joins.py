@@ -20,6 +20,7 @@ those names.  No temp views are registered: nothing leaks between calls.
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Any
@@ -219,13 +220,26 @@ def conditional_join(
     """Join on an arbitrary condition over ``left_table`` / ``right_table``.
 
     Equalities inside the condition become hash/sort-merge keys (Catalyst
-    extracts them); a condition of inequalities only is planned as a
-    nested-loop join, so for point-in-interval use ``interval_join``.  When
+    extracts them).  A condition that is exactly a point-in-interval test,
+    ``left_table.p >= right_table.s AND left_table.p <= right_table.e`` (or
+    ``BETWEEN``), on numbers, dates or timestamps runs as ``interval_join``,
+    a binned equi-join; any other condition of inequalities only is planned
+    as a nested-loop join.  When
     the join streams the left side and the right side is measured at most
     ``max_broadcast_bytes``, the right side is broadcast: every task streams
     its share of the left side against it, with no shuffle.
     """
     how = normalize_join_type(how)
+    default_aliases = (left_alias, right_alias) == (LEFT, RIGHT)
+    shape = _interval_shape(join_condition, LEFT, RIGHT) if isinstance(join_condition, str) else None
+    if shape is not None and default_aliases and how in _LEFT_STREAMED:
+        point, start, end = shape
+        try:
+            joined = interval_join(left, right, point, start, end, how, max_broadcast_bytes=max_broadcast_bytes)
+        except ValueError:  # not numbers, dates or timestamps: join as written
+            pass
+        else:
+            return _project(joined, select_columns)
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
     right = right.alias(right_alias)
     if how in _LEFT_STREAMED and fits_broadcast(right, max_broadcast_bytes):
@@ -234,6 +248,43 @@ def conditional_join(
     return _project(out, select_columns)
 
 
+_IDENT = r"`?([A-Za-z_][A-Za-z0-9_]*)`?"
+
+
+def _interval_shape(condition: str, left_alias: str, right_alias: str) -> tuple[str, str, str] | None:
+    """``(point, start, end)`` if ``condition`` is exactly a point-in-interval
+    test of a left column against two right columns, written as
+    ``L.p >= R.s AND L.p <= R.e`` (either order, ``<=``/``>=`` mirrored) or
+    ``L.p BETWEEN R.s AND R.e``; otherwise ``None``."""
+    la, ra = re.escape(left_alias), re.escape(right_alias)
+    lcol, rcol = rf"{la}\.{_IDENT}", rf"{ra}\.{_IDENT}"
+    text = " ".join(condition.split())
+    m = re.fullmatch(rf"\(?{lcol} BETWEEN {rcol} AND {rcol}\)?", text, re.I)
+    if m:
+        return m.group(1), m.group(2), m.group(3)
+    parts = re.split(r" AND ", text, flags=re.I)
+    if len(parts) != 2:
+        return None
+    lower, upper = {}, {}
+    for part in parts:
+        part = part.strip().removeprefix("(").removesuffix(")").strip()
+        for pattern, bound in (
+            (rf"{lcol} >= {rcol}", lower), (rf"{rcol} <= {lcol}", lower),
+            (rf"{lcol} <= {rcol}", upper), (rf"{rcol} >= {lcol}", upper),
+        ):
+            m = re.fullmatch(pattern.replace(" ", r"\s*"), part)
+            if m:
+                point, other = (m.group(1), m.group(2)) if pattern.startswith(lcol) else (m.group(2), m.group(1))
+                bound[point] = other
+                break
+        else:
+            return None
+    if len(lower) != 1 or lower.keys() != upper.keys():
+        return None
+    point = next(iter(lower))
+    return point, lower[point], upper[point]
+
+
 # ---------------------------------------------------------------------------
 # Ordered keys: a monotone numeric image of numbers, dates and timestamps, used
 # only to place rows into bins (the exact comparison is always kept).

@@ -114,11 +114,16 @@ def test_interval_join_is_an_equi_join(spark, max_bytes):
 
 
 def test_conditional_join_broadcasts_small_side(spark):
+    """An interval-shaped condition becomes a hash join on bins; any other
+    inequality with a small side streams the big side against a broadcast."""
+    orders, periods = w.table(spark, SF_SMALL, "orders"), w.period_frame(spark)
     with conf(spark, **NO_AUTO_BROADCAST):
-        out = conditional_join(w.table(spark, SF_SMALL, "orders"), w.period_frame(spark),
-                               "left_table.o_orderdate BETWEEN right_table.start_date AND right_table.end_date")
-        plan = plan_text(out)
-    assert "BroadcastNestedLoopJoin BuildRight" in plan.replace("\n", " ") or "BuildRight" in plan
+        interval = plan_text(conditional_join(
+            orders, periods, "left_table.o_orderdate BETWEEN right_table.start_date AND right_table.end_date"))
+        other = plan_text(conditional_join(
+            orders, periods, "left_table.o_totalprice > right_table.period_id * 20000"))
+    assert "BroadcastHashJoin" in interval and "NestedLoopJoin" not in interval
+    assert "BroadcastNestedLoopJoin" in other and "BuildRight" in other
 
 
 def test_range_join_binned_has_no_cartesian(spark):
