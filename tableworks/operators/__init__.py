@@ -27,6 +27,7 @@ from tableworks.operators.loads import (
     delete_insert,
     delete_insert_partitions,
     load_data,
+    materialize,
     merge_upsert,
     merge_upsert_partitions,
     scd2_apply,
@@ -59,6 +60,7 @@ __all__ = [
     "left_join",
     "left_semi_join",
     "load_data",
+    "materialize",
     "measured_size",
     "merge_upsert",
     "merge_upsert_partitions",

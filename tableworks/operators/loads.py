@@ -457,6 +457,26 @@ def _try_row_level(spark: SparkSession, name: str, row_level: bool | None, write
     return True
 
 
+def materialize(source: DataFrame) -> DataFrame:
+    """``source`` written once to the cluster's checkpoint folder and read back.
+
+    A load reads its source several times (key check, partition list, the
+    write).  An expensive or non-deterministic source is then computed once,
+    and every pass sees the same rows; the lineage is cut, so a lost executor
+    re-reads the checkpoint instead of recomputing upstream.  The folder is the
+    session's ``spark.checkpoint.dir``, which must be shared storage; none is
+    invented here.
+    """
+    spark = source.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("materialize_source needs spark.checkpoint.dir set to a folder the cluster shares")
+        sc.setCheckpointDir(configured)
+    return source.checkpoint(eager=True)
+
+
 # ---------------------------------------------------------------------------
 # dispatch: read -> pure transform -> staged write
 
@@ -484,6 +504,9 @@ def load_data(
     them while the statement is analysed falls back to the paths below;
     ``row_level=True`` forces the attempt, ``False`` skips it.
 
+    ``materialize_source=True`` checkpoints the source first (see
+    ``materialize``), for sources that are expensive or not deterministic.
+
     On a partitioned table these loads rewrite only the partitions they touch
     (``partition_scoped=False`` forces the whole-table swap): a delete+insert
     whose condition reads partition columns only, and a merge/upsert or SCD
@@ -497,6 +520,8 @@ def load_data(
     write_opts = {k: kwargs.pop(k) for k in ("drop_stale", "bucket_by", "num_buckets", "partition_by") if k in kwargs}
     scoped = kwargs.pop("partition_scoped", True)
     row_level = kwargs.pop("row_level", None)
+    if kwargs.pop("materialize_source", False):
+        source = materialize(source)
     # Settle an interrupted swap before deciding whether the table exists.
     recover_interrupted_swap(spark, name, drop_stale=write_opts.get("drop_stale", False))
     exists = table_exists(spark, name)

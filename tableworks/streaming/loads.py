@@ -44,7 +44,13 @@ def stream_load(
         raise ValueError(f"unknown loading strategy {strategy!r}; use one of {LOAD_STRATEGIES}")
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        load_data(batch, target_table, strategy, target_catalog, **load_kwargs)
+        # The load reads the batch several times (key check, partitions, write):
+        # keep it on the executors for that, instead of re-reading the source.
+        batch.persist()
+        try:
+            load_data(batch, target_table, strategy, target_catalog, **load_kwargs)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(load_batch)
     if checkpoint_location:

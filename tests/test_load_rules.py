@@ -253,3 +253,22 @@ def test_scd2_null_key_history_rows_pass_through(spark):
     assert out.count() == 4
     assert sorted(r.name for r in out.where("id IS NULL AND is_current").collect()) == ["x", "y"]
     assert out.where("id = 1 AND is_current").first()["name"] == "b"
+
+
+def test_materialized_source_is_read_once(spark, fresh):
+    """A non-deterministic source: the key check and the write see the same rows."""
+    src = spark.range(50).select(
+        F.col("id"), F.lit("n").alias("name"), F.rand(7).alias("amount"), F.lit(None).cast("date").alias("day")
+    )
+    name = fresh("mat")
+    out = load_data(src, name, "merge_upsert", merge_keys=["id"], materialize_source=True)
+    first = rows_of(out)
+    assert len(first) == 50 and rows_of(spark.table(name)) == first
+
+
+def test_materialize_needs_a_shared_checkpoint_folder(spark):
+    from tableworks import materialize
+
+    sc = spark.sparkContext
+    assert sc.getCheckpointDir()  # the test session names one (conftest)
+    assert materialize(spark.range(3)).count() == 3
