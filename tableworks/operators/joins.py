@@ -678,6 +678,7 @@ def bucketed_join(
     return equi_join(left, right, join_keys, join_type, select_columns)
 
 
+# The join strategy names callers pass, as in the reference.
 JOIN_STRATEGIES = ("basic", "advanced", "broadcast", "bucket")
 
 

@@ -44,6 +44,7 @@ IS_CURRENT = "is_current"
 EXPIRY_DATE = "expiry_date"
 SCD_COLUMNS = (EFFECTIVE_DATE, IS_CURRENT, EXPIRY_DATE)
 
+# The loading strategy names callers pass, as in the reference.
 LOAD_STRATEGIES = ("delete_insert", "merge_upsert", "scd_type2")
 
 
