@@ -366,9 +366,10 @@ def interval_join(
     joined one after the other (semi: matched at this level and not before;
     anti: matched at none), and a left join is inner ∪ anti.  When the
     exploded range side is measured at most ``max_broadcast_bytes`` it is
-    broadcast and the points are never shuffled; otherwise both sides are
-    shuffled on the bin, and a bin holding a third of all points is split by
-    AQE's skew-join handling.
+    broadcast and the points are never shuffled; for an inner join a small
+    point side is broadcast instead, so many ranges are never shuffled;
+    otherwise both sides are shuffled on the bin, and a bin holding a third
+    of all points is split by AQE's skew-join handling.
     """
     how = normalize_join_type(how)
     if how not in _LEFT_STREAMED:
@@ -411,8 +412,12 @@ def interval_join(
             )
         ),
     )
+    broadcast_points = False
     if fits_broadcast(rng, max_broadcast_bytes):
         rng = F.broadcast(rng)
+    elif how == "inner" and fits_broadcast(points, max_broadcast_bytes):
+        # Few points, many ranges: the ranges stream, the points are broadcast.
+        broadcast_points = True
     p_ord = _ordinal(p, ctype)
     pc = F.col(f"{LEFT}.`{point_col}`").cast(ctype)
     residual = (pc >= F.col(f"{RIGHT}.`{start_col}`").cast(ctype)) & (pc <= F.col(f"{RIGHT}.`{end_col}`").cast(ctype))
@@ -443,7 +448,8 @@ def interval_join(
         return pts.alias(LEFT).join(rng.alias(RIGHT), cond, join_how).drop(*helpers)
 
     if how == "inner" or len(levels) == 1:
-        return _project(join_level(at_all_levels(points), how), select_columns)
+        pts = at_all_levels(points)
+        return _project(join_level(F.broadcast(pts) if broadcast_points else pts, how), select_columns)
 
     # Several levels and a join that keeps each point once: level by level,
     # each level seeing only the points no earlier level matched.

@@ -175,3 +175,17 @@ def test_split_full_outer_reuses_side_exchanges(spark):
     exchanges = [line for line in final.splitlines() if "Exchange" in line and "Reused" not in line]
     assert len(exchanges) == 4
     assert final.count("ReusedExchange") == 2
+
+
+def test_interval_join_broadcasts_few_points_against_many_ranges(spark):
+    points = spark.createDataFrame([(1, 5.0), (2, 50.0)], "pid int, p double")
+    ranges = spark.range(20000).select(
+        F.col("id").alias("rid"), F.col("id").cast("double").alias("s"), (F.col("id") + 3).cast("double").alias("e")
+    )
+    with conf(spark, **NO_AUTO_BROADCAST):
+        out = interval_join(points, ranges, "p", "s", "e", max_broadcast_bytes=64 * 1024)
+        plan = plan_text(out)
+        assert "BroadcastHashJoin" in plan and "BuildLeft" in plan
+        assert sorted((r.pid, r.rid) for r in out.collect()) == sorted(
+            [(1, j) for j in range(2, 6)] + [(2, j) for j in range(47, 51)]
+        )
