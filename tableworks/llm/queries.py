@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableworks.llm.common import table
+from tableworks.llm.line_dedup import MIN_CHARS, MIN_SITES, dedup_lines
 from tableworks.llm.packing import pack_documents
+from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
 
 
@@ -17,6 +20,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = dedup_lines(table(spark, sf_dir, "documents"), with_counts=True)
+    return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), F.md5("text").alias("clean_md5"))
+
+
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(table(spark, sf_dir, "documents"), with_counts=True)
+
+
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"))
     return judged.drop("rejected_by")  # the first rule depends on the measured order
@@ -27,8 +39,30 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS site, text FROM documents),
+        l AS (
+            SELECT doc_id, site, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS pos
+            FROM d),
+        k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
+        bad AS (
+            SELECT key, min((doc_id, pos)) AS first FROM k
+            WHERE length(key) >= {MIN_CHARS} GROUP BY key HAVING count(DISTINCT site) >= {MIN_SITES}),
+        m AS (
+            SELECT k.doc_id, k.pos, k.line, bad.key IS NOT NULL AND (k.doc_id, k.pos) <> bad.first AS gone
+            FROM k LEFT JOIN bad ON k.key = bad.key)
+        SELECT d.doc_id, count(m.doc_id)::BIGINT AS n_lines,
+               count(*) FILTER (gone)::BIGINT AS n_removed,
+               CASE WHEN d.text IS NOT NULL THEN length(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))::BIGINT END AS clean_chars,
+               CASE WHEN d.text IS NOT NULL THEN md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) END AS clean_md5
+        FROM d LEFT JOIN m ON d.doc_id = m.doc_id
+        GROUP BY d.doc_id, d.text""",
+}
