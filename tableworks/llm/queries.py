@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tableworks.llm.common import table
 from tableworks.llm.line_dedup import MIN_CHARS, MIN_SITES, dedup_lines
+from tableworks.llm.near_dedup import near_duplicates
 from tableworks.llm.packing import pack_documents
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
@@ -25,6 +26,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), F.md5("text").alias("clean_md5"))
 
 
+def op6_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize(table(spark, sf_dir, "documents"), with_counts=True)
 
@@ -40,6 +45,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_packing": op9_packing,
