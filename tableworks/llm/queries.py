@@ -13,6 +13,7 @@ from tableworks.llm.near_dedup import near_duplicates
 from tableworks.llm.packing import pack_documents
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
+from tableworks.llm.rule_ensemble import score_quality
 
 
 def tokenizer_file(name: str) -> str:
@@ -43,12 +44,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_packing": op9_packing,
+    "op10_rule_ensemble": op10_rule_ensemble,
 }
 
 ORACLE_SQL: dict[str, str] = {
