@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableworks.llm.common import table
+from tableworks.llm.context_trees import score_texts
 from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lines
 from tableworks.llm.near_dedup import near_duplicates
 from tableworks.llm.packing import pack_documents
@@ -27,6 +28,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), F.md5("text").alias("clean_md5"))
 
 
+def op5_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -50,6 +55,7 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_context_tree_weighting": op5_context_tree_weighting,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_quality_cascade": op8_quality_cascade,
