@@ -15,6 +15,7 @@ from tableworks.llm.packing import pack_documents
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
 from tableworks.llm.rule_ensemble import score_quality
+from tableworks.llm.vector_graph import nearest
 
 
 def tokenizer_file(name: str) -> str:
@@ -28,6 +29,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), F.md5("text").alias("clean_md5"))
 
 
+def op4_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_vector_graph": op4_vector_graph,
     "op5_context_tree_weighting": op5_context_tree_weighting,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
