@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tableworks.llm.common import table
 from tableworks.llm.context_trees import score_texts
 from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lines
+from tableworks.llm.nbest_pieces import encode_nbest
 from tableworks.llm.near_dedup import near_duplicates
 from tableworks.llm.packing import pack_documents
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
 from tableworks.llm.rule_ensemble import score_quality
+from tableworks.llm.secret_scan import scan
 from tableworks.llm.vector_graph import nearest
 
 
@@ -24,11 +26,21 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    digest = F.md5("candidate").alias("candidate_md5")
+    return found.select("doc_id", "place", F.length("candidate").alias("length"), digest, "held_out", "score", "is_secret")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = dedup_lines(table(spark, sf_dir, "documents"), with_counts=True)
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), F.md5("text").alias("clean_md5"))
 
 
+def op3_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_nbest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+
+
 def op4_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -59,7 +71,9 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
+    "op3_sentencepiece_nbest": op3_sentencepiece_nbest,
     "op4_vector_graph": op4_vector_graph,
     "op5_context_tree_weighting": op5_context_tree_weighting,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
