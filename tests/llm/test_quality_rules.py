@@ -1,0 +1,78 @@
+"""Quality rules: base counts by brute force, the cascade, edge cases."""
+
+import re
+
+from tableworks.llm import quality_rules as Q
+from tableworks.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+from tests.llm.data import edge_docs, no_docs, small
+
+
+def brute_base(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    often = {g for g in grams if grams.count(g) > 1} if len(grams) < 3000 else {g for g, n in __import__("collections").Counter(grams).items() if n > 1}
+    hit = {i + j for i, g in enumerate(grams) if g in often for j in range(3)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit)
+
+
+def test_query_matches_brute_force(spark):
+    got = {r["doc_id"]: r for r in QUERIES["op8_quality_cascade"](spark, SF_SMALL).collect()}
+    docs = small("documents")
+    assert len(got) == len(docs)
+    for d in docs:
+        base, r = brute_base(d["text"]), got[d["doc_id"]]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == base
+        failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        assert r["base_failed"] == failed
+        assert r["kept"] == (not failed and not any(rule(Q.Page(d["text"])) for rule in Q.RULES.values()))
+
+
+def test_verdicts_agree_with_quality_labels(spark):
+    quality = {r["doc_id"]: r["quality"] for r in small("labels")}
+    for d in small("documents"):
+        page = Q.Page(d["text"])
+        base = page.base()
+        if d["doc_id"] in quality and base[0] >= 50 and 100 * base[4] <= 50 * base[0]:
+            assert any(rule(page) for rule in Q.RULES.values()) == (quality[d["doc_id"]] == 0)
+
+
+def test_order_puts_rejections_per_cost_first(spark):
+    def slow_never(p):
+        return sum(range(3000)) < 0
+
+    def quick_often(p):
+        return len(p.words) < 300
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert Q.rule_order(docs, rules={"slow_never": slow_never, "quick_often": quick_often}) == ["quick_often", "slow_never"]
+
+
+def test_order_never_changes_the_verdict(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    one = {r["doc_id"] for r in Q.quality_filter(docs).collect()}
+    monkeypatch.setattr(Q, "rule_order", lambda *a, **k: list(reversed(Q.RULES)))
+    assert {r["doc_id"] for r in Q.quality_filter(docs).collect()} == one
+
+
+def test_edges(spark):
+    rows = Q.judge_quality(edge_docs(spark)).collect()
+    assert len(rows) == 11
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert by[1][0]["n_words"] == by[2][0]["n_words"] == by[3][0]["n_words"] == 0
+    assert all(r["base_failed"] and not r["kept"] for i in (1, 2, 3, 4, 5) for r in by[i])
+    assert len(by[5]) == 2 and len(by[None]) == 2
+    assert by[6][0]["n_words"] == 20000 and by[6][0]["kept"]
+    kept = Q.quality_filter(edge_docs(spark))
+    assert kept.schema == edge_docs(spark).schema
+    assert sorted(r["doc_id"] for r in kept.collect()) == [6, 7]
+    assert Q.judge_quality(no_docs(spark)).count() == 0
+    assert Q.quality_filter(no_docs(spark)).count() == 0
