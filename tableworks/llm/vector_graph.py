@@ -120,6 +120,7 @@ class VectorGraph:
             at = np.arange(width)[None, :]
             inside = at < m[:, None]
             new[inside] = src[(f[:, None] + at)[inside]]
+            new[(new[:, :, None] == self.edges[t][:, None, :]).any(axis=2)] = -1  # linked already
             cand = np.concatenate([self.edges[t], new], axis=1)
             full = (cand >= 0).sum(axis=1) > DEGREE
             if (~full).any():  # room for all: kept to the left, padding to the right

@@ -1,0 +1,69 @@
+"""Rule ensemble: held-out accuracy, rules against their trees, defined cases."""
+
+import zlib
+
+import numpy as np
+
+from tableworks.llm import rule_ensemble as R
+from tableworks.llm.queries import QUERIES
+from tests.conftest import SF_ORACLE
+from tests.llm.data import edge_docs, no_docs
+
+
+def test_held_out_accuracy(spark):
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_ORACLE}/labels.parquet").collect()}
+    rows = QUERIES["op10_rule_ensemble"](spark, SF_ORACLE).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_ORACLE}/documents.parquet").count()
+    right = []
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        if r["held_out"] and r["doc_id"] in labels:
+            right.append(r["predicted"] == labels[r["doc_id"]])
+    assert len(right) > 50 and np.mean(right) > 0.97
+
+
+def test_tree_paths_become_rules():
+    text = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5
+  If (feature 0 <= 2.5)
+   If (feature 3 <= 0.25)
+    Predict: 0.0
+   Else (feature 3 > 0.25)
+    Predict: 1.0
+  Else (feature 0 > 2.5)
+   If (feature 0 <= 7.0)
+    Predict: 1.0
+   Else (feature 0 > 7.0)
+    Predict: 0.0
+"""
+    a, b = R.FEATURES[0], R.FEATURES[3]
+    low, high = R.Test(a, True, 2.5), R.Test(a, False, 2.5)
+    assert R.tree_rules(text) == [
+        (low,), (low, R.Test(b, True, 0.25)), (R.Test(b, False, 0.25), low) if b < a else (low, R.Test(b, False, 0.25)),
+        (high,), (high, R.Test(a, True, 7.0)), (R.Test(a, False, 7.0),),
+    ]
+
+
+def test_labels_of_one_class_give_their_share(spark):
+    docs = spark.createDataFrame([(i, "some text") for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int")
+    assert all(r["score"] > 0.99 for r in R.score_quality(docs, labels).collect())
+    none = spark.createDataFrame([(1, None), (None, 0)], "doc_id long, quality int")
+    assert {r["score"] for r in R.score_quality(docs, none).collect()} == {0.5}
+
+
+def test_held_out_labels_are_never_used(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").limit(300)
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")
+    turned = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS string) AS binary)) % 3 = 1 THEN 1 - quality ELSE quality END AS quality")
+    one, two = (sorted(map(tuple, R.score_quality(docs, x).collect())) for x in (labels, turned))
+    assert one == two
+
+
+def test_edges(spark):
+    labels = spark.createDataFrame([(1, 0), (4, 1), (5, 1), (6, 1), (None, 1)], "doc_id long, quality int")
+    rows = R.score_quality(edge_docs(spark), labels).collect()
+    assert len(rows) == 11 and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (4, 5)}) == 1
+    assert R.score_quality(no_docs(spark), labels).count() == 0
+    assert R.statistics(None) == R.statistics("  ") == [0.0] * len(R.FEATURES)

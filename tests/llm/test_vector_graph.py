@@ -1,0 +1,100 @@
+"""Vector graph: recall and scores against brute force, copies and ties, edge cases."""
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tableworks.llm import vector_graph as G
+from tableworks.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+
+SCHEMA = "vec_id long, embedding array<float>, rank int, score double"
+
+
+def brute(rows, k, asked):
+    rows = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float32).astype(float)
+    out = {}
+    for q in asked:
+        if q not in ids:
+            continue
+        s = x @ x[np.flatnonzero(ids == q)[0]]
+        out[q] = sorted((-a, b) for a, b in zip(s.tolist(), ids.tolist()) if b != q)[:k]
+    return out
+
+
+def check(rows, want, k, recall):
+    got = defaultdict(list)
+    for r in rows:
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {q for q, hits in want.items() if hits}
+    hits = []
+    for q, best in want.items():
+        mine = sorted(got[q])
+        assert [m[0] for m in mine] == list(range(1, len(best) + 1))
+        assert [(-s, i) for _, i, s in mine] == sorted((-s, i) for _, i, s in mine)
+        hits.append(len({i for _, i in best} & {m[1] for m in mine}) / max(len(best), 1))
+    assert np.mean(hits) >= recall
+
+
+def test_query_recall_and_scores(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
+    got = QUERIES["op4_vector_graph"](spark, SF_SMALL).collect()
+    check(got, brute(rows, 20, [i for i, _ in rows if i % 20 == 0]), 20, 0.95)
+    vec = {i: np.array(v, np.float32).astype(float) for i, v in rows}
+    assert all(abs(r["score"] - vec[r["query_id"]] @ vec[r["vec_id"]]) < 1e-12 for r in got)
+
+
+def test_graph_search_is_selective_and_good():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 24)).astype(np.float32)
+    x = G._equal_norms(x, float(np.linalg.norm(x, axis=1).max()))
+    g = G.VectorGraph(x).build()
+    assert (g.edges >= 0).sum(axis=1).min() >= 1 and g.edges.shape[1] == G.DEGREE
+    assert (g.edges != np.arange(3000)[:, None]).all()
+    q = x[::30]
+    _, at = g.search(q, G.SEARCH_BEAM)
+    true = np.argsort(-(q @ x.T), axis=1)[:, :10]
+    assert np.mean([len(set(a[:10]) & set(t)) / 10 for a, t in zip(at, true)]) > 0.95
+
+
+def test_pruning_keeps_diverse_edges():
+    line = np.array([[0, 0], [1, 0], [1.1, 0], [-1, 0], [5, 0]], float)
+    g = G.VectorGraph(G._equal_norms(line, 100.0))
+    kept = g.prune(np.array([0]), np.array([[1, 2, 3, 4]]))[0]
+    assert set(kept[kept >= 0]) == {1, 3}  # 2 and 4 lie behind 1
+
+
+def test_norms_copies_and_ties(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 8)).astype(np.float32) * rng.uniform(0.1, 3, size=(60, 1)).astype(np.float32)
+    rows = [(i, base[i % 60 if i >= 150 else 7].tolist()) for i in range(300)]  # one vector 150 times
+    df = spark.createDataFrame([(i, v, 1, 0.5) for i, v in rows], SCHEMA)
+    asked = [i for i, _ in rows if i % 20 == 0]
+    got = G.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    want = brute(rows, 20, asked)
+    check(got, want, 20, 0.99)
+    for q in (0, 20, 140):
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [i for _, i in want[q]]
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (80, [1.0, None]), (100, [inf, 1.0]), (1, [0.5, 0.5]), (None, [1.0, 1.0]), (120, [1.0, 0.0]), (120, [1.0, 0.0]), (2, [1.0, 2.0, 3.0]), (3, [])]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in G.nearest(df, F.col("vec_id") % 20 == 0).collect())
+    assert got == [(0, 1, 120, 1.0), (0, 2, 1, 0.5), (120, 1, 0, 1.0), (120, 2, 1, 0.5)]
+    assert G.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    one = spark.createDataFrame([(0, [1.0], 1, 1.0)], SCHEMA)
+    assert G.nearest(one, F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [1, 7])
+def test_blocks_of_queries_give_the_same(spark, monkeypatch, blocks):
+    df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    monkeypatch.setattr(G, "QUERY_BLOCK", -(-25 // blocks))
+    rows = sorted(map(tuple, G.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()))
+    monkeypatch.undo()
+    assert rows == sorted(map(tuple, G.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()))
