@@ -3,14 +3,13 @@
 All of them build a Catalyst ``Join`` and leave the physical strategy to Spark,
 with two rewrites where Spark's own plan for the condition does not scale:
 
-* ``interval_join`` (point inside ``[start, end]``): Spark plans two
-  inequalities as a nested-loop or cartesian join.  Here both sides get a bin
-  number (the point's bin; every bin a range overlaps, via ``explode``), the
-  join is an equi-join on the bin and the exact predicate stays as a residual.
-* ``range_join`` (one inequality): a measured-small side is broadcast (each
-  task streams its partition against it, no shuffle); otherwise the key domain
-  is cut into equal-width bins, the left side is exploded into every bin that
-  can hold a partner, and the join is again an equi-join on the bin.
+* ``interval_join`` (point inside a closed or half-open interval): Spark plans
+  two inequalities as a nested-loop or cartesian join.  Here both sides get a
+  bin number, the join is an equi-join on the bin and the exact predicate, on
+  the original columns, stays as a residual.
+* ``range_join`` (one inequality): equality keys make it an equi-join; without
+  them a measured-small side is broadcast, or the key domain is cut at its
+  quantiles and the join is an equi-join on the bin.
 
 Sides are aliased ``left_table`` / ``right_table`` (``table_<i>`` in the
 multi-table join), so SQL text in conditions and ``select_columns`` can use
@@ -19,6 +18,7 @@ those names.  No temp views are registered: nothing leaks between calls.
 
 from __future__ import annotations
 
+import math
 import operator
 import re
 from collections.abc import Callable, Sequence
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast, row_bytes
 from tableworks.sources.tables import qualified_name
 
 LEFT = "left_table"
@@ -220,74 +220,128 @@ def conditional_join(
     """Join on an arbitrary condition over ``left_table`` / ``right_table``.
 
     Equalities inside the condition become hash/sort-merge keys (Catalyst
-    extracts them).  A condition that is exactly a point-in-interval test,
-    ``left_table.p >= right_table.s AND left_table.p <= right_table.e`` (or
-    ``BETWEEN``), on numbers, dates or timestamps runs as ``interval_join``,
-    a binned equi-join; any other condition of inequalities only is planned
-    as a nested-loop join.  When
-    the join streams the left side and the right side is measured at most
-    ``max_broadcast_bytes``, the right side is broadcast: every task streams
-    its share of the left side against it, with no shuffle.
+    extracts them).  Text that is a point-in-interval test, alone or next to
+    equalities, runs as ``interval_join``: one column of a table compared with a
+    start (``>=`` or ``>``) and an end (``<=`` or ``<``, optionally ``OR end IS
+    NULL``) of the other, or ``BETWEEN``.  The ranges may be on either side
+    (on the left for inner joins).  Any other condition of inequalities only is
+    planned as a nested-loop join: a side measured at most
+    ``max_broadcast_bytes`` is broadcast (the right one where the join streams
+    the left; for inner joins either), with no shuffle.
     """
     how = normalize_join_type(how)
     default_aliases = (left_alias, right_alias) == (LEFT, RIGHT)
-    shape = _interval_shape(join_condition, LEFT, RIGHT) if isinstance(join_condition, str) else None
-    if shape is not None and default_aliases and how in _LEFT_STREAMED:
-        point, start, end = shape
-        try:
-            joined = interval_join(left, right, point, start, end, how, max_broadcast_bytes=max_broadcast_bytes)
-        except ValueError:  # not numbers, dates or timestamps: join as written
-            pass
+    shape = _interval_shape(join_condition) if isinstance(join_condition, str) and default_aliases else None
+    if shape is not None and _orderable(left, right, shape) and (how == "inner" or (how in _LEFT_STREAMED and shape["point_side"] == LEFT)):
+        keys = shape["keys"]
+        if shape["point_side"] == LEFT:
+            points, ranges, names = left, right, (LEFT, RIGHT)
         else:
+            points, ranges, names = right, left, (RIGHT, LEFT)
+            keys = [(b, a) for a, b in keys]
+        joined = interval_join(
+            points, ranges, shape["point"], shape["start"], shape["end"], how, max_broadcast_bytes=max_broadcast_bytes,
+            start_op=shape["start_op"], end_op=shape["end_op"], open_end=shape["open_end"], join_keys=keys or None,
+            point_alias=names[0], range_alias=names[1],
+        )
+        if select_columns or names == (LEFT, RIGHT):
             return _project(joined, select_columns)
+        return joined.select(*[_qualified(LEFT, c) for c in left.columns], *[_qualified(RIGHT, c) for c in right.columns])
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
-    right = right.alias(right_alias)
+    lft, rgt = left.alias(left_alias), right.alias(right_alias)
     if how in _LEFT_STREAMED and fits_broadcast(right, max_broadcast_bytes):
-        right = F.broadcast(right)
-    out = left.alias(left_alias).join(right, cond, how)
-    return _project(out, select_columns)
+        rgt = F.broadcast(rgt)
+    elif how in ("inner", "right") and fits_broadcast(left, max_broadcast_bytes):
+        lft = F.broadcast(lft)
+    return _project(lft.join(rgt, cond, how), select_columns)
 
 
 _IDENT = r"`?([A-Za-z_][A-Za-z0-9_]*)`?"
+_MIRROR = {">=": "<=", ">": "<", "<=": ">=", "<": ">", "=": "="}
+
 
+def _interval_shape(condition: str) -> dict[str, Any] | None:
+    """The parts of a point-in-interval condition, or ``None`` if it isn't one.
 
-def _interval_shape(condition: str, left_alias: str, right_alias: str) -> tuple[str, str, str] | None:
-    """``(point, start, end)`` if ``condition`` is exactly a point-in-interval
-    test of a left column against two right columns, written as
-    ``L.p >= R.s AND L.p <= R.e`` (either order, ``<=``/``>=`` mirrored) or
-    ``L.p BETWEEN R.s AND R.e``; otherwise ``None``."""
-    la, ra = re.escape(left_alias), re.escape(right_alias)
-    lcol, rcol = rf"{la}\.{_IDENT}", rf"{ra}\.{_IDENT}"
+    A conjunction of exactly one lower and one upper bound of the same point
+    column, from columns of the other table, and any number of equalities.
+    """
+    side = rf"({LEFT}|{RIGHT})\.{_IDENT}"
     text = " ".join(condition.split())
-    m = re.fullmatch(rf"\(?{lcol} BETWEEN {rcol} AND {rcol}\)?", text, re.I)
-    if m:
-        return m.group(1), m.group(2), m.group(3)
-    parts = re.split(r" AND ", text, flags=re.I)
-    if len(parts) != 2:
+    if re.fullmatch(r"\([^()]*\)", text):
+        text = text[1:-1]
+    between = re.compile(rf"{side} BETWEEN {side} AND {side}", re.I)
+    text = between.sub(lambda m: f"{m[1]}.{m[2]} >= {m[3]}.{m[4]} AND {m[1]}.{m[2]} <= {m[5]}.{m[6]}", text)
+    lower, upper, keys = [], [], []
+    for part in re.split(r" AND ", text, flags=re.I):
+        part = part.strip()
+        while part.startswith("(") and part.endswith(")"):
+            part = part[1:-1].strip()
+        null_end = None
+        either = re.split(r" OR ", part, flags=re.I)
+        if len(either) == 2:
+            nulls = [re.fullmatch(rf"{side} IS NULL", x.strip("() "), re.I) for x in either]
+            if (nulls[0] is None) == (nulls[1] is None):
+                return None
+            table, column = next(m for m in nulls if m).groups()
+            null_end = (table.lower(), column)
+            part = next(x for x, m in zip(either, nulls) if m is None).strip("() ")
+        elif len(either) > 2:
+            return None
+        m = re.fullmatch(rf"{side}\s*(>=|<=|>|<|=)\s*{side}", part, re.I)
+        if not m or m[1].lower() == m[4].lower():
+            return None
+        a, op, b = (m[1].lower(), m[2]), m[3], (m[4].lower(), m[5])
+        if op == "=":
+            if null_end:
+                return None
+            keys.append((a[1], b[1]) if a[0] == LEFT else (b[1], a[1]))
+            continue
+        (lower if op in (">=", ">") else upper).append((a, op, b, null_end))
+    bounds = lower + upper
+    if len(bounds) != 2:
         return None
-    lower, upper = {}, {}
-    for part in parts:
-        part = part.strip().removeprefix("(").removesuffix(")").strip()
-        for pattern, bound in (
-            (rf"{lcol} >= {rcol}", lower), (rf"{rcol} <= {lcol}", lower),
-            (rf"{lcol} <= {rcol}", upper), (rf"{rcol} >= {lcol}", upper),
-        ):
-            m = re.fullmatch(pattern.replace(" ", r"\s*"), part)
-            if m:
-                point, other = (m.group(1), m.group(2)) if pattern.startswith(lcol) else (m.group(2), m.group(1))
-                bound[point] = other
-                break
-        else:
+    # the column that both bounds share is the point
+    shared = {x for x in (bounds[0][0], bounds[0][2])} & {x for x in (bounds[1][0], bounds[1][2])}
+    if len(shared) != 1:
+        return None
+    point, found = next(iter(shared)), {}
+    for a, op, b, null_end in bounds:
+        if a != point:
+            a, op, b = b, _MIRROR[op], a
+        kind = "start" if op in (">=", ">") else "end"
+        if kind in found or (null_end and (kind == "start" or null_end != b)):
             return None
-    if len(lower) != 1 or lower.keys() != upper.keys():
+        found[kind] = (b[1], op, null_end is not None)
+    if len(found) != 2:
         return None
-    point = next(iter(lower))
-    return point, lower[point], upper[point]
+    return {
+        "point_side": point[0], "point": point[1], "start": found["start"][0], "start_op": found["start"][1],
+        "end": found["end"][0], "end_op": found["end"][1], "open_end": found["end"][2], "keys": keys,
+    }
+
+
+def _orderable(left: DataFrame, right: DataFrame, shape: dict[str, Any]) -> bool:
+    """Whether the columns exist and are of types whose order bins can follow."""
+    points, ranges = (left, right) if shape["point_side"] == LEFT else (right, left)
+    names = ((points, shape["point"]), (ranges, shape["start"]), (ranges, shape["end"]))
+    if any(c not in df.columns for df, c in names):
+        return False
+    try:
+        _common_type([_field_type(df, c) for df, c in names])
+    except ValueError:
+        return False
+    return True
 
 
 # ---------------------------------------------------------------------------
-# Ordered keys: a monotone numeric image of numbers, dates and timestamps, used
-# only to place rows into bins (the exact comparison is always kept).
+# Ordered keys: a monotone image of numbers, dates and timestamps as doubles,
+# used only to place rows into bins; the comparison itself is always made on
+# the original columns, with Spark's own coercion.
+
+# Ordinals end here: infinities and NaN (which Spark orders above all) fall into
+# the outermost bins.  A power of two, so bin edges stay exact.
+_EDGE = 2.0**1000
 
 
 def _common_type(types: list[T.DataType]) -> T.DataType:
@@ -300,41 +354,41 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
             return T.DateType()
         raise ValueError(f"cannot order a date against {types}")
     if all(isinstance(t, T.NumericType) for t in types):
-        if all(isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for t in types):
-            return T.LongType()
         return T.DoubleType()
     raise ValueError(f"range and interval keys must be numbers, dates or timestamps, got {types}")
 
 
 def _ordinal(c: Column, dtype: T.DataType) -> Column:
-    """Monotone non-decreasing numeric image of ``c`` (already cast to ``dtype``)."""
+    """Monotone non-decreasing double for ``c``, within ``[-_EDGE, _EDGE]``; NULL stays NULL."""
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
+        return F.unix_micros(c.cast(dtype)).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
+        c = c.cast(dtype)
         # Wall-clock seconds, independent of the session time zone.
-        seconds = (
-            F.unix_date(F.to_date(c)).cast("long") * 86400
-            + F.hour(c) * 3600
-            + F.minute(c) * 60
-            + F.second(c)
-        )
+        seconds = F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
         return seconds.cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
-    return c.cast("double")
+    d = c.cast("double")
+    clamped = F.greatest(F.lit(-_EDGE), F.least(F.lit(_EDGE), d))
+    return F.when(d.isNull(), d).when(F.isnan(d), F.lit(_EDGE)).otherwise(clamped)
 
 
-def _unit(dtype: T.DataType) -> float:
-    """Smallest bin width worth using for ``dtype``'s ordinal."""
-    if isinstance(dtype, (T.TimestampType,)):
-        return 1_000_000.0
-    return 1.0 if isinstance(dtype, (T.TimestampNTZType, T.DateType, T.LongType)) else 1e-9
+def _lowest_level(dtype: T.DataType) -> int:
+    """Exponent of the narrowest bin worth using for ``dtype``'s ordinal."""
+    if isinstance(dtype, T.TimestampType):
+        return 20  # about a second
+    return 0 if isinstance(dtype, (T.TimestampNTZType, T.DateType)) else -40
 
 
 def _field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+_START_OPS: dict[str, Callable[[Column, Column], Column]] = {">=": operator.ge, ">": operator.gt}
+_END_OPS: dict[str, Callable[[Column, Column], Column]] = {"<=": operator.le, "<": operator.lt}
+
+
 def interval_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -345,128 +399,115 @@ def interval_join(
     select_columns: Sequence[str | Column] | None = None,
     bin_width: float | None = None,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    start_op: str = ">=",
+    end_op: str = "<=",
+    open_end: bool = False,
+    join_keys: KeySpec | None = None,
+    point_alias: str = LEFT,
+    range_alias: str = RIGHT,
 ) -> DataFrame:
-    """Rows of ``points`` joined to every range with ``start <= point <= end``.
-
-    Binned equi-join with multi-level bins.  The base width is the median range
-    length (one small aggregate).  A range of length ``L`` belongs to level
-    ``max(0, ceil(log2(L / base)))``, whose bins are ``base * 2**level`` wide,
-    so it covers at most two bins of its level (``explode``) whatever its
-    length.  A point gets its bin at every level that holds ranges (a second
-    small aggregate lists them, at most a few dozen), and the join is an
-    equi-join on ``(level, bin)`` with the exact predicate as residual.  A
-    match is found once, at the range's own level, and a point meets only the
-    ranges of similar length in its bin, so a third of the ranges being very
-    long neither multiplies the range side nor makes short ranges share wide
-    bins (which a single width from the mean length would).  ``bin_width``
-    fixes one level of that width instead.
-
-    Inner joins are one join.  Left, semi and anti joins keep each point once:
-    with a single level they are one join; with several, the levels are
-    joined one after the other (semi: matched at this level and not before;
-    anti: matched at none), and a left join is inner ∪ anti.  When the
-    exploded range side is measured at most ``max_broadcast_bytes`` it is
-    broadcast and the points are never shuffled; for an inner join a small
-    point side is broadcast instead, so many ranges are never shuffled;
-    otherwise both sides are shuffled on the bin, and a bin holding a third
-    of all points is split by AQE's skew-join handling.
+    """Rows of ``points`` joined to every range with ``point start_op start`` and ``point end_op end``.
+
+    ``start_op`` is ``>=`` or ``>``, ``end_op`` ``<=`` or ``<`` (half-open
+    intervals); with ``open_end`` a NULL end means that the range never ends.
+    ``join_keys`` adds equalities (``(point_name, range_name)`` pairs or shared
+    names, kept from both sides), e.g. for a lookup in a history as of a time.
+
+    Plan: a range of length ``L`` gets the level whose bins are a power of two
+    at least ``2 * L`` wide, so it covers at most two bins.  One aggregate over
+    the ranges gives the levels in use, their count and their bytes.  A point
+    gets its bin at each of these levels, and the join is an equi-join on keys,
+    level and bin with the exact predicate, on the original columns, as
+    residual.  A match is found once, at the range's own level.  ``bin_width``
+    sets the narrowest bins (rounded up to a power of two of the ordinal's unit:
+    days, seconds, microseconds for zoned timestamps, else 1).
+
+    A left, semi or anti join depends on the point's value and keys only:
+    the distinct (keys, value) that match are found by one binned semi join, and
+    one more join on them keeps or drops the points, whatever the number of
+    levels; left is inner plus the points without a match.
+
+    Ranges measured (after doubling for the two bins) at most
+    ``max_broadcast_bytes`` are broadcast; for an inner join a small point
+    side, measured with its copies per level, is broadcast instead.  Otherwise
+    both sides are shuffled, and AQE splits a bin that holds many points.
     """
     how = normalize_join_type(how)
     if how not in _LEFT_STREAMED:
         raise ValueError("interval_join preserves the point side only: inner, left, left_semi, left_anti")
-    ctype = _common_type(
-        [_field_type(points, point_col), _field_type(ranges, start_col), _field_type(ranges, end_col)]
-    )
-    p = F.col(f"`{point_col}`").cast(ctype)
-    s = F.col(f"`{start_col}`").cast(ctype)
-    e = F.col(f"`{end_col}`").cast(ctype)
-    s_ord, e_ord = _ordinal(s, ctype), _ordinal(e, ctype)
-
-    valid = ranges.where(s <= e)
-    if bin_width is not None:
-        base = max(float(bin_width), _unit(ctype))
-        level = F.lit(0)
-        levels = [0]
-    else:
-        length = e_ord - s_ord
-        median = valid.agg(F.percentile_approx(length, 0.5).alias("m")).collect()[0]["m"]
-        base = max(float(median or 0.0), _unit(ctype))
-        # log2 of a zero length is NULL; greatest() skips it, giving level 0.
-        level = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(base)))).cast("int")
-        levels = sorted(r[0] for r in valid.select(level.alias("l")).distinct().collect())
-        if not levels:
-            levels = [0]
-
-    def width_of(lvl: Column) -> Column:
-        # Literal widths, the same doubles on both sides, so bin edges agree.
-        w = F.lit(base * 2.0 ** levels[0])
-        for lv in levels[1:]:
-            w = F.when(lvl == lv, F.lit(base * 2.0**lv)).otherwise(w)
-        return w
-
-    rng = valid.withColumn("__tw_rlvl", level).withColumn(
+    if start_op not in _START_OPS or end_op not in _END_OPS:
+        raise ValueError("start_op is >= or >, end_op is <= or <")
+    keys = _key_pairs(join_keys) if join_keys else []
+    ctype = _common_type([_field_type(points, point_col), _field_type(ranges, start_col), _field_type(ranges, end_col)])
+    s, e = F.col(f"`{start_col}`"), F.col(f"`{end_col}`")
+    valid = s.isNotNull() & (F.coalesce(s <= e, F.lit(True)) if open_end else (s <= e))
+    rng = ranges.where(valid)
+
+    s_ord = _ordinal(s, ctype)
+    e_ord = F.coalesce(_ordinal(e, ctype), F.lit(_EDGE))
+    # Two levels are merged into one (bins up to four times wider than needed),
+    # which halves the copies of each point.  log2 of a zero length is NULL.
+    lowest = _lowest_level(ctype)
+    if bin_width is not None and bin_width > 0:
+        lowest = max(lowest, math.ceil(math.log2(bin_width)))
+    exponent = F.ceil(F.log2(e_ord - s_ord)) + 1
+    level = F.greatest(F.lit(lowest), exponent + F.pmod(exponent, F.lit(2))).cast("int")
+    stats = rng.agg(
+        F.collect_set(level).alias("levels"), F.count(F.lit(1)).alias("n"), F.sum(row_bytes(ranges)).alias("bytes")
+    ).collect()[0]
+    levels = sorted(stats["levels"]) or [lowest]
+    small_ranges = 0 < max_broadcast_bytes and 2 * (stats["bytes"] or 0) + 64 * stats["n"] <= max_broadcast_bytes
+
+    def residual(left: str, right: str) -> Column:
+        p = F.col(f"{left}.`{point_col}`")
+        end = F.col(f"{right}.`{end_col}`")
+        ends = _END_OPS[end_op](p, end)
+        cond = _START_OPS[start_op](p, F.col(f"{right}.`{start_col}`")) & ((ends | end.isNull()) if open_end else ends)
+        return reduce(operator.and_, [_qualified(left, lk) == _qualified(right, rk) for lk, rk in keys], cond)
+
+    width = F.pow(F.lit(2.0), F.col("__tw_rlvl").cast("double"))
+    binned = rng.withColumn("__tw_rlvl", level).withColumn(
         "__tw_rbin",
-        F.explode(
-            F.sequence(
-                F.floor(s_ord / width_of(F.col("__tw_rlvl"))), F.floor(e_ord / width_of(F.col("__tw_rlvl")))
-            )
-        ),
+        F.explode(F.array_distinct(F.array(s_ord - F.pmod(s_ord, width), e_ord - F.pmod(e_ord, width)))),
     )
-    broadcast_points = False
-    if fits_broadcast(rng, max_broadcast_bytes):
-        rng = F.broadcast(rng)
-    elif how == "inner" and fits_broadcast(points, max_broadcast_bytes):
-        # Few points, many ranges: the ranges stream, the points are broadcast.
-        broadcast_points = True
-    p_ord = _ordinal(p, ctype)
-    pc = F.col(f"{LEFT}.`{point_col}`").cast(ctype)
-    residual = (pc >= F.col(f"{RIGHT}.`{start_col}`").cast(ctype)) & (pc <= F.col(f"{RIGHT}.`{end_col}`").cast(ctype))
-    helpers = ("__tw_plvl", "__tw_pbin", "__tw_rlvl", "__tw_rbin")
+    if small_ranges:
+        binned = F.broadcast(binned)
 
+    def at_levels(frame: DataFrame) -> DataFrame:
+        p_ord = _ordinal(F.col(f"`{point_col}`"), ctype)
+        bins = [
+            F.struct(F.lit(lv).alias("l"), (p_ord - F.pmod(p_ord, F.lit(2.0**lv))).alias("b")) for lv in levels
+        ]
+        some = frame.where(F.col(f"`{point_col}`").isNotNull()).withColumn("__tw_pk", F.explode(F.array(*bins)))
+        return some.withColumns({"__tw_plvl": F.col("__tw_pk.l"), "__tw_pbin": F.col("__tw_pk.b")}).drop("__tw_pk")
 
-    def at_level(frame: DataFrame, lv: int) -> DataFrame:
-        return frame.withColumns({"__tw_plvl": F.lit(lv), "__tw_pbin": F.floor(p_ord / F.lit(base * 2.0**lv))})
-
-    def at_all_levels(frame: DataFrame) -> DataFrame:
-        if len(levels) == 1:
-            return at_level(frame, levels[0])
-        keys = F.array(
-            *[F.struct(F.lit(lv).alias("l"), F.floor(p_ord / F.lit(base * 2.0**lv)).alias("b")) for lv in levels]
-        )
-        return (
-            frame.withColumn("__tw_pk", F.explode(keys))
-            .select("*", F.col("__tw_pk.l").alias("__tw_plvl"), F.col("__tw_pk.b").alias("__tw_pbin"))
-            .drop("__tw_pk")
-        )
+    helpers = ("__tw_plvl", "__tw_pbin", "__tw_rlvl", "__tw_rbin")
 
-    def join_level(pts: DataFrame, join_how: str) -> DataFrame:
+    def meet(frame: DataFrame, join_how: str) -> DataFrame:
         cond = (
-            (F.col(f"{LEFT}.__tw_plvl") == F.col(f"{RIGHT}.__tw_rlvl"))
-            & (F.col(f"{LEFT}.__tw_pbin") == F.col(f"{RIGHT}.__tw_rbin"))
-            & residual
+            (F.col(f"{point_alias}.__tw_plvl") == F.col(f"{range_alias}.__tw_rlvl"))
+            & (F.col(f"{point_alias}.__tw_pbin") == F.col(f"{range_alias}.__tw_rbin"))
+            & residual(point_alias, range_alias)
         )
-        return pts.alias(LEFT).join(rng.alias(RIGHT), cond, join_how).drop(*helpers)
-
-    if how == "inner" or len(levels) == 1:
-        pts = at_all_levels(points)
-        return _project(join_level(F.broadcast(pts) if broadcast_points else pts, how), select_columns)
-
-    # Several levels and a join that keeps each point once: level by level,
-    # each level seeing only the points no earlier level matched.
-    unmatched = points
-    matched_parts = []
-    for lv in levels:
-        if how == "left_semi":
-            matched_parts.append(join_level(at_level(unmatched, lv), "left_semi"))
-        unmatched = join_level(at_level(unmatched, lv), "left_anti")
-    if how == "left_anti":
-        return _project(unmatched, select_columns)
-    if how == "left_semi":
-        return _project(reduce(DataFrame.union, matched_parts), select_columns)
-    # left = inner ∪ (points matched at no level, with NULL range columns)
-    inner = join_level(at_all_levels(points), "inner")
-    alone = unmatched.alias(LEFT).join(rng.where(F.lit(False)).alias(RIGHT), F.lit(False), "left").drop(*helpers)
-    return _project(inner, select_columns).union(_project(alone, select_columns))
+        return frame.alias(point_alias).join(binned.alias(range_alias), cond, join_how).drop(*helpers)
+
+    def inner() -> DataFrame:
+        pts = at_levels(points)
+        if not small_ranges and fits_broadcast(pts, max_broadcast_bytes):
+            pts = F.broadcast(pts)  # few points: the ranges stream
+        return meet(pts, "inner")
+
+    if how == "inner":
+        return _project(inner(), select_columns)
+    by = list(dict.fromkeys([*[lk for lk, _ in keys], point_col]))
+    matched = meet(at_levels(points.select(*[F.col(f"`{c}`") for c in by]).distinct()), "left_semi")
+    matched = matched.select(*[F.col(f"`{c}`").alias(f"__tw_m{i}") for i, c in enumerate(by)])
+    same = reduce(operator.and_, [_qualified(point_alias, c) == F.col(f"__tw_m{i}") for i, c in enumerate(by)])
+    if how in ("left_semi", "left_anti"):
+        return _project(points.alias(point_alias).join(matched, same, how), select_columns)
+    alone = points.alias(point_alias).join(matched, same, "left_anti")
+    alone = alone.alias(point_alias).join(ranges.where(F.lit(False)).alias(range_alias), F.lit(False), "left")
+    return _project(inner(), select_columns).union(_project(alone, select_columns))
 
 
 _RANGE_OPS: dict[str, Callable[[Column, Column], Column]] = {
@@ -488,64 +529,52 @@ def range_join(
     select_columns: Sequence[str | Column] | None = None,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     num_bins: int = DEFAULT_RANGE_BINS,
+    join_keys: KeySpec | None = None,
 ) -> DataFrame:
-    """Inner join on ``left_table.left_key <op> right_table.right_key``.
-
-    ``op`` is one of ``>=``, ``<=``, ``>``, ``<``.  The output of a one-sided
-    range condition is a large share of all pairs, so the aim is to spend work
-    on matches only and to keep the join parallel:
-
-    * a side measured at most ``max_broadcast_bytes`` (right first, then left):
-      broadcast it; every task streams its share of the other side against it
-      (no shuffle).
-    * otherwise: equal-width bins over the right key's ``[min, max]`` (one
-      aggregate job); each left row is exploded into the bins that can hold a
-      partner, each right row goes to its own bin, and the join is an equi-join
-      on the bin with the comparison as residual.  Low bins receive many left
-      rows; AQE's skew-join handling splits them.
+    """Inner join on ``left_table.left_key <op> right_table.right_key`` (and equal ``join_keys``).
+
+    ``op`` is one of ``>=``, ``<=``, ``>``, ``<``.  The comparison is made on the
+    original columns on every path, so the rows never depend on the plan.
+
+    * With ``join_keys`` it is an equi-join with the comparison as residual.
+    * Without, the output is a large share of all pairs, whatever the plan.  A
+      side measured at most ``max_broadcast_bytes`` (right first, then left) is
+      broadcast; otherwise the right key is cut at its quantiles (finite or
+      clamped, one aggregate job), each left row is copied into the bins that
+      can hold a partner and each right row goes to its own, and the join is an
+      equi-join on the bin.  Quantiles keep the bins even; NaN and infinities
+      fall into the outer bins.  AQE splits bins that many left rows reach.
     """
     if range_condition not in _RANGE_OPS:
         raise ValueError(f"range_condition must be one of {sorted(_RANGE_OPS)}, got {range_condition!r}")
-    op = _RANGE_OPS[range_condition]
+    compare = _RANGE_OPS[range_condition](F.col(f"{LEFT}.`{left_key}`"), F.col(f"{RIGHT}.`{right_key}`"))
     ctype = _common_type([_field_type(left, left_key), _field_type(right, right_key)])
-    lcol = F.col(f"{LEFT}.`{left_key}`").cast(ctype)
-    rcol = F.col(f"{RIGHT}.`{right_key}`").cast(ctype)
-
+    lft, rgt = left.alias(LEFT), right.alias(RIGHT)
+    if join_keys:
+        pairs = _key_pairs(join_keys)
+        cond = reduce(operator.and_, [_qualified(LEFT, lk) == _qualified(RIGHT, rk) for lk, rk in pairs], compare)
+        if fits_broadcast(right, max_broadcast_bytes):
+            rgt = F.broadcast(rgt)
+        return _project(lft.join(rgt, cond, "inner"), select_columns)
     if fits_broadcast(right, max_broadcast_bytes):
-        out = left.alias(LEFT).join(F.broadcast(right.alias(RIGHT)), op(lcol, rcol), "inner")
-        return _project(out, select_columns)
+        return _project(lft.join(F.broadcast(rgt), compare, "inner"), select_columns)
     if fits_broadcast(left, max_broadcast_bytes):
-        out = F.broadcast(left.alias(LEFT)).join(right.alias(RIGHT), op(lcol, rcol), "inner")
-        return _project(out, select_columns)
-
-    rkey = F.col(f"`{right_key}`").cast(ctype)
-    lkey = F.col(f"`{left_key}`").cast(ctype)
-    rord, lord = _ordinal(rkey, ctype), _ordinal(lkey, ctype)
-    stats = right.agg(F.min(rord).alias("lo"), F.max(rord).alias("hi")).collect()[0]
-    if stats["lo"] is None:  # no non-NULL right keys: nothing can match
-        out = left.alias(LEFT).join(right.alias(RIGHT), op(lcol, rcol), "inner").where(F.lit(False))
-        return _project(out, select_columns)
-    lo, hi = float(stats["lo"]), float(stats["hi"])
+        return _project(F.broadcast(lft).join(rgt, compare, "inner"), select_columns)
+
+    r_ord, l_ord = _ordinal(F.col(f"`{right_key}`"), ctype), _ordinal(F.col(f"`{left_key}`"), ctype)
     k = max(int(num_bins), 1)
-    width = (hi - lo) / k if hi > lo else 1.0
-    last = F.lit(k - 1).cast("long")
+    cuts = right.agg(F.percentile_approx(r_ord, [i / k for i in range(1, k)] or [0.5]).alias("cuts")).collect()[0]["cuts"]
+    edges = sorted(set(cuts or []))
+    last = len(edges)
 
     def bin_of(ordinal: Column) -> Column:
-        return F.floor((ordinal - F.lit(lo)) / F.lit(width)).cast("long")
-
-    rgt = right.where(rkey.isNotNull()).withColumn("__tw_rbin", F.least(bin_of(rord), last))
-    lb = bin_of(lord)
-    if range_condition in (">=", ">"):
-        top = F.least(lb, last)
-        lft = left.where(lkey.isNotNull() & (top >= 0)).withColumn(
-            "__tw_lbin", F.explode(F.sequence(F.lit(0).cast("long"), top))
-        )
-    else:
-        bottom = F.greatest(lb, F.lit(0).cast("long"))
-        lft = left.where(lkey.isNotNull() & (bottom <= last)).withColumn(
-            "__tw_lbin", F.explode(F.sequence(bottom, last))
-        )
-    cond = (F.col(f"{LEFT}.__tw_lbin") == F.col(f"{RIGHT}.__tw_rbin")) & op(lcol, rcol)
+        """How many edges lie at or below the ordinal: monotone, 0 to ``last``."""
+        return reduce(operator.add, [(ordinal >= F.lit(edge)).cast("int") for edge in edges], F.lit(0))
+
+    rgt = right.where(F.col(f"`{right_key}`").isNotNull()).withColumn("__tw_rbin", bin_of(r_ord))
+    low, high = (F.lit(0), bin_of(l_ord)) if range_condition in (">=", ">") else (bin_of(l_ord), F.lit(last))
+    lft = left.where(F.col(f"`{left_key}`").isNotNull()).withColumn("__tw_lbin", F.explode(F.sequence(low, high)))
+    cond = (F.col(f"{LEFT}.__tw_lbin") == F.col(f"{RIGHT}.__tw_rbin")) & compare
     out = lft.alias(LEFT).join(rgt.alias(RIGHT), cond, "inner").drop("__tw_lbin", "__tw_rbin")
     return _project(out, select_columns)
 
