@@ -8,14 +8,17 @@ next full bucket in a fixed random order of its own.
 
 1. Documents with equal sets become one class.
 2. Registers are cut into bands; classes that share a band are candidates.  In
-   each bucket of a band every class is compared with the smallest one only.
+   each bucket of a band every class is paired with the smallest one, its center.
    The registers estimate the Jaccard similarity, less the chance that
    different minima share a register; pairs far below the threshold go.
-3. What remains is confirmed on the full shingle sets.
-4. Confirmed links merge classes.  Buckets whose classes still are in several
-   components then have their cross-component pairs compared as well, in
-   buckets narrowed by a second band where they are large, so that no link
-   hides behind the smallest member.
+3. What remains is confirmed on the full shingle sets, and links merge classes.
+4. Where the members of a center still are in several components, a link between
+   two of them may have been missed.  Each member is then described by its
+   difference to the center (shingles that only one of both has).  Two members
+   can only be linked if their differences share a certain number of shingles, so
+   they share one among the rarest few of each (a prefix); an equi-join on those
+   finds all such pairs without pairing members that merely resemble the center.
+   They are estimated and confirmed like the others.
 5. Components come from the links; the smallest id of each stays.
 
 Similarity 100 * |A and B| >= 85 * |A or B|.  A pair at the threshold misses all
@@ -35,7 +38,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableworks.llm.common import byte_words, workers_find_package, written
@@ -48,7 +51,6 @@ BUCKETS = 1 << LG_BUCKETS
 BAND_ROWS = 5
 BANDS = BUCKETS // BAND_ROWS
 ESTIMATE_FLOOR = 0.66  # 0.85 less about six standard errors sqrt(0.85 * 0.15 / 128)
-LARGE_BUCKET = 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -158,7 +160,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate([band_keys(np.frombuffer(r, "<u2")) for r in regs]).view(np.int64)
         at = pa.array(np.repeat(np.arange(len(regs)), BANDS))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), batch.column("id").take(at), batch.column("n_shingles").take(at)], ["band", "id", "n"]
+            [pa.array(keys), batch.column("id").take(at)], ["band", "id"]
         )
 
 
@@ -188,17 +190,14 @@ def _likely(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs that reach the threshold on their full shingle sets."""
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose estimate allows the threshold and whose full sets reach it."""
     with_regs = (
         pairs.join(classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("regs").alias("ra")), "a")
         .join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("regs").alias("rb")), "b")
         .select("a", "b", "na", "nb", "ra", "rb")
     )
-    likely = written(with_regs.mapInArrow(partial(_likely, floor=ESTIMATE_FLOOR), "a long, b long").distinct(), "likely-pairs")
-    needed = written(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct(), "likely-ids")
-    texts = docs.join(needed, "id", "left_semi").select("id", "text")
-    sets = written(texts.mapInArrow(_sets, "id long, shingles array<long>"), "shingle-sets")
+    likely = with_regs.mapInArrow(partial(_likely, floor=ESTIMATE_FLOOR), "a long, b long").distinct()
     both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -207,6 +206,61 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     return both.filter(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct()
 
 
+def _unseen_pairs(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components that may be linked although neither is the center.
+
+    With the sizes n and the size d of a member's difference to its center, two
+    members x and y differ in d_x + d_y - 2 * overlap shingles, and they are
+    linked only if that is at most ``r`` times the sum of their sizes,
+    r = (100 - T) / (100 + T).  The overlap so has to reach
+    (d_x + d_y - r * (n_x + n_y)) / 2.  Since n_y is at most n_c + d_y and
+    n_x / (T / 100), and one of both isn't linked to the center, each member has
+    a least overlap with any partner of its own (``least``); by the prefix
+    principle both hold a common shingle among their first d - least + 1 in any
+    one order.  Rare shingles first makes such meetings few.
+    """
+    r = (100 - THRESHOLD_PERCENT) / (100 + THRESHOLD_PERCENT)
+    part = found.select(F.col("node").alias("id"), F.col("component").alias("part"))
+    labelled = (
+        stars.join(part, "id", "left")
+        .join(part.select(F.col("id").alias("center"), F.col("part").alias("center_part")), "center", "left")
+        .select("id", "center", F.coalesce("part", "id").alias("part"), F.coalesce("center_part", "center").alias("center_part"))
+    )
+    mixed = labelled.groupBy("center").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    mixed = mixed.filter("lo <> hi").select("center")
+    members = (
+        labelled.join(mixed, "center", "left_semi")
+        .join(sets.select("id", F.col("shingles").alias("mine")), "id")
+        .join(sets.select(F.col("id").alias("center"), F.col("shingles").alias("theirs")), "center")
+        .select(
+            "center", "id", "part", (F.col("part") == F.col("center_part")).alias("linked"),
+            F.size("mine").alias("n"), F.size("theirs").alias("nc"),
+            F.concat(F.array_except("mine", "theirs"), F.array_except("theirs", "mine")).alias("difference"),
+        )
+    )
+    d, n, nc = F.size("difference"), F.col("n"), F.col("nc")
+    at_center = d - r * (n + nc)
+    apart = F.greatest(at_center / (1 + r), d - n * (100 / THRESHOLD_PERCENT - 1))
+    least = F.greatest(F.lit(1.0), F.ceil(F.when(F.col("linked"), d * (1 - r) / 2).otherwise(apart) - 1e-6))
+    members = members.withColumn("d", d).withColumn("prefix", d - least + 1).filter("prefix > 0")
+    one = members.select("center", "id", "part", "n", "d", "prefix", F.explode("difference").alias("shingle"))
+    one = written(one, "differences")
+    often = one.groupBy("center", "shingle").agg(F.count("*").alias("holders"))
+    order = Window.partitionBy("center", "id").orderBy("holders", "shingle")
+    ranked = one.join(often, ["center", "shingle"]).withColumn("place", F.row_number().over(order))
+    keys = written(ranked.filter("place <= prefix AND holders > 1").drop("prefix", "holders"), "prefixes")
+    x = keys.select("center", "shingle", *[F.col(c).alias(f"{c}_x") for c in ("id", "part", "n", "d", "place")])
+    y = keys.select("center", "shingle", *[F.col(c).alias(f"{c}_y") for c in ("id", "part", "n", "d", "place")])
+    most = 1 + F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y"))
+    needed = (F.col("d_x") + F.col("d_y") - r * (F.col("n_x") + F.col("n_y"))) / 2
+    allowed = F.abs(F.col("d_x") - F.col("d_y")) <= r * (F.col("n_x") + F.col("n_y")) + 1e-6
+    meet = (
+        (x["center"] == y["center"]) & (x["shingle"] == y["shingle"]) & (F.col("id_x") < F.col("id_y"))
+        & (F.col("part_x") != F.col("part_y")) & allowed & (most >= needed - 1e-6)
+    )
+    return x.join(y, meet).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -223,33 +277,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = written(classes.filter("id IS NOT NULL"), "classes")
 
-    bands = classes.select("id", "n_shingles", "regs").mapInArrow(_bands, "band long, id long, n long")
-    bands = written(bands, "bands")
+    bands = written(classes.select("id", "regs").mapInArrow(_bands, "band long, id long"), "bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("center")).filter("members > 1")
-    placed = written(bands.join(shared, "band"), "shared-bands")
-    stars = placed.filter("id <> center").select(*_pair("id", "center")).distinct()
-    links = written(_confirmed(stars, classes, plain), "links")
-    found = components(links)
-
-    # buckets whose members are still apart: every cross-component pair of them
-    label = F.coalesce("component", "id")
-    apart = placed.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "center", "members", label.alias("part"))
-    mixed = apart.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("band")
-    rest = written(apart.join(mixed, "band", "left_semi"), "mixed-bands")
-    small = rest.filter(F.col("members") <= LARGE_BUCKET).select(F.col("band").alias("key"), F.lit(0).cast("long").alias("key2"), "id", "n", "part", "center")
-    large = rest.filter(F.col("members") > LARGE_BUCKET)
-    # a large bucket is cut by every other band that its members share with anyone
-    narrow = (
-        large.join(rest.select("id", F.col("band").alias("key2")), "id")
-        .filter("band < key2")
-        .select(F.col("band").alias("key"), "key2", "id", "n", "part", "center")
-    )
-    cells = small.unionByName(narrow)
-    x = cells.select("key", "key2", F.col("id").alias("x"), F.col("part").alias("px"), F.col("n").alias("nx"), "center")
-    y = cells.select("key", "key2", F.col("id").alias("y"), F.col("part").alias("py"), F.col("n").alias("ny"))
-    sized = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * THRESHOLD_PERCENT) & (F.col("px") != F.col("py"))
-    cross = x.join(y, ["key", "key2"]).filter((F.col("x") < F.col("y")) & sized & (F.col("x") != F.col("center")))
-    more = _confirmed(cross.select(*_pair("x", "y")).distinct(), classes, plain)
+    stars = bands.join(shared, "band").filter("id <> center").select("id", "center").distinct()
+    stars = written(stars, "stars")
+    starred = written(stars.select("id").union(stars.select("center")).distinct(), "starred")
+    texts = plain.join(starred, "id", "left_semi")
+    sets = written(texts.mapInArrow(_sets, "id long, shingles array<long>"), "shingle-sets")
+
+    links = _confirmed(stars.select(*_pair("id", "center")), classes, sets)
+    links = written(links, "links")
+    more = _confirmed(_unseen_pairs(stars, components(links), sets), classes, sets)
+
     # an id that repeats with another text links its classes
     member = signed.filter("set_key IS NOT NULL AND id IS NOT NULL").join(
         classes.select("set_key", F.col("id").alias("class_id")), "set_key"
