@@ -14,10 +14,12 @@ collected whole to the driver.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import logging
 import operator
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import Any
 
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 
+from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from tableworks.sources.tables import (
     create_table,
     drop_partitions,
@@ -100,23 +103,37 @@ def delete_insert(
     return kept.unionByName(source)
 
 
+def _small_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
+    """``df``, hinted for broadcast if it is measured at most ``max_bytes``."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
 # ---------------------------------------------------------------------------
 # merge / upsert
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, merge_keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame,
+    source: DataFrame,
+    merge_keys: Sequence[str],
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
     """New contents: every source row, plus the target rows whose key is not in the source.
 
     Matched rows take all source columns (updated ∪ inserted = source), so one
     anti join does the work of match / no-match / keep.  Target rows with a
     NULL key never match and are kept.  A key repeated in the target is
     replaced as a whole by the one source row.
+
+    Source keys measured at most ``max_broadcast_bytes`` are broadcast, so a
+    small batch never shuffles the target; otherwise both sides are shuffled and
+    AQE splits a hot key.
     """
     if not merge_keys:
         raise ValueError("merge_keys must be provided for merge/upsert")
     _same_columns(target, source)
     keys = list(merge_keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    kept = target.join(_small_broadcast(source.select(*keys), max_broadcast_bytes), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
@@ -125,9 +142,21 @@ def merge_upsert(target: DataFrame, source: DataFrame, merge_keys: Sequence[str]
 
 
 def _ts_literal(value: _dt.datetime | _dt.date | str | None, dtype: T.DataType) -> Column:
-    """A pinned timestamp literal of ``dtype`` (one value for the whole load)."""
+    """A pinned timestamp literal of ``dtype`` (one value for the whole load).
+
+    A datetime with a zone, and the default (now), is an instant: a zoned column
+    stores exactly that instant whatever the session's zone, and a column
+    without zone stores its UTC wall clock.  A datetime without zone, a date or
+    text is a wall clock, read in the session's zone by a zoned column.
+    """
     if value is None:
-        value = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        value = _dt.datetime.now(_dt.timezone.utc)
+    if isinstance(value, _dt.datetime) and value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc)
+        if isinstance(dtype, T.TimestampType):
+            since = value - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+            return F.timestamp_micros(F.lit(since // _dt.timedelta(microseconds=1)))
+        value = value.replace(tzinfo=None)
     if isinstance(value, _dt.datetime):
         text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     elif isinstance(value, _dt.date):
@@ -160,6 +189,7 @@ def scd2_apply(
     business_keys: Sequence[str],
     effective_date: _dt.datetime | _dt.date | str | None = None,
     validate: bool = True,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """New history after loading ``source`` at ``effective_date``.
 
@@ -169,12 +199,17 @@ def scd2_apply(
     * key without a current version (new, or only expired versions): added;
     * unchanged keys and keys missing from the source: untouched.
 
-    Plan: expired versions pass straight through (a filtered scan, no join);
-    only current versions meet the source, in one full outer join on the keys
-    (at most one row per key on each side, so the join cannot fan out), and
-    each joined row yields its old and/or new version through one ``explode``.
-    A changed key whose current version is not older than ``effective_date``
-    fails the write itself (``raise_error``), so no extra pass is needed.
+    Plan: expired versions pass straight through (a filtered scan, no join).
+    Current versions meet the source in one left join on the keys, and each
+    joined row yields its old and, if it changed, its new version.  Source rows
+    without a current version are found by an anti join against the keys that
+    do match, which are never more than the source's.  A source measured at most
+    ``max_broadcast_bytes`` is broadcast in both joins, so the history is not
+    shuffled; otherwise AQE can split a hot key in all of them.
+    A key with two current versions would insert its source row twice; with
+    ``validate`` such a history is refused (only keys of the source are looked
+    at).  A changed key whose current version is not older than
+    ``effective_date`` fails the write itself (``raise_error``).
     """
     keys = list(business_keys)
     if not keys:
@@ -203,11 +238,15 @@ def scd2_apply(
         F.lit(True).alias("__tw_s"),
     )
 
-    t, s = current.alias("t"), src.alias("s")
+    small = fits_broadcast(src, max_broadcast_bytes)
+    src_keys = src.select(*keys)
+    hit = current.select(*keys).join(F.broadcast(src_keys) if small else src_keys, keys, "left_semi")
+    if validate:
+        check_unique_keys(hit, keys, "current versions of the history: ")
+    t, s = current.alias("t"), (F.broadcast(src) if small else src).alias("s")
     on = reduce(operator.and_, [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys])
-    joined = t.join(s, on, "full_outer")
+    joined = t.join(s, on, "left")
 
-    in_t = F.col("t.__tw_t").isNotNull()
     in_s = F.col("s.__tw_s").isNotNull()
     non_keys = [c for c in data_cols if c not in keys]
     differs = reduce(
@@ -215,7 +254,7 @@ def scd2_apply(
         [~F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in non_keys],
         F.lit(False),
     )
-    changed = in_t & in_s & differs
+    changed = in_s & differs
     too_old = changed & (F.col(f"t.{EFFECTIVE_DATE}") >= eff)
     too_old_error = F.raise_error(
         F.concat(
@@ -223,33 +262,33 @@ def scd2_apply(
             F.to_json(F.struct(*[F.col(f"t.`{k}`") for k in keys])),
         )
     )
-    old_version = F.when(
-        in_t,
-        F.struct(
-            *[F.col(f"t.`{c}`").alias(c) for c in data_cols],
-            F.col(f"t.{EFFECTIVE_DATE}").alias(EFFECTIVE_DATE),
-            F.when(too_old, too_old_error)
-            .when(changed, F.lit(False))
-            .otherwise(F.col(f"t.{IS_CURRENT}"))
-            .alias(IS_CURRENT),
-            F.when(changed, eff).otherwise(F.col(f"t.{EXPIRY_DATE}")).alias(EXPIRY_DATE),
-        ),
+    old_version = F.struct(
+        *[F.col(f"t.`{c}`").alias(c) for c in data_cols],
+        F.col(f"t.{EFFECTIVE_DATE}").alias(EFFECTIVE_DATE),
+        F.when(too_old, too_old_error)
+        .when(changed, F.lit(False))
+        .otherwise(F.col(f"t.{IS_CURRENT}"))
+        .alias(IS_CURRENT),
+        F.when(changed, eff).otherwise(F.col(f"t.{EXPIRY_DATE}")).alias(EXPIRY_DATE),
     )
-    new_version = F.when(
-        in_s & (changed | ~in_t),
-        F.struct(
-            *[F.col(f"s.`{c}`").alias(c) for c in data_cols],
+
+    def current_from(prefix: str) -> list[Column]:
+        return [
+            *[F.col(f"{prefix}`{c}`").alias(c) for c in data_cols],
             eff.alias(EFFECTIVE_DATE),
             F.lit(True).alias(IS_CURRENT),
             F.lit(None).cast(ts_type).alias(EXPIRY_DATE),
-        ),
-    )
+        ]
+
+    new_version = F.when(changed, F.struct(*current_from("s.")))
     versions = (
         joined.select(F.explode(F.array(old_version, new_version)).alias("__tw_v"))
         .where(F.col("__tw_v").isNotNull())
         .select("__tw_v.*")
     )
-    return expired.select(*history.columns).unionByName(versions.select(*history.columns))
+    absent = src.join(hit.distinct(), keys, "left_anti").select(*current_from(""))
+    parts = [expired, versions, absent]
+    return reduce(DataFrame.unionByName, [part.select(*history.columns) for part in parts])
 
 
 def scd2_current(history: DataFrame) -> DataFrame:
@@ -265,14 +304,6 @@ def scd2_history(history: DataFrame, business_keys: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # partition-scoped loads: rewrite only the partitions a load touches
 
-# Up to this many distinct source partitions are turned into a literal filter
-# on the target's partition columns, which Spark applies to the file listing
-# (static partition pruning).  Above it the touched partitions are selected by
-# a null-safe semi join with the source's partition values instead: the
-# result is the same, the target is just read in full.
-MAX_LITERAL_PARTITIONS = 1000
-
-
 def _null_safe_on(pcols: Sequence[str], left: str, right: str) -> Column:
     return reduce(
         operator.and_, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in pcols]
@@ -285,53 +316,69 @@ def source_partitions(target: DataFrame, source: DataFrame, pcols: Sequence[str]
     return source.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in pcols]).distinct()
 
 
-def touched_partitions(
-    target: DataFrame,
-    source: DataFrame,
-    pcols: Sequence[str],
-    max_literal: int = MAX_LITERAL_PARTITIONS,
-) -> DataFrame:
+def touched_partitions(target: DataFrame, source: DataFrame, pcols: Sequence[str]) -> DataFrame:
     """Rows of ``target`` in the partitions ``source`` has rows for.
 
-    One bounded job lists at most ``max_literal + 1`` distinct source partition
-    values; if that is all of them they become a partition filter, so only
-    those partitions' files are listed and read.  Otherwise the rows are
-    selected by a semi join (same rows, full read of the target).
+    The smallest and largest source value of each partition column become a
+    filter on the file listing (static pruning, one literal pair per column
+    however many partitions there are); a null-safe semi join with the distinct
+    source partitions, broadcast when measured small, then selects exactly
+    those, and prunes the rest at run time.
     """
     parts = source_partitions(target, source, pcols)
-    values = parts.take(max_literal + 1)
-    if len(values) > max_literal:
-        return target.alias("t").join(parts.alias("p"), _null_safe_on(pcols, "t", "p"), "left_semi")
-    if not values:
-        return target.where(F.lit(False))
-    if len(pcols) == 1:
-        c = pcols[0]
-        present = [r[c] for r in values if r[c] is not None]
-        pred = F.col(f"`{c}`").isin(present) if present else F.lit(False)
-        if len(present) < len(values):
-            pred = pred | F.col(f"`{c}`").isNull()
-        return target.where(pred)
-    pred = reduce(
-        operator.or_,
-        [reduce(operator.and_, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in pcols]) for r in values],
-    )
-    return target.where(pred)
+    bounds = parts.agg(
+        *[f(F.col(f"`{c}`")).alias(f"{n}{i}") for i, c in enumerate(pcols) for n, f in (("lo", F.min), ("hi", F.max))],
+        *[F.max(F.col(f"`{c}`").isNull()).alias(f"null{i}") for i, c in enumerate(pcols)],
+    ).collect()[0]
+    pred = F.lit(True)
+    for i, c in enumerate(pcols):
+        col, lo, hi, nulls = F.col(f"`{c}`"), bounds[f"lo{i}"], bounds[f"hi{i}"], bounds[f"null{i}"]
+        if nulls is None:  # no source row at all
+            return target.where(F.lit(False))
+        inside = F.lit(False) if lo is None else col.between(F.lit(lo), F.lit(hi))
+        pred = pred & (inside | col.isNull() if nulls else inside)
+    listed = target.where(pred).alias("t")
+    some = _small_broadcast(parts, DEFAULT_BROADCAST_BYTES).alias("p")
+    return listed.join(some, _null_safe_on(pcols, "t", "p"), "left_semi")
 
 
 def _only_over(columns: Sequence[str], target: DataFrame, condition: Column) -> bool:
-    """Whether ``condition`` resolves over ``columns`` of ``target`` alone."""
+    """Whether ``condition`` reads at least one of ``columns`` of ``target``, reads
+    nothing else, and gives the same answer for a partition every time."""
     spark = target.sparkSession
     schema = T.StructType([target.schema[c] for c in columns])
     # PySpark logs every analysis error it raises; this one is an expected answer.
     quiet = logging.getLogger("SQLQueryContextLogger")
     was_disabled, quiet.disabled = quiet.disabled, True
     try:
-        spark.createDataFrame([], schema).where(condition)
+        filtered = spark.createDataFrame([], schema).where(condition)
     except AnalysisException:  # unresolved column: the condition reads other columns
         return False
     finally:
         quiet.disabled = was_disabled
-    return True
+    analyzed = filtered._jdf.queryExecution().analyzed()
+    if analyzed.nodeName() != "Filter":
+        return False
+    resolved = analyzed.condition()
+    return bool(resolved.deterministic()) and resolved.references().size() > 0
+
+
+@contextlib.contextmanager
+def _evaluated_once(source: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``source`` written to a table next to ``name`` for the time of a load.
+
+    A scoped load lists the source's partitions and then writes its rows; both
+    have to see the same rows, also when the source is not deterministic or
+    another job appends to what it reads.  The table lies in the shared
+    warehouse, so a lost executor reads it again.
+    """
+    spark = source.sparkSession
+    copy = f"{name}__src_{uuid.uuid4().hex[:8]}"
+    create_table(source, copy)
+    try:
+        yield spark.table(copy)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {copy}")
 
 
 def delete_insert_partitions(
@@ -347,17 +394,20 @@ def delete_insert_partitions(
     spark = source.sparkSession
     target = spark.table(name)
     cond = _as_condition(filter_condition)
-    emptied = (
-        target.where(F.coalesce(cond, F.lit(False)))
-        .select(*pcols)
-        .distinct()
-        .alias("d")
-        .join(source_partitions(target, source, pcols).alias("s"), _null_safe_on(pcols, "d", "s"), "left_anti")
-    )
-    # Partition specs only: catalog metadata, one small row per partition.
-    specs = [{c: r[c] for c in pcols} for r in emptied.collect()]
-    overwrite_partitions(delete_insert(touched_partitions(target, source, pcols), source, cond), name)
-    drop_partitions(spark, name, specs)
+    _same_columns(target, source)
+    with _evaluated_once(source, name) as rows:
+        overwrite_partitions(delete_insert(touched_partitions(target, rows, pcols), rows, cond), name)
+        # what the condition still finds besides the refilled partitions
+        left_over = spark.table(name).where(F.coalesce(cond, F.lit(False))).select(*pcols).distinct()
+        refilled = source_partitions(target, rows, pcols)
+        emptied = left_over.alias("d").join(refilled.alias("s"), _null_safe_on(pcols, "d", "s"), "left_anti")
+        specs: list[dict[str, object]] = []
+        for r in emptied.toLocalIterator():
+            specs.append({c: r[c] for c in pcols})
+            if len(specs) == 500:
+                drop_partitions(spark, name, specs)
+                specs = []
+        drop_partitions(spark, name, specs)
     return spark.table(name)
 
 
@@ -371,9 +421,9 @@ def merge_upsert_partitions(
     the source) + (their source rows), and no other partition is read or
     written.
     """
-    spark = source.sparkSession
-    target = spark.table(name)
-    return overwrite_partitions(merge_upsert(touched_partitions(target, source, pcols), source, merge_keys), name)
+    target = source.sparkSession.table(name)
+    with _evaluated_once(source, name) as rows:
+        return overwrite_partitions(merge_upsert(touched_partitions(target, rows, pcols), rows, merge_keys), name)
 
 
 def scd2_apply_partitions(
@@ -390,10 +440,10 @@ def scd2_apply_partitions(
     each of them still has rows afterwards (the source row's version, new or
     unchanged), so overwriting exactly those partitions is the whole update.
     """
-    spark = source.sparkSession
-    history = spark.table(name)
-    touched = touched_partitions(history, source, pcols)
-    return overwrite_partitions(scd2_apply(touched, source, business_keys, effective_date), name)
+    history = source.sparkSession.table(name)
+    with _evaluated_once(source, name) as rows:
+        touched = touched_partitions(history, rows, pcols)
+        return overwrite_partitions(scd2_apply(touched, rows, business_keys, effective_date), name)
 
 
 # ---------------------------------------------------------------------------
@@ -436,11 +486,22 @@ def merge_upsert_row_level(source: DataFrame, name: str, merge_keys: Sequence[st
 
 
 def delete_insert_row_level(source: DataFrame, name: str, filter_condition: str | Column | None) -> None:
-    """Delete the rows matching ``filter_condition`` (all rows without one) and
-    append ``source``, as one atomic overwrite-by-filter (``writeTo().overwrite``)."""
-    cond = F.lit(True) if filter_condition is None else _as_condition(filter_condition)
+    """Delete the rows matching ``filter_condition`` and append ``source``.
+
+    Without a condition both are one atomic overwrite of the whole table.  With
+    one, ``DELETE FROM`` takes any condition on a row-level table (an
+    overwrite-by-filter only takes those that fall on whole files); the append
+    is a second commit, and running the load again after a failure in between
+    gives the same rows.  A condition given as a ``Column`` has no SQL text and
+    goes through the overwrite-by-filter.
+    """
     target_columns = source.sparkSession.table(name).columns
-    source.select(*target_columns).writeTo(name).overwrite(cond)
+    rows = source.select(*target_columns)
+    if isinstance(filter_condition, str):
+        source.sparkSession.sql(f"DELETE FROM {name} WHERE {filter_condition}")
+        rows.writeTo(name).append()
+        return
+    rows.writeTo(name).overwrite(F.lit(True) if filter_condition is None else filter_condition)
 
 
 def _try_row_level(spark: SparkSession, name: str, row_level: bool | None, write: Any) -> bool:
@@ -562,7 +623,7 @@ def load_data(
     if not keys:
         raise ValueError("business_keys must be provided for SCD type 2")
     if effective_date is None:  # pin one instant for the whole load
-        effective_date = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        effective_date = _dt.datetime.now(_dt.timezone.utc)
     if not exists:
         check_unique_keys(source, keys)
         return replace_table(scd2_initial(source, effective_date), name, **write_opts)

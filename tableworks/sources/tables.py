@@ -15,8 +15,10 @@ table untouched.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 STAGE_SUFFIX = "__stg"
+COMPLETE_SUFFIX = "__new"  # a finished stage that is being copied over an external table
 
 
 class TableStateError(RuntimeError):
@@ -53,6 +55,24 @@ def _check_columns(columns: list[str], target_columns: list[str], name: str) ->
 DYNAMIC_OVERWRITE = ("partitionOverwriteMode", "dynamic")
 
 
+def _laid_out(
+    df: DataFrame, partition_by: list[str] | None = None, bucket_by: list[str] | None = None, num_buckets: int | None = None
+) -> DataFrame:
+    """``df`` arranged so that a partitioned or bucketed write makes few files.
+
+    Partitions: a rebalance on their columns puts the rows of a partition into
+    few tasks and splits one that holds very many (adaptive execution).
+    Buckets: a hash on the bucket columns, so each task writes one bucket.
+    """
+    if bucket_by:
+        shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        buckets = num_buckets or 10
+        return df.repartition(buckets * max(shuffles // buckets, 1), *bucket_by)
+    if partition_by:
+        return df.hint("rebalance", *partition_by)
+    return df
+
+
 def _create(
     df: DataFrame,
     name: str,
@@ -61,7 +81,7 @@ def _create(
     num_buckets: int | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    writer = df.write.mode("errorifexists")
+    writer = _laid_out(df, partition_by, bucket_by, num_buckets).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option(*DYNAMIC_OVERWRITE)
     if bucket_by:
@@ -97,10 +117,51 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
         return create_table(df, name)
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
-    df.select(*target_columns).write.insertInto(name)
+    rows = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
+    if _is_session_catalog(name):
+        rows.write.insertInto(name)
+    else:
+        rows.writeTo(name).append()
     return spark.table(name)
 
 
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    """The catalog's description of a table: ``Type``, ``Location``, ``Comment``, ..."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    start = next((i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed")), len(rows))
+    return {r["col_name"].strip(): (r["data_type"] or "").strip() for r in rows[start + 1 :]}
+
+
+def _bucket_spec(spark: SparkSession, name: str) -> tuple[list[str] | None, int | None]:
+    columns = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    if not columns:
+        return None, None
+    return columns, int(_details(spark, name).get("Num Buckets", "10"))
+
+
+def _is_external(spark: SparkSession, name: str) -> bool:
+    return _details(spark, name).get("Type", "").upper() == "EXTERNAL"
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Properties that a catalog keeps by itself.
+_OWN_PROPERTIES = ("transient_lastDdlTime", "numFiles", "totalSize", "numRows", "rawDataSize", "numPartitions")
+
+
+def _copy_metadata(spark: SparkSession, source: str, target: str) -> None:
+    """Table properties and comment, which ``CREATE TABLE ... LIKE`` leaves behind."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {source}").collect()
+    kept = [(r["key"], r["value"]) for r in rows if r["key"] not in _OWN_PROPERTIES and not r["key"].startswith("spark.sql.")]
+    if kept:
+        pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in kept)
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({pairs})")
+    if comment := _details(spark, source).get("Comment"):
+        spark.sql(f"COMMENT ON TABLE {target} IS {_sql_text(comment)}")
+
+
 def _split(name: str) -> list[str]:
     return [p.strip("`") for p in name.split(".")]
 
@@ -125,6 +186,8 @@ def recover_interrupted_swap(spark: SparkSession, name: str, *, drop_stale: bool
     * both present: another loader is running, or one died before it dropped the
       target (the stage may be incomplete).  Refuse unless ``drop_stale``.
     """
+    if table_exists(spark, name + COMPLETE_SUFFIX) and table_exists(spark, name):
+        _copy_complete(spark, name)
     stage = name + STAGE_SUFFIX
     if not table_exists(spark, stage):
         return
@@ -155,9 +218,13 @@ def replace_table(
 ) -> DataFrame:
     """Make ``df`` the whole contents of ``name`` (created if missing).
 
-    ``df`` may read ``name`` itself.  Order of work: write the stage (the only
-    job that runs ``df``), drop the old table, rename the stage.  Bucket and
-    partition specs of an existing table are kept (``CREATE TABLE ... LIKE``).
+    ``df`` may read ``name`` itself.  A managed table of the session catalog:
+    write the stage (the only job that runs ``df``), drop the old table, rename
+    the stage.  Bucket and partition specs, properties and comment are kept.
+    An EXTERNAL table keeps its location: the stage is written and marked
+    complete by a rename, then copied over the table's files, then dropped; an
+    interrupted copy is finished by the next load.  A table of a V2 catalog is
+    overwritten in one commit of its own and never dropped.
     Returns a fresh lazy scan of the new table: a frame built on the old table
     cannot be run after the swap.
     """
@@ -169,22 +236,42 @@ def replace_table(
         )
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
+    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
+    if not _is_session_catalog(name):
+        ordered.writeTo(name).overwrite(F.lit(True))
+        return spark.table(name)
     stage = name + STAGE_SUFFIX
-    ordered = df.select(*target_columns)
+    external = _is_external(spark, name)
     try:
-        if _is_session_catalog(name):
-            spark.sql(f"CREATE TABLE {stage} LIKE {name}")
-            ordered.write.insertInto(stage)
-        else:
-            ordered.writeTo(stage).create()
+        spark.sql(f"CREATE TABLE {stage} LIKE {name}")
+        if not external:
+            _copy_metadata(spark, name, stage)
+        ordered.write.insertInto(stage)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
         raise
-    spark.sql(f"DROP TABLE {name}")
-    _rename(spark, stage, name)
+    if external:
+        _rename(spark, stage, name + COMPLETE_SUFFIX)
+        _copy_complete(spark, name)
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        _rename(spark, stage, name)
     return spark.table(name)
 
 
+def _copy_complete(spark: SparkSession, name: str) -> None:
+    """Overwrite an external table's files with its completed stage, then drop the stage."""
+    complete = name + COMPLETE_SUFFIX
+    if not partition_columns(spark, name):
+        spark.table(complete).write.insertInto(name, overwrite=True)
+    else:
+        # every partition goes, also those without new rows
+        key, value = DYNAMIC_OVERWRITE[0], "static"
+        spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('{key}' = '{value}')")
+        spark.table(complete).write.insertInto(name, overwrite=True)
+    spark.sql(f"DROP TABLE {complete}")
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     """Partition columns of a catalog table, in table order (empty if none)."""
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
@@ -207,7 +294,7 @@ def overwrite_partitions(df: DataFrame, name: str) -> DataFrame:
         raise ValueError(f"table {name} is not partitioned")
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
-    ordered = df.select(*target_columns)
+    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
     if _is_session_catalog(name):
         key, value = DYNAMIC_OVERWRITE
         spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('{key}' = '{value}')")
@@ -245,6 +332,7 @@ def write_bucketed(
     *,
     sort: bool = True,
     files_per_bucket: int | None = None,
+    catalog: str | None = None,
 ) -> DataFrame:
     """Write ``df`` as a table bucketed (and sorted) on ``bucket_columns``.
 
@@ -258,9 +346,18 @@ def write_bucketed(
     cluster sized for its data does not funnel a 10-bucket table through 10
     tasks.  Joins on the bucket columns of two tables with the same bucket
     count skip the exchange whatever the number of files per bucket.
+
+    In a V2 catalog (``catalog``, or one named in ``name``) the table is created
+    with a bucket transform as its partitioning, which takes one column.
     """
     if not bucket_columns:
         raise ValueError("bucket_columns must not be empty")
+    name = qualified_name(name, catalog)
+    if not _is_session_catalog(name):
+        if len(bucket_columns) != 1:
+            raise ValueError("a V2 bucket transform takes one column")
+        df.writeTo(name).partitionedBy(F.partitioning.bucket(num_buckets, bucket_columns[0])).create()
+        return df.sparkSession.table(name)
     if files_per_bucket is None:
         shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         files_per_bucket = max(shuffle_partitions // num_buckets, 1)
