@@ -414,7 +414,8 @@ def interval_join(
     names, kept from both sides), e.g. for a lookup in a history as of a time.
 
     Plan: a range of length ``L`` gets the level whose bins are a power of two
-    at least ``2 * L`` wide, so it covers at most two bins.  One aggregate over
+    at least ``2 * L`` wide, so it covers at most two bins (numbers saturate at
+    the ends of a long, which keeps their order).  One aggregate over
     the ranges gives the levels in use, their count and their bytes.  A point
     gets its bin at each of these levels, and the join is an equi-join on keys,
     level and bin with the exact predicate, on the original columns, as
@@ -468,7 +469,7 @@ def interval_join(
     width = F.pow(F.lit(2.0), F.col("__tw_rlvl").cast("double"))
     binned = rng.withColumn("__tw_rlvl", level).withColumn(
         "__tw_rbin",
-        F.explode(F.array_distinct(F.array(s_ord - F.pmod(s_ord, width), e_ord - F.pmod(e_ord, width)))),
+        F.explode(F.array_distinct(F.array(F.floor(s_ord / width), F.floor(e_ord / width)))),
     )
     if small_ranges:
         binned = F.broadcast(binned)
@@ -476,7 +477,7 @@ def interval_join(
     def at_levels(frame: DataFrame) -> DataFrame:
         p_ord = _ordinal(F.col(f"`{point_col}`"), ctype)
         bins = [
-            F.struct(F.lit(lv).alias("l"), (p_ord - F.pmod(p_ord, F.lit(2.0**lv))).alias("b")) for lv in levels
+            F.struct(F.lit(lv).alias("l"), F.floor(p_ord / F.lit(2.0**lv)).alias("b")) for lv in levels
         ]
         some = frame.where(F.col(f"`{point_col}`").isNotNull()).withColumn("__tw_pk", F.explode(F.array(*bins)))
         return some.withColumns({"__tw_plvl": F.col("__tw_pk.l"), "__tw_pbin": F.col("__tw_pk.b")}).drop("__tw_pk")

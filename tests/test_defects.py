@@ -22,9 +22,9 @@ from tests import fixtures as fx
 
 def _frames(spark):
     return (
-        spark.createDataFrame(fx.JOIN_CUSTOMERS, fx.JOIN_CUSTOMER_SCHEMA),
-        spark.createDataFrame(fx.JOIN_ORDERS, fx.JOIN_ORDER_SCHEMA),
-        spark.createDataFrame(fx.DATE_RANGES, fx.RANGE_SCHEMA),
+        spark.createDataFrame(fx.READERS, fx.READER_SCHEMA),
+        spark.createDataFrame(fx.LOANS, fx.LOAN_SCHEMA),
+        spark.createDataFrame(fx.TERMS, fx.TERM_SCHEMA),
     )
 
 
@@ -40,82 +40,82 @@ def test_d9_one_effective_instant_per_load(spark, fresh):
 
 
 def test_d16_caller_chosen_aliases(spark):
-    _, orders, ranges = _frames(spark)
+    _, loans, terms = _frames(spark)
     out = conditional_join(
-        orders, ranges,
-        "orders.order_date >= date_ranges.start_date AND orders.order_date <= date_ranges.end_date",
-        ["order_id", "period_name"], left_alias="orders", right_alias="date_ranges",
+        loans, terms,
+        "loans.taken >= terms.first_day AND loans.taken <= terms.last_day",
+        ["loan_no", "term"], left_alias="loans", right_alias="terms",
     )
     assert out.count() == 4
 
 
 def test_d17_d18_dispatch_advanced_and_bucket(spark, fresh):
-    customers, orders, ranges = _frames(spark)
-    by_points = join_data(orders, ranges, strategy="advanced", point_col="order_date",
-                          start_col="start_date", end_col="end_date")
+    readers, loans, terms = _frames(spark)
+    by_points = join_data(loans, terms, strategy="advanced", point_col="taken",
+                          start_col="first_day", end_col="last_day")
     assert by_points.count() == 4
-    by_range = join_data(orders, ranges, strategy="advanced", left_key="order_date", right_key="start_date")
-    assert by_range.count() == orders.join(ranges, F.col("order_date") >= F.col("start_date")).count()
+    by_range = join_data(loans, terms, strategy="advanced", left_key="taken", right_key="first_day")
+    assert by_range.count() == loans.join(terms, F.col("taken") >= F.col("first_day")).count()
     lt, rt = fresh("d18l"), fresh("d18r")
-    write_bucketed(customers, lt, ["customer_id"], 2)
-    write_bucketed(orders, rt, ["customer_id"], 2)
-    assert join_data(lt, rt, ["customer_id"], strategy="bucket", join_type="left").count() == 5
+    write_bucketed(readers, lt, ["member_no"], 2)
+    write_bucketed(loans, rt, ["member_no"], 2)
+    assert join_data(lt, rt, ["member_no"], strategy="bucket", join_type="left").count() == 5
     with pytest.raises(ValueError, match="advanced"):
-        join_data(orders, ranges, strategy="advanced")
+        join_data(loans, terms, strategy="advanced")
 
 
 @pytest.mark.parametrize("bad", ["cross", "sideways", "outer join"])
 def test_d19_unknown_join_type_raises(spark, bad):
-    customers, orders, _ = _frames(spark)
+    readers, loans, _ = _frames(spark)
     with pytest.raises(ValueError, match="join type"):
-        join_data(customers, orders, ["customer_id"], "basic", bad)
+        join_data(readers, loans, ["member_no"], "basic", bad)
     with pytest.raises(ValueError):
         normalize_join_type(bad)
 
 
 def test_d20_range_operator_whitelist(spark):
-    customers, orders, _ = _frames(spark)
+    readers, loans, _ = _frames(spark)
     with pytest.raises(ValueError, match="range_condition"):
-        range_join(customers, orders, "customer_id", "customer_id", ">= 0 OR 1 =")
+        range_join(readers, loans, "member_no", "member_no", ">= 0 OR 1 =")
 
 
 def test_d21_multi_table_defaults_follow_order(spark):
-    customers, orders, _ = _frames(spark)
-    single = multi_table_join([customers], [])
-    assert single.count() == customers.count()
-    chained = multi_table_join([customers, orders], [{"left_key": "customer_id", "right_key": "customer_id"}])
+    readers, loans, _ = _frames(spark)
+    single = multi_table_join([readers], [])
+    assert single.count() == readers.count()
+    chained = multi_table_join([readers, loans], [{"left_key": "member_no", "right_key": "member_no"}])
     assert chained.count() == 3
 
 
 def test_d22_outer_in_multi_table_is_full_outer(spark):
-    customers, orders, _ = _frames(spark)
+    readers, loans, _ = _frames(spark)
     out = multi_table_join(
-        [customers, orders],
-        [{"left_key": "customer_id", "right_key": "customer_id", "join_type": "outer"}],
-        ["table_0.customer_id", "table_1.order_id"],
+        [readers, loans],
+        [{"left_key": "member_no", "right_key": "member_no", "join_type": "outer"}],
+        ["table_0.member_no", "table_1.loan_no"],
     )
     assert out.count() == 6
 
 
 @pytest.mark.parametrize("how,hinted", [("inner", True), ("left", True), ("right", False), ("full_outer", False)])
 def test_d23_broadcast_hint_only_where_it_can_serve(spark, how, hinted):
-    customers, orders, _ = _frames(spark)
+    readers, loans, _ = _frames(spark)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = broadcast_join(orders, customers, ["customer_id"], how)
+        out = broadcast_join(loans, readers, ["member_no"], how)
         text = plan_text(out)
         assert ("BroadcastHashJoin" in text) == hinted
-        expected = equi_join(orders, customers, ["customer_id"], how).count()
+        expected = equi_join(loans, readers, ["member_no"], how).count()
         assert out.count() == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_d24_broadcast_join_leaves_session_settings(spark):
-    customers, orders, _ = _frames(spark)
+    readers, loans, _ = _frames(spark)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    broadcast_join(orders, customers, ["customer_id"], "inner", broadcast_threshold_mb=123).count()
+    broadcast_join(loans, readers, ["member_no"], "inner", broadcast_threshold_mb=123).count()
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
 
 
@@ -125,12 +125,12 @@ def test_d28_normalize_text_null_stays_null(spark):
 
 
 def test_d29_no_temp_views_left_behind(spark, fresh):
-    customers, orders, ranges = _frames(spark)
+    readers, loans, terms = _frames(spark)
     before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
-    conditional_join(orders, ranges, "left_table.order_date >= right_table.start_date").count()
-    multi_table_join([customers, orders], [{"left_key": "customer_id", "right_key": "customer_id"}]).count()
+    conditional_join(loans, terms, "left_table.taken >= right_table.first_day").count()
+    multi_table_join([readers, loans], [{"left_key": "member_no", "right_key": "member_no"}]).count()
     name = fresh("d29")
-    load_data(customers, name, "merge_upsert", merge_keys=["customer_id"])
-    load_data(customers, name, "merge_upsert", merge_keys=["customer_id"])
+    load_data(readers, name, "merge_upsert", merge_keys=["member_no"])
+    load_data(readers, name, "merge_upsert", merge_keys=["member_no"])
     after = {t.name for t in spark.catalog.listTables() if t.isTemporary}
     assert after == before

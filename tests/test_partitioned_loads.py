@@ -95,21 +95,46 @@ def test_created_partitioned_table_has_partition_columns(spark, fresh):
     assert partition_columns(spark, name) == ["day", "region"]
 
 
-@pytest.mark.parametrize("max_literal", [1000, 1])
-def test_touched_partitions_prunes_or_semi_joins(spark, fresh, max_literal):
-    rows = [(i, "a", d, 1) for i, d in enumerate(["d1", "d2", "d3"] * 3)]
+def test_touched_partitions_prune_and_select_exactly(spark, fresh):
+    rows = [(i, "a", d, 1) for i, d in enumerate(["d1", "d2", "d3", "d4"] * 3)]
     name = fresh("prune")
     create_table(spark.createDataFrame(rows, SCHEMA), name, partition_by=["day"])
-    target = spark.table(name)
-    src = spark.createDataFrame([(0, "x", "d1", 1), (1, "y", "d2", 1)], SCHEMA)
-    touched = touched_partitions(target, src, ["day"], max_literal=max_literal)
-    assert sorted(r["day"] for r in touched.collect()) == ["d1"] * 3 + ["d2"] * 3
+    src = spark.createDataFrame([(0, "x", "d1", 1), (1, "y", "d3", 1)], SCHEMA)
+    touched = touched_partitions(spark.table(name), src, ["day"])
+    assert sorted(r["day"] for r in touched.collect()) == ["d1"] * 3 + ["d3"] * 3
     text = plan_text(touched)
-    if max_literal > 1:
-        assert "PartitionFilters: [isnotnull(day" in text or "day#" in text
-        assert "d3" not in text.split("PartitionFilters")[1].split("]")[0]
-    else:
-        assert "LeftSemi" in text
+    filters = text.split("PartitionFilters")[1].split("]")[0]
+    assert "day" in filters and "d1" in filters and "d3" in filters  # the listing stops at d3
+    assert "LeftSemi" in text and "Exchange hashpartitioning(day" not in text.split("Scan parquet")[0]
+
+
+def test_two_thousand_two_column_partitions(spark, fresh):
+    name = fresh("many")
+    wide = "id int, v string, a int, b int"
+    create_table(spark.createDataFrame([(1, "old", 1, 1), (2, "old", 3000, 0)], wide), name, partition_by=["a", "b"])
+    src = spark.range(2000).selectExpr("CAST(id AS int) AS id", "'new' AS v", "CAST(id AS int) AS a", "CAST(id % 7 AS int) AS b")
+    touched = touched_partitions(spark.table(name), src, ["a", "b"])
+    assert [tuple(r) for r in touched.collect()] == [(1, "old", 1, 1)]
+
+
+def test_conditions_that_decide_no_partition_go_the_whole_way(spark, fresh):
+    name = fresh("rand")
+    rows = [(i, "a", f"d{i % 25}", 1) for i in range(1000)]
+    create_table(spark.createDataFrame(rows, SCHEMA), name, partition_by=["day"])
+    empty = spark.createDataFrame([], SCHEMA)
+    left = load_data(empty, name, "delete_insert", filter_condition="rand(7) < 0.5").count()
+    assert 380 < left < 620
+    assert load_data(empty, name, "delete_insert", filter_condition="1 = 0").count() == left
+
+
+def test_a_source_that_changes_between_reads_loses_no_partition(spark, fresh):
+    name = fresh("unstable")
+    rows = [(i, "a", f"d{i % 10}", 1) for i in range(1000)]
+    create_table(spark.createDataFrame(rows, SCHEMA), name, partition_by=["day"])
+    # lands in another partition each time it is evaluated
+    src = spark.range(1).selectExpr("id + 5000 AS k", "'x' AS v", "concat('d', CAST(floor(rand() * 10) AS int)) AS day", "1 AS region")
+    got = load_data(src, name, "merge_upsert", merge_keys=["day", "k"])
+    assert got.count() == 1001
 
 
 def test_scoped_merge_reads_only_touched_partitions(spark, fresh):
