@@ -1,0 +1,88 @@
+"""Secret scan: candidates and features against Python, held-out findings, redaction, edge cases."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tableworks.llm import secret_scan as X
+from tableworks.llm.queries import QUERIES
+from tests.conftest import SF_ORACLE
+from tests.llm.data import edge_docs, no_docs
+
+PATTERN = re.compile(X.CANDIDATE)
+
+
+def test_candidates_and_neighbours_match_python(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    want = set()
+    for d in docs.collect():
+        at = 0
+        hits = list(PATTERN.finditer(d["text"]))
+        for k, m in enumerate(hits, 1):
+            end = hits[k].start() if k < len(hits) else len(d["text"])
+            want.add((d["doc_id"], k, m[0], d["text"][at : m.start()][-48:], d["text"][m.end() : end][:48]))
+            at = m.end()
+    assert {tuple(r) for r in X.findings(docs).collect()} == want
+
+
+def test_features_of_known_findings(spark):
+    rows = [(1, 1, "ab12cd34ef56ab12cd34ef56ab12cd34", 'token = "', '" x'), (2, 1, "aaaaaaaaaaaaaaaaaaaa", "see http://x/", ""), (3, 1, "thereafterthereafter", "", "")]
+    got = {r["id"]: r for r in X.with_features(spark.createDataFrame(rows, "id long, place int, candidate string, before string, after string")).collect()}
+    one = got[1]
+    assert (one["length"], one["digits"], one["hex"], one["named"], one["assigned"], one["quoted"], one["in_path"]) == (32, 0.5, 1, 1, 1, 1, 0)
+    assert one["digit_letter"] == 15 / 32 and one["class_changes"] == 16 / 32
+    assert (got[2]["in_path"], got[2]["distinct"], got[2]["longest_repeat"], got[2]["named"]) == (1, 1 / 20, 0.5, 0)
+    assert got[3]["dictionary"] == 1.0 and got[3]["word_before"] == got[3]["word_after"] == 0
+
+
+def test_held_out_findings_of_the_table(spark):
+    rows = QUERIES["op1_secret_scan"](spark, SF_ORACLE).collect()
+    docs = {d["doc_id"]: d["text"] for d in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()}
+    planted = 0
+    for r in rows:
+        m = list(PATTERN.finditer(docs[r["doc_id"]]))[r["place"] - 1]
+        before = docs[r["doc_id"]][: m.start()]
+        secret = bool(re.search(r'(?i)token = "$', before))
+        planted += secret
+        assert r["is_secret"] == secret and len(m[0]) == r["length"]
+    assert planted > 10 and any(r["held_out"] and r["is_secret"] for r in rows)
+
+
+def test_forest_learns_from_given_labels(spark):
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(400):
+        key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(rng.randrange(20, 50)))
+        word = "".join(rng.choice(["there", "after", "image", "world", "index"]) for _ in range(rng.randrange(4, 8)))
+        good = i % 2
+        rows.append((i, f"some text {'api_key: ' if rng.random() < 0.7 else 'and '}{key} more" if good else f"see http://example.org/{word}/x and more"))
+        labels.append((i, 1, good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels[:200], "id long, place int, label int")
+    got = X.scan(docs, known).filter("doc_id >= 200 AND place = 1").collect()
+    assert sum(r["is_secret"] == bool(r["doc_id"] % 2) for r in got) >= 195
+
+
+def test_plan_has_no_python(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    plan = X.with_features(X.findings(docs))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, 'a token = "0123456789abcdef0123456789abcdef" and thereafterthereafter', "k"), (2, None, "k"), (None, "x", "k")], "doc_id long, text string, score string")
+    scanned = X.scan(docs)
+    clean = X.redact_secrets(docs, scanned)
+    assert clean.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == {1: 'a token = "<secret>" and thereafterthereafter', 2: None, None: "x"}
+
+
+def test_edges(spark):
+    assert X.scan(edge_docs(spark)).count() == 0
+    assert X.scan(no_docs(spark)).count() == 0
+    ends = spark.createDataFrame([(1, "0123456789abcdefABCD"), (1, "0123456789abcdefABCD"), (None, "== 0123456789abcdefABCD")], "doc_id long, text string")
+    rows = X.scan(ends).collect()
+    assert len(rows) == 3 and {(r["before"], r["after"]) for r in rows} == {("", ""), ("== ", "")}
+    long = spark.createDataFrame([(1, "thereafterthereafter " * 20000)], "doc_id long, text string")
+    assert X.findings(long).agg(F.max("place")).first()[0] == 20000
