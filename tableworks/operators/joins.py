@@ -18,6 +18,7 @@ those names.  No temp views are registered: nothing leaks between calls.
 
 from __future__ import annotations
 
+import logging
 import math
 import operator
 import re
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast, row_bytes
-from tableworks.sources.tables import qualified_name
+from tableworks.sources.tables import bucket_spec, qualified_name
+
+_log = logging.getLogger(__name__)
 
 LEFT = "left_table"
 RIGHT = "right_table"
@@ -707,10 +710,18 @@ def bucketed_join(
 
     With equal bucket counts and keys equal to the bucket columns, the
     sort-merge join reads bucket ``i`` of both sides in task ``i``: no
-    exchange on either side (see ``write_bucketed``).
+    exchange on either side (see ``write_bucketed``).  Other bucket specs give
+    the same rows through a shuffle; that is logged as a warning.
     """
-    left = spark.table(qualified_name(left_table, left_catalog))
-    right = spark.table(qualified_name(right_table, right_catalog))
+    names = qualified_name(left_table, left_catalog), qualified_name(right_table, right_catalog)
+    pairs = _key_pairs(join_keys)
+    specs = [bucket_spec(spark, name) for name in names]
+    for name, (columns, _), keys in zip(names, specs, zip(*pairs)):
+        if columns is None or set(columns) != set(keys):
+            _log.warning("%s is bucketed by %s, not by the join keys %s: the join shuffles it", name, columns, list(keys))
+    if specs[0][1] != specs[1][1]:
+        _log.warning("%s and %s have %s and %s buckets: the join shuffles one of them", *names, specs[0][1], specs[1][1])
+    left, right = (spark.table(name) for name in names)
     return equi_join(left, right, join_keys, join_type, select_columns)
 
 

@@ -1,4 +1,4 @@
-"""Reading physical plans, for tests and the bench log."""
+"""Reading physical plans, for tests and the plan report."""
 
 from __future__ import annotations
 
@@ -14,11 +14,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
-
-
-def final_plan_text(df: DataFrame) -> str:
-    """Plan after running ``df`` once through its own query execution, so the
-    adaptive decisions (skew splits, broadcasts, coalescing) are visible.
-    Collects ``df``: for tests on small frames only."""
-    df.collect()
-    return plan_text(df)

@@ -1,4 +1,4 @@
-"""Session settings for local runs (tests, bench) and the checkpoint folder.
+"""Session settings for local runs (tests, bench).
 
 Library functions never change session settings; they take the SparkSession
 the caller built.  This module is only for local sessions.
@@ -44,15 +44,3 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The cluster's checkpoint folder (``spark.checkpoint.dir``); ``fallback``
-    is set only when the session names none, as in local tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback

@@ -117,7 +117,7 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
         return create_table(df, name)
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
-    rows = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
+    rows = _laid_out(df.select(*target_columns), partition_columns(spark, name), *bucket_spec(spark, name))
     if _is_session_catalog(name):
         rows.write.insertInto(name)
     else:
@@ -132,7 +132,8 @@ def _details(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["col_name"].strip(): (r["data_type"] or "").strip() for r in rows[start + 1 :]}
 
 
-def _bucket_spec(spark: SparkSession, name: str) -> tuple[list[str] | None, int | None]:
+def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str] | None, int | None]:
+    """Bucket columns and count of a catalog table; ``(None, None)`` without buckets."""
     columns = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
     if not columns:
         return None, None
@@ -236,7 +237,7 @@ def replace_table(
         )
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
-    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
+    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *bucket_spec(spark, name))
     if not _is_session_catalog(name):
         ordered.writeTo(name).overwrite(F.lit(True))
         return spark.table(name)
@@ -294,7 +295,7 @@ def overwrite_partitions(df: DataFrame, name: str) -> DataFrame:
         raise ValueError(f"table {name} is not partitioned")
     target_columns = spark.table(name).columns
     _check_columns(df.columns, target_columns, name)
-    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *_bucket_spec(spark, name))
+    ordered = _laid_out(df.select(*target_columns), partition_columns(spark, name), *bucket_spec(spark, name))
     if _is_session_catalog(name):
         key, value = DYNAMIC_OVERWRITE
         spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ('{key}' = '{value}')")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tableworks.operators.loads import LOAD_STRATEGIES, load_data
@@ -26,6 +27,7 @@ def stream_load(
     target_catalog: str | None = None,
     trigger: dict[str, Any] | None = None,
     query_name: str | None = None,
+    latest_by: str | None = None,
     **load_kwargs: Any,
 ) -> StreamingQuery:
     """Start a streaming query that loads each micro-batch into ``target_table``.
@@ -37,7 +39,16 @@ def stream_load(
     ``load_kwargs`` go to ``load_data`` (``merge_keys``, ``business_keys``,
     ``filter_condition``, ...).  An SCD type 2 stream without an explicit
     ``effective_date`` stamps each batch with the time it is loaded.
+
+    An upsert or SCD type 2 load takes each key once per micro-batch.  With
+    ``latest_by`` the row with the largest value of that column stands for its
+    key (combined before the shuffle); without it a key that occurs twice in a
+    micro-batch fails the load, which stops the query.  A delete+insert without
+    a condition replaces the whole table with every micro-batch.
     """
+    keys = list(load_kwargs.get("merge_keys") or load_kwargs.get("business_keys") or [])
+    if latest_by is not None and not keys:
+        raise ValueError("latest_by needs merge_keys or business_keys")
     if not stream.isStreaming:
         raise ValueError("stream_load needs a streaming DataFrame (spark.readStream...)")
     if strategy not in LOAD_STRATEGIES:
@@ -46,6 +57,10 @@ def stream_load(
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         # The load reads the batch several times (key check, partitions, write):
         # keep it on the executors for that, instead of re-reading the source.
+        if latest_by is not None:
+            row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
+            best = F.max_by(row, F.struct(F.col(f"`{latest_by}`"), F.xxhash64(*[F.col(f"`{c}`") for c in batch.columns])))
+            batch = batch.groupBy(*keys).agg(best.alias("__tw_row")).select("__tw_row.*")
         batch.persist()
         try:
             load_data(batch, target_table, strategy, target_catalog, **load_kwargs)

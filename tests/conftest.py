@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tableworks.session import ensure_checkpoint_dir, local_session  # noqa: E402
+from tableworks.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
@@ -16,7 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     scratch = tempfile.mkdtemp(prefix="tw-test-", dir="/tmp")
     session = local_session("*", 8, warehouse_dir=os.path.join(scratch, "warehouse"), driver_memory="4g")
-    ensure_checkpoint_dir(session, os.path.join(scratch, "checkpoints"))
+    if not session.sparkContext.getCheckpointDir():  # spark.checkpoint.dir, where it is set
+        session.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
     yield session
     session.stop()
 

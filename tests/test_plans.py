@@ -165,7 +165,7 @@ def test_split_full_outer_reuses_side_exchanges(spark):
     """The inner part and each anti part read the same NULL-free side, so each
     side is shuffled once in full (reused) plus once as keys only."""
     from tableworks import equi_join
-    from tableworks.plans.inspect import final_plan_text
+    from tests.plans import final_plan_text
 
     customer = w.table(spark, SF_SMALL, "customer").where(F.col("c_mktsegment") == "BUILDING")
     orders = w.table(spark, SF_SMALL, "orders").where(F.col("o_orderpriority") == "1-URGENT")

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableworks import check_unique_keys, equi_join, interval_join, merge_upsert
-from tableworks.plans.inspect import final_plan_text, plan_text
+from tableworks.plans.inspect import plan_text
+from tests.plans import final_plan_text
 
 N = 30_000
 

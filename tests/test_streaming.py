@@ -66,3 +66,14 @@ def test_stream_upsert_into_partitioned_table(spark, fresh):
     got = spark.table(name)
     assert got.count() == customer.count()
     assert got.select(*customer.columns).exceptAll(customer).count() == 0
+
+
+def test_latest_row_of_a_key_wins_within_a_batch(spark, fresh):
+    name, folder = fresh("stream_latest"), tempfile.mkdtemp(prefix="tw-stream-", dir="/tmp")
+    rows = [(1, "a", 1), (1, "c", 3), (1, "b", 2), (2, "x", 1)]
+    spark.createDataFrame(rows, "k int, v string, at int").coalesce(1).write.parquet(os.path.join(folder, "in"))
+    stream = spark.readStream.schema("k int, v string, at int").parquet(os.path.join(folder, "in"))
+    q = stream_load(stream, name, "merge_upsert", os.path.join(folder, "c"), trigger={"availableNow": True},
+                    merge_keys=["k"], latest_by="at")
+    q.awaitTermination(120)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, "c", 3), (2, "x", 1)]
