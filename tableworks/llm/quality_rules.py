@@ -35,6 +35,7 @@ SAMPLE_DOCUMENTS = 2000  # documented bound of the sample that sets the order
 # Characters that count as symbols; white space between words.
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
+UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 
 BASE_SCHEMA = T.StructType(
     [
@@ -100,8 +101,10 @@ def _symbol_heavy(p: Page) -> bool:
 
 
 def _shouting(p: Page) -> bool:
-    letters = [c for c in p.text[:: max(1, len(p.text) // 4000)] if c.isalpha()]
-    return len(letters) >= 40 and sum(map(str.isupper, letters)) * 10 > 6 * len(letters)
+    raw = p.text.encode("utf-8", "surrogatepass")
+    upper = len(raw) - len(raw.translate(None, UPPER))
+    letters = upper + len(raw) - len(raw.translate(None, LOWER))
+    return letters >= 40 and upper * 10 > 6 * letters
 
 
 def _marked_words(p: Page) -> bool:

@@ -11,7 +11,7 @@ from tableworks.llm.common import table
 from tableworks.llm.context_trees import score_texts
 from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lines
 from tableworks.llm.nbest_pieces import encode_nbest
-from tableworks.llm.near_dedup import near_duplicates
+from tableworks.llm.near_dedup import THRESHOLD_PERCENT, near_duplicates
 from tableworks.llm.packing import pack_documents
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
@@ -83,6 +83,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rule_ensemble": op10_rule_ensemble,
 }
 
+# Fixed value: words as the contracts define them, for DuckDB's regular expressions.
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": f"""
         WITH d AS (SELECT doc_id, coalesce(source, '') AS site, text FROM documents),
@@ -107,4 +111,59 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN d.text IS NOT NULL THEN md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) END AS clean_md5
         FROM d LEFT JOIN m ON d.doc_id = m.doc_id
         GROUP BY d.doc_id, d.text""",
+    "op6_hyperminhash_near_dedup": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS ws FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] END) AS shingle
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+        p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        e AS (
+            SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+            WHERE 100 * both_have >= {THRESHOLD_PERCENT} * (nx.c + ny.c - both_have)),
+        linked AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS root FROM documents
+            UNION SELECT linked.y, reach.root FROM reach JOIN linked ON linked.x = reach.node)
+        SELECT node AS doc_id, coalesce(n.c, 0)::BIGINT AS n_shingles, min(root) AS component_id, node = min(root) AS kept
+        FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node, n.c""",
+    "op8_quality_cascade": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, t, regexp_extract_all(t, {_WORDS}) AS ws FROM d),
+        u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+        g AS (
+            SELECT doc_id, pos, word || ' ' || lead(word) OVER q || ' ' || lead(word, 2) OVER q AS tri
+            FROM u WINDOW q AS (PARTITION BY doc_id ORDER BY pos)),
+        h AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, tri) AS c FROM g WHERE tri IS NOT NULL),
+        r AS (
+            SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS place FROM h WHERE c >= 2)
+            GROUP BY doc_id),
+        l AS (
+            SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+            FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, {_WORDS}) GROUP BY doc_id),
+        m AS (
+            SELECT doc_id, count(*) FILTER (regexp_matches(word, '(!!|\\?\\?|\\.\\.\\.)$')) AS marked,
+                   count(*) FILTER (regexp_matches(word, '[A-Za-z]|[^\\x00-\\x7F]')) AS lettered
+            FROM u GROUP BY doc_id),
+        o AS (SELECT doc_id, max(c) AS top FROM (SELECT doc_id, word, count(*) AS c FROM u GROUP BY doc_id, word) GROUP BY doc_id),
+        a AS (
+            SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+                   coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS lines, coalesce(marked, 0) AS marked,
+                   coalesce(lettered, 0) AS lettered, coalesce(top, 0) AS top,
+                   length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters
+            FROM w LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN l ON l.doc_id = w.doc_id
+                   LEFT JOIN m ON m.doc_id = w.doc_id LEFT JOIN o ON o.doc_id = w.doc_id),
+        f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+        SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+               n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > 3 * n_words OR (letters >= 40 AND 10 * upper > 6 * letters)
+                    OR 10 * marked > 3 * n_words OR 10 * lettered < 6 * n_words
+                    OR word_chars < 2 * n_words OR word_chars > 14 * n_words
+                    OR (lines >= 4 AND 2 * n_dup_lines > lines) OR (n_words >= 20 AND 10 * top > 4 * n_words)) AS kept
+        FROM f""",
 }
