@@ -121,6 +121,48 @@ class Pieces:
                 heapq.heappush(queue, (-(best[i] + s + behind), order, i, s + behind, (piece, tail)))
         return found
 
+    def best_two(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
+        """Score and ids of a best segmentation, and how far below the next one scores.
+
+        The forward pass of ``nbest`` with the two best scores per position,
+        which is all that is needed of the many chunks that stay as they are.
+        """
+        size, low = len(chunk), float("-inf")
+        best, second = [low] * (size + 1), [low] * (size + 1)
+        back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (size + 1)
+        best[0] = 0.0
+        done = 0
+
+        def unknown(end: int) -> None:
+            if chunk[end - 1] not in self.ids:
+                edge(end - 1, end, self.unknown, self.fallback(chunk[end - 1]))
+
+        def edge(start: int, end: int, s: float, piece: tuple[int, ...]) -> None:
+            score = best[start] + s
+            if score > best[end]:
+                second[end] = best[end] if best[end] > second[end] else second[end]
+                best[end], back[end] = score, (start, piece)
+            elif score > second[end]:
+                second[end] = score
+            if second[start] + s > second[end]:
+                second[end] = second[start] + s
+
+        for last, (length, s, piece) in self.automaton.iter(chunk):
+            while done < last:
+                done += 1
+                unknown(done)
+            edge(last + 1 - length, last + 1, s, piece)
+            if length == 1:
+                done = last + 1
+        while done < size:
+            done += 1
+            unknown(done)
+        parts, at = [], size
+        while at:
+            at, piece = back[at]
+            parts.append(piece)
+        return best[size], tuple(i for piece in reversed(parts) for i in piece), best[size] - second[size]
+
     def _unknown_edge(self, chunk: str, end: int, best: list[float], into: list[list]) -> None:
         if chunk[end - 1] not in self.ids:
             into[end].append((end - 1, self.unknown, self.fallback(chunk[end - 1])))
@@ -160,7 +202,7 @@ def chunks_of(text: str) -> list[str]:
 class NBestEncoder:
     """N-best encoding of texts with remembered chunks."""
 
-    def __init__(self, path: str, n: int, max_chunks: int = 200_000, max_chars: int = 1 << 23):
+    def __init__(self, path: str, n: int, max_chunks: int = 600_000, max_chars: int = 1 << 24):
         self.pieces, self.n = Pieces(path), n
         self.max_chunks, self.max_chars = max_chunks, max_chars
         self.clear()
@@ -175,20 +217,22 @@ class NBestEncoder:
         self.more: dict[int, list[Path]] = {}
 
     def _learn(self, chunk: str) -> int:
-        paths = self.pieces.nbest(chunk, 2)
+        score, ids, gap = self.pieces.best_two(chunk)
         self.at[chunk] = k = len(self.names)
         self.chars += len(chunk)
         self.names.append(chunk)
-        self.ids.append(_packed(paths[0][1]))
+        self.ids.append(_packed(ids))
         if k == len(self.score):
             self.score, self.gap = (np.concatenate([x, np.zeros(k)]) for x in (self.score, self.gap))
-        self.score[k] = paths[0][0]
-        self.gap[k] = paths[0][0] - paths[1][0] if len(paths) > 1 else np.inf
+        self.score[k], self.gap[k] = score, gap
         return k
 
     def _alternatives(self, k: int) -> list[Path]:
         if k not in self.more:
-            self.more[k] = self.pieces.nbest(self.names[k], self.n)
+            paths = self.pieces.nbest(self.names[k], self.n)
+            # among equal scores the one in use stands first
+            used = float(self.score[k]), tuple(struct.unpack(f"<{len(self.ids[k]) // 4}I", self.ids[k]))
+            self.more[k] = [used, *(path for path in paths if path[1] != used[1])][: self.n]
         return self.more[k]
 
     def encode(self, text: str | None) -> list[tuple[float, np.ndarray]]:
