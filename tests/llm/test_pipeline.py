@@ -75,3 +75,15 @@ def test_entry_works_without_this_subpackage():
         assert set(o) <= set(q)
     """
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=ROOT, check=True, timeout=120)
+
+
+def test_line_dedup_stage_cleans_short_pages(spark):
+    head, foot = "the header line of all the pages here", "the footer line of all the pages here"
+    pages = [(i, f"{head}\na paragraph that only page {i} has\n{foot}", f"s{i}") for i in range(8)]
+    copies = [(20 + i, f"{head}\none paragraph of all these copies and {'more ' * 9}\n{foot}", f"c{i}") for i in range(7)]
+    docs = spark.createDataFrame(pages + copies, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in C.line_dedup(spark, docs, SF_SMALL).collect()}
+    assert got[0] == pages[0][1]
+    assert all(got[i] == f"a paragraph that only page {i} has" for i in range(1, 8))
+    assert {got[20 + i] for i in range(7)} == {copies[0][1].split("\n")[1]}
+    assert C.near_dedup(spark, C.line_dedup(spark, docs, SF_SMALL), SF_SMALL).filter("doc_id >= 20").count() == 1
