@@ -21,8 +21,10 @@ next full bucket in a fixed random order of its own.
    They are estimated and confirmed like the others.
 5. Components come from the links; the smallest id of each stays.
 
-Similarity 100 * |A and B| >= 85 * |A or B|.  A pair at the threshold misses all
-25 bands of 5 registers with probability (1 - 0.85^5)^25 = 4e-7.
+Similarity 100 * |A and B| >= T * |A or B| with T = ``threshold_percent``, 85 by
+default.  A band has as many registers as keep the chance that a pair at the
+threshold misses all bands within ``MAX_MISS``: 5 (25 bands) for 85, where it is
+(1 - 0.85^5)^25 = 4e-7, and 4 (32 bands) for 80, where it is 5e-8.
 
 Defined results: a null, empty or blank text has no shingle and is linked with
 nothing; fewer than five words make one shingle; rows that repeat an id are one
@@ -32,6 +34,7 @@ id is linked with nothing and kept; an empty table gives an empty result; other
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -48,9 +51,22 @@ SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 85
 LG_BUCKETS, MANTISSA_BITS = 7, 10
 BUCKETS = 1 << LG_BUCKETS
-BAND_ROWS = 5
-BANDS = BUCKETS // BAND_ROWS
-ESTIMATE_FLOOR = 0.66  # 0.85 less about six standard errors sqrt(0.85 * 0.15 / 128)
+MAX_MISS = 1e-6
+
+
+def band_rows(threshold_percent: int = THRESHOLD_PERCENT) -> int:
+    """Most registers a band may have for a pair at the threshold to be missed with ``MAX_MISS`` at most."""
+    if not 0 < threshold_percent <= 100:
+        raise ValueError("threshold_percent must be above 0 and at most 100")
+    t = threshold_percent / 100
+    return max([r for r in range(1, BUCKETS + 1) if (1 - t**r) ** (BUCKETS // r) <= MAX_MISS], default=1)
+
+
+def estimate_floor(threshold_percent: int = THRESHOLD_PERCENT) -> float:
+    """The threshold less about six standard errors of the estimate, in whole percent."""
+    t = threshold_percent / 100
+    return math.floor(100 * (t - 6 * math.sqrt(t * (1 - t) / BUCKETS))) / 100
+
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -105,11 +121,12 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of compressed registers."""
-    r = regs[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
-    h = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(BAND_ROWS):
+def band_keys(regs: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` compressed registers."""
+    bands = BUCKETS // rows
+    r = regs[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    h = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(rows):
         h = _mix(h ^ r[:, i]) + np.uint64(i)
     return h
 
@@ -152,13 +169,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         regs = batch.column("regs").to_pylist()
         if not regs:
             continue
-        keys = np.concatenate([band_keys(np.frombuffer(r, "<u2")) for r in regs]).view(np.int64)
-        at = pa.array(np.repeat(np.arange(len(regs)), BANDS))
+        keys = np.concatenate([band_keys(np.frombuffer(r, "<u2"), rows) for r in regs]).view(np.int64)
+        at = pa.array(np.repeat(np.arange(len(regs)), BUCKETS // rows))
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys), batch.column("id").take(at)], ["band", "id"]
         )
@@ -176,8 +193,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _likely(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
+def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose corrected estimate reaches the floor and whose sizes allow the threshold."""
+    floor = estimate_floor(percent)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -186,27 +204,27 @@ def _likely(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.Reco
         estimate = estimated_jaccard(ra, rb, na, nb)
         # few shingles fill few buckets, and borrowed registers say less
         room = np.sqrt(BUCKETS / np.minimum(BUCKETS, np.minimum(na, nb)))
-        keep = (estimate >= 1 - (1 - floor) * room) & (np.minimum(na, nb) * 100 >= THRESHOLD_PERCENT * np.maximum(na, nb))
+        keep = (estimate >= 1 - (1 - floor) * room) & (np.minimum(na, nb) * 100 >= percent * np.maximum(na, nb))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose estimate allows the threshold and whose full sets reach it."""
     with_regs = (
         pairs.join(classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("regs").alias("ra")), "a")
         .join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("regs").alias("rb")), "b")
         .select("a", "b", "na", "nb", "ra", "rb")
     )
-    likely = with_regs.mapInArrow(partial(_likely, floor=ESTIMATE_FLOOR), "a long, b long").distinct()
+    likely = with_regs.mapInArrow(partial(_likely, percent=percent), "a long, b long").distinct()
     both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return both.filter(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct()
+    return both.filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _unseen_pairs(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+def _unseen_pairs(stars: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) in different components that may be linked although neither is the center.
 
     With the sizes n and the size d of a member's difference to its center, two
@@ -219,7 +237,7 @@ def _unseen_pairs(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFr
     principle both hold a common shingle among their first d - least + 1 in any
     one order.  Rare shingles first makes such meetings few.
     """
-    r = (100 - THRESHOLD_PERCENT) / (100 + THRESHOLD_PERCENT)
+    r = (100 - percent) / (100 + percent)
     part = found.select(F.col("node").alias("id"), F.col("component").alias("part"))
     labelled = (
         stars.join(part, "id", "left")
@@ -240,7 +258,7 @@ def _unseen_pairs(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFr
     )
     d, n, nc = F.size("difference"), F.col("n"), F.col("nc")
     at_center = d - r * (n + nc)
-    apart = F.greatest(at_center / (1 + r), d - n * (100 / THRESHOLD_PERCENT - 1))
+    apart = F.greatest(at_center / (1 + r), d - n * (100 / percent - 1))
     least = F.greatest(F.lit(1.0), F.ceil(F.when(F.col("linked"), d * (1 - r) / 2).otherwise(apart) - 1e-6))
     members = members.withColumn("d", d).withColumn("prefix", d - least + 1).filter("prefix > 0")
     one = members.select("center", "id", "part", "n", "d", "prefix", F.explode("difference").alias("shingle"))
@@ -265,8 +283,11 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold_percent: int = THRESHOLD_PERCENT
+) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row of ``docs`` with an id."""
+    rows = band_rows(threshold_percent)
     workers_find_package(docs.sparkSession)
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = written(plain.mapInArrow(_sign, SIGNATURE), "signatures")
@@ -277,7 +298,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = written(classes.filter("id IS NOT NULL"), "classes")
 
-    bands = written(classes.select("id", "regs").mapInArrow(_bands, "band long, id long"), "bands")
+    bands = written(classes.select("id", "regs").mapInArrow(partial(_bands, rows=rows), "band long, id long"), "bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("center")).filter("members > 1")
     stars = bands.join(shared, "band").filter("id <> center").select("id", "center").distinct()
     stars = written(stars, "stars")
@@ -285,9 +306,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = plain.join(starred, "id", "left_semi")
     sets = written(texts.mapInArrow(_sets, "id long, shingles array<long>"), "shingle-sets")
 
-    links = _confirmed(stars.select(*_pair("id", "center")), classes, sets)
+    links = _confirmed(stars.select(*_pair("id", "center")), classes, sets, threshold_percent)
     links = written(links, "links")
-    more = _confirmed(_unseen_pairs(stars, components(links), sets), classes, sets)
+    more = _confirmed(_unseen_pairs(stars, components(links), sets, threshold_percent), classes, sets, threshold_percent)
 
     # an id that repeats with another text links its classes
     member = signed.filter("set_key IS NOT NULL AND id IS NOT NULL").join(
@@ -304,12 +325,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return member.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold_percent: int = THRESHOLD_PERCENT
+) -> DataFrame:
     """``docs`` with one document (the smallest id) of each group, all columns unchanged.
 
     Rows that share the id of the document that stays all stay, and so do rows
     without an id or without words.
     """
-    gone = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("__gone"))
+    gone = near_duplicates(docs, id_col, text_col, threshold_percent).filter(~F.col("kept")).select(F.col("id").alias("__gone"))
     gone = written(gone.distinct(), "duplicates")
     return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")

@@ -138,3 +138,28 @@ def test_an_id_with_two_texts_links_both(spark):
     docs = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (4, "x y z")], "doc_id long, text string")
     got = {(r["id"], r["component_id"]) for r in N.near_duplicates(docs).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_threshold_is_a_parameter(spark):
+    rng, base, docs = random.Random(8), [f"v{i}" for i in range(104)], []
+    for i in range(60):  # 100 shingles; the last words of each copy are its own
+        own = rng.choice([9, 10, 11, 12, 13, 14])  # similarity of copies and base 0.75 to 0.83
+        docs.append((i + 1, " ".join(base[: 104 - own] + [f"o{i}x{k}" for k in range(own)])))
+    docs.append((99, " ".join(base)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for percent in (75, 80, 85):
+        sets = [(i, shingles(t)) for i, t in docs]
+        want = {i: i for i, _ in docs}
+        for _ in docs:  # labels spread until nothing changes
+            before = dict(want)
+            for i, s in sets:
+                for j, t in sets:
+                    if 100 * len(s & t) >= percent * len(s | t):
+                        want[i] = want[j] = min(want[i], want[j])
+            if want == before:
+                break
+        got = N.near_duplicates(df, threshold_percent=percent).collect()
+        assert {r["id"]: r["component_id"] for r in got} == want
+        assert {r["doc_id"] for r in N.drop_near_duplicates(df, threshold_percent=percent).collect()} == set(want.values())
+        assert (1 - (percent / 100) ** N.band_rows(percent)) ** (N.BUCKETS // N.band_rows(percent)) <= N.MAX_MISS
+    assert (N.band_rows(85), N.estimate_floor(85), N.band_rows(80), N.estimate_floor(80)) == (5, 0.66, 4, 0.58)
