@@ -11,6 +11,15 @@ in all documents.  Without the key the permutation can't be undone; with it,
 ``inverse=True`` restores the values.  An e-mail address has no numeric format;
 it becomes a keyed digest.
 
+Forms that are found: ISO dates, also before a time (``T10:00``), dd.MM.yyyy and
+dd/MM/yyyy; what can't be dd/MM/yyyy is read as MM/dd/yyyy and permuted among the
+dates that can't either, so it reads the same way again.  Phone numbers with a
+country code (8 to 15 digits, in one run, in groups of 3 and 4, or in pairs), and
+national ones with an area code: in parentheses, as 3-3-4 digits, or with a
+leading 0 (groups of 3 and 4, pairs, or one group behind the area code).  Local
+numbers without area code, dates with one-digit or named parts or two-digit
+years, and dates before 1900 or after spring 2099 stay.
+
 Everything is evaluated inside the row: no shuffle, no join.
 
 Defined results: a null text stays null, an empty one empty; a text without
@@ -33,13 +42,25 @@ DEFAULT_KEY = "tableworks-pseudonyms"  # a parameter: production passes its own
 # and look-behinds keep them linear in the text.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}+"
 IPV4 = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)"
-PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w]|[./-]\d)"
+_ABROAD = (
+    r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|\+\d{1,3}(?:[ .-]?\(0\))?[ .-]?(?:\(\d{2,4}\)|\d{1,4})(?:(?:[ .-]\d{2}){3,5}|(?:[ .-]\d{3}){3}|(?:[ .-]?\d{3,4}){2}|[ .-]\d{5,8})(?!\d)"
+    r"|\+\d{8,15}(?!\d)"
+)
+_AT_HOME = (
+    r"\(\d{2,5}\)[ .-]?(?:\d{3,4}[ .-]?\d{3,4}|\d{2}(?:[ .-]\d{2}){2,3}|\d{5})(?![\w]|[.-]\d)"
+    r"|(?:1[ .-])?\d{3}(?: \d{3} |-\d{3}-|\.\d{3}\.)\d{4}(?![\w]|[ .-]\d)"
+    r"|0\d(?:[ .-]\d{2}){4}(?![\w]|[ .-]\d)"
+    r"|0\d{2,4}(?:[ /-]\d{3,4}[ -]\d{3,4}|[ /-]\d{6,8})(?![\w]|[ .-]\d)"
+)
+PHONE = rf"(?<![\w+])(?:{_ABROAD})|(?<![\w.+/-])(?<!\d )(?:{_AT_HOME})"
+DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}(?=[Tt]\d{2})|(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w]|[./-]\d))"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)"
 CARD = r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w]|-\d)"
 KINDS = {"email": EMAIL, "ipv4": IPV4, "phone": PHONE, "date": DATE, "ssn": SSN, "card": CARD}
 FINDINGS = "|".join(f"(?:{p})" for p in KINDS.values())
 FIRST_DAY, DAY_BASE = "1900-01-01", 270  # dates are permuted within 270 * 270 days
+LATE_BASE = 210  # and those after the 12th of a month, where they are MM/dd/yyyy, within 210 * 210
 
 _DIGITS = "0123456789"
 
@@ -132,7 +153,8 @@ def _digits_after(prefix: str, tweak: str) -> Callable[[Column, str, bool], Colu
     return run
 
 
-_phone = _digits_after(r"^\+\d{1,3}(?=[ .(-])|^\+\d", "phone")
+# a country code (with its (0)), the trunk's 1, or the leading 0 (which 3-3-4 digits need not have)
+_phone = _digits_after(r"^\+\d{1,3}[ .-]?\(0\)|^\+\d{1,3}(?=[ .(-])|^\+\d|^1(?=[ .-])|^0(?!\d\d([ .-])\d{3}\1\d{4}$)", "phone")
 
 
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
@@ -166,7 +188,31 @@ def _date(m: Column, key: str, inverse: bool) -> Column:
         mine = m.contains(sign)
         value = F.when(n.between(0, DAY_BASE * DAY_BASE - 1), fresh)
         out = F.when(mine, value) if out is None else out.when(mine, value)
-    return out
+    return F.coalesce(out, F.when(m.contains("/"), _month_first(m, key, inverse)))
+
+
+def _month_first(m: Column, key: str, inverse: bool) -> Column:
+    """An MM/dd/yyyy date whose day is after the 12th, permuted among such dates.
+
+    Their rank leaves out 12 days of every month; a rank's month is found by the
+    mean of 400 years, which is less than a month off.
+    """
+    origin, base = F.lit(FIRST_DAY).cast("date"), F.lit(LATE_BASE).cast("long")
+    day = F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)).try_cast("date")
+    months = (F.year(day) - 1900) * 12 + F.month(day)
+    rank = F.when(F.dayofmonth(day) > 12, F.datediff(day, origin) - 12 * months)
+    pair = feistel((rank / LATE_BASE).cast("int"), rank % LATE_BASE, base, base, key, "date", inverse)
+
+    def written(r: Column) -> Column:
+        near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.add_months(origin, (F.floor(r / 18.436875) + i).cast("int")))
+        starts = F.transform(near, lambda d: F.struct((F.datediff(d, origin) - 12 * F.floor(F.months_between(d, origin)).cast("int")).alias("rank"), d.alias("day")))
+        return F.transform(
+            F.array(F.array_max(F.filter(starts, lambda x: x["rank"] <= r))),
+            lambda x: F.date_format(F.date_add(x["day"], (12 + r - x["rank"]).cast("int")), "MM/dd/yyyy"),
+        )[0]
+
+    fresh = F.transform(F.array(pair), lambda p: written(p["l"] * LATE_BASE + p["r"]))[0]
+    return F.when(rank.between(0, LATE_BASE * LATE_BASE - 1), fresh)
 
 
 def _email(m: Column, key: str, inverse: bool) -> Column:
@@ -178,7 +224,7 @@ def kind_of(m: Column) -> Column:
     """Which format a match has; the patterns exclude each other by their signs."""
     return (
         F.when(m.contains("@"), "email")
-        .when(m.startswith("+"), "phone")
+        .when(m.startswith("+") | m.rlike(f"^(?:{_AT_HOME})$"), "phone")
         .when(m.rlike(r"^\d{4}-\d{2}-\d{2}$|^\d{2}/\d{2}/\d{4}$|^\d{2}\.\d{2}\.\d{4}$"), "date")
         .when(m.contains("."), "ipv4")
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")

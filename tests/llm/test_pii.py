@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from tableworks.llm import pii as P
 from tests.conftest import SF_SMALL
@@ -136,3 +137,44 @@ def test_edges(spark):
     assert counts.filter("n_email + n_card + n_phone + n_ipv4 + n_ssn + n_date <> 0").count() == 0
     with pytest.raises(ValueError):
         P.pseudonymize(counts, with_counts=True)
+
+
+FORMS = {
+    "phone": [
+        "(017) 555-7713", "(017)555-7713", "017-555-7713", "017.555.7713", "487 555 7209", "1-487-555-7209", "01 23 45 67 89", "020 7946 0958",
+        "0171/1234567", "(030) 123456", "+33 1 23 45 67 89", "+33123456789", "+44 (0)20 7946 0958", "+49 30 1234567", "+34 612 345 678",
+        "+1 (487) 555-7209",
+    ],
+    "date": ["1984-03-25T10:00:00Z", "1984-03-25t10:00", "1984-03-25 10:00", "03/25/1984", "12/31/1999", "02/29/2024", "25/03/1984", "03/04/1984"],
+}
+STAY = ["555-7713", "02/30/2024", "13/13/2020", "02/29/2023", "1984-03-25x", "2024 1200 300 100", "1.2.3", "0123 4567 8901 2345", "12/31/1899"]
+
+
+def test_common_forms_are_found(spark):
+    rows = [(f"{k}{i}", f"on {c} or ({c}), end") for k, cs in FORMS.items() for i, c in enumerate(cs)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = P.pseudonymize(docs, key=KEY, with_counts=True)
+    for r in got.collect():
+        kind, was = r["doc_id"].rstrip("0123456789"), dict(rows)[r["doc_id"]]
+        assert r["text"] != was and r[f"n_{kind}"] == 2, was
+        assert re.sub(r"\d", "9", r["text"]) == re.sub(r"\d", "9", was)
+        one, two = r["text"][3:-5].split(" or (")
+        assert one == two[:-1], r["text"]
+    back = P.pseudonymize(got.select("doc_id", "text"), key=KEY, inverse=True)
+    assert {tuple(r) for r in back.collect()} == set(rows)
+    stay = spark.createDataFrame([(i, f"see {c} end") for i, c in enumerate(STAY)], "doc_id long, text string")
+    assert sorted(map(tuple, P.pseudonymize(stay, key=KEY).collect())) == sorted(map(tuple, stay.collect()))
+
+
+def test_month_first_dates_match_brute_force(spark):
+    late = [d for d in (date(1900, 1, 1) + timedelta(i) for i in range(73049)) if d.day > 12]
+    base, want = P.LATE_BASE, {}
+    for n, d in enumerate(late):
+        if n < base * base:
+            a, b = feistel(n // base, n % base, base, base, "date")
+            want[d.strftime("%m/%d/%Y")] = late[a * base + b].strftime("%m/%d/%Y")
+        else:
+            want[d.strftime("%m/%d/%Y")] = d.strftime("%m/%d/%Y")
+    docs = spark.createDataFrame([(k,) for k in want], "text string").withColumn("was", F.col("text"))
+    assert {r["was"]: r["text"] for r in P.pseudonymize(docs, key=KEY).collect()} == want
+    assert len(set(want.values())) == len(want) and late[base * base].year == 2099
