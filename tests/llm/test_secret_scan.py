@@ -86,3 +86,38 @@ def test_edges(spark):
     assert len(rows) == 3 and {(r["before"], r["after"]) for r in rows} == {("", ""), ("== ", "")}
     long = spark.createDataFrame([(1, "thereafterthereafter " * 20000)], "doc_id long, text string")
     assert X.findings(long).agg(F.max("place")).first()[0] == 20000
+
+
+def test_names_and_padding_are_not_part_of_a_candidate(spark):
+    key, b64 = "0123456789abcdef0123456789abcdef01234567", "QWxhZGRpbjpvcGVuIHNlc2FtZQ=="
+    cases = {
+        f"API_TOKEN={key}": key, f"see https://a.example/x?token={key}&y=2": key, f"AWS_SECRET_ACCESS_KEY={key}": key, f"key={b64} x": b64,
+        f'{{"secret_access_key_x": "{b64}"}}': b64, 'password: "Tr0ub4dor&3", ': "Tr0ub4dor&3", "DB_PASSWORD=x9!kQ2 ": "x9!kQ2", "auth: Bearer abc.D3f-9": "abc.D3f-9",
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    rows = X.with_features(X.findings(docs)).collect()
+    assert {(r["id"], r["candidate"]) for r in rows} == set(enumerate(cases.values()))
+    assert all(r["named"] == 1 for r in rows) and all(r["assigned"] == 1 for r in rows if r["id"] < 7)
+    assert all([m[0] for m in PATTERN.finditer(t)] == [v] for t, v in cases.items())
+
+
+def test_shapes_that_the_tables_do_not_hold(spark):
+    rng = random.Random(5)
+    both = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    draw = lambda n, signs=both: "".join(rng.choice(signs) for _ in range(n))
+    table = [(d["doc_id"], d["text"]) for d in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").collect()]
+    rows = []
+    for i in range(30):
+        rows += [
+            ("prefix", f"it says AKIA{draw(16, both[26:])} there"), ("prefix", f"use ghp_{draw(36)} now"),
+            ("base64", f"api_key = \"{draw(40, both + '+/')}=\" in it"), ("base64", f"the CLIENT_SECRET={draw(32)} is set"),
+            ("hex", f"https://b.example/get?token={draw(40, '0123456789abcdef')}&n=1"), ("password", f"password: \"Xk{i}v{draw(3)}&3q\", ok"), ("password", f"DB_PASSWORD=R{draw(4)}7!t{i}"),
+            ("none", f"see https://c.example/{draw(6, both[:26])}/{draw(9, both[:26])}-{2000 + i} and"), ("none", f"the key: {draw(9, both[:26])} is it"),
+        ]
+    docs = spark.createDataFrame(table + [(10**6 + i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {}
+    for r in X.scan(docs).filter("doc_id >= 1000000").collect():
+        got.setdefault(rows[r["doc_id"] - 10**6][0], []).append(r["is_secret"])
+    for shape in ("prefix", "base64", "hex", "password"):
+        assert len(got[shape]) >= 30 and sum(got[shape]) >= 0.9 * len(got[shape]), (shape, got[shape])
+    assert sum(got["none"]) <= 0.1 * len(got["none"])
