@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tableworks.llm.common import table
 from tableworks.llm.context_trees import score_texts
+from tableworks.llm.fill_middle import fill_in_middle, restore_text
 from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lines
 from tableworks.llm.nbest_pieces import encode_nbest
 from tableworks.llm.near_dedup import THRESHOLD_PERCENT, near_duplicates
@@ -17,6 +18,7 @@ from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
 from tableworks.llm.rule_ensemble import score_quality
 from tableworks.llm.secret_scan import scan
+from tableworks.llm.token_counts import count_tokens
 from tableworks.llm.vector_graph import nearest
 
 
@@ -70,6 +72,17 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = restore_text(F.col("fim_text"), F.col("form"))
+    digests = F.sha2("fim_text", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -81,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_cascade": op8_quality_cascade,
     "op9_packing": op9_packing,
     "op10_rule_ensemble": op10_rule_ensemble,
+    "op11_fill_middle": op11_fill_middle,
+    "op13_token_counts": op13_token_counts,
 }
 
 # Fixed value: words as the contracts define them, for DuckDB's regular expressions.
@@ -166,4 +181,25 @@ ORACLE_SQL: dict[str, str] = {
                     OR word_chars < 2 * n_words OR word_chars > 14 * n_words
                     OR (lines >= 4 AND 2 * n_dup_lines > lines) OR (n_words >= 20 AND 10 * top > 4 * n_words)) AS kept
         FROM f""",
+    "op11_fill_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id::VARCHAR) AS x FROM documents),
+        u AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS us,
+                   ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4
+            FROM d),
+        c AS (
+            SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                        WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM u),
+        p AS (
+            SELECT doc_id, n, form, t, array_to_string(us[1:a], '') AS pre, array_to_string(us[a + 1:b], '') AS mid, array_to_string(us[b + 1:], '') AS suf
+            FROM c)
+        SELECT doc_id, n::BIGINT AS n, form,
+               CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }

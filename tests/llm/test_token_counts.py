@@ -1,0 +1,74 @@
+"""Token counts: against the tokenizer itself on texts, random signs and every character."""
+
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tableworks.llm import token_counts as K
+from tableworks.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+from tests.llm.data import EDGE_ROWS, edge_docs, no_docs, small
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    t = Tokenizer.from_file(FILE)
+    return lambda texts: [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.fixture(scope="module")
+def alone():
+    return K.alone_words(FILE)
+
+
+def test_query_matches_the_tokenizer(spark, reference):
+    got = {r["doc_id"]: r for r in QUERIES["op13_token_counts"](spark, SF_SMALL).collect()}
+    docs = small("documents")
+    assert len(got) == len(docs)
+    for d, n in zip(docs, reference([d["text"] for d in docs])):
+        r = got[d["doc_id"]]
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(d["text"].encode()), n, n > 2048)
+
+
+def test_proven_words_are_one_token(reference, alone):
+    words = sorted(alone)
+    assert len(words) > 30_000 and {"the", "and"} <= alone
+    assert set(reference(words)) == {1}
+    assert all(K.chunks_of(w) == [w] for w in words)
+
+
+def test_every_character(reference, alone):
+    counter = K.ChunkCounts(FILE, alone)
+    signs = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = [" ".join(f"a{c}b{c} {c}{c}" for c in signs[i : i + 16]) for i in range(0, len(signs), 16)]
+    assert [counter.count(t) for t in texts] == reference(texts)
+
+
+def test_random_texts(reference, alone, monkeypatch):
+    monkeypatch.setattr(K, "MAX_REMEMBERED", 500)  # the memory starts anew many times
+    rng = random.Random(5)
+    signs = ["a", "b", " ", "\n", "'s", "'S", "é", "é", "́", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|ENDOFTEXT|>", "日"]
+    signs += ["Σ", "İ", "!", "..", "1", "23", "\x1c", "\x85", "\xa0", "the", "The", "\U0001f600", "ﬁ", "Å", "\x00", "한", "ᄒ", "ᅡ"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    counter = K.ChunkCounts(FILE, alone)
+    assert [counter.count(t) for t in texts] == reference(texts)
+
+
+def test_long_runs(reference, alone):
+    texts = [c * 100_000 for c in ("a", "-", " ", "\n", "é", "日", "1", "a.")] + ["word " * 100_000, "<|endoftext|>" * 5000]
+    counter = K.ChunkCounts(FILE, alone)
+    assert [counter.count(t) for t in texts] == reference(texts)
+
+
+def test_edges(spark, reference):
+    rows = sorted(K.count_tokens(edge_docs(spark), FILE).collect(), key=str)
+    assert len(rows) == len(EDGE_ROWS)
+    texts = [r[1] or "" for r in EDGE_ROWS]
+    want = [(r[0], len(t.encode()), n, n > 2048) for r, t, n in zip(EDGE_ROWS, texts, reference(texts))]
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+    assert K.count_tokens(no_docs(spark), FILE).count() == 0
+    assert {r["over_limit"] for r in K.count_tokens(edge_docs(spark), FILE, max_tokens=-1).collect()} == {True}
