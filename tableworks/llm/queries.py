@@ -14,6 +14,7 @@ from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lin
 from tableworks.llm.nbest_pieces import encode_nbest
 from tableworks.llm.near_dedup import THRESHOLD_PERCENT, near_duplicates
 from tableworks.llm.packing import pack_documents
+from tableworks.llm.phrases import collocations
 from tableworks.llm.pii import pseudonymize
 from tableworks.llm.quality_rules import judge_quality
 from tableworks.llm.rule_ensemble import score_quality
@@ -79,6 +80,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_rule_ensemble": op10_rule_ensemble,
     "op11_fill_middle": op11_fill_middle,
+    "op12_phrase_graph": op12_phrase_graph,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -202,4 +208,26 @@ ORACLE_SQL: dict[str, str] = {
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256
         FROM p""",
+    "op12_phrase_graph": f"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM d),
+        g AS (
+            SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p), (VALUES (1), (2), (3)) v(k) WHERE i + k - 1 <= len(ws)),
+        f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY lang, k, phrase),
+        c AS (SELECT lang, k, phrase, c, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND c >= 10),
+        o AS (
+            SELECT lang, part, max(c) AS longer
+            FROM (SELECT lang, c, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS part FROM c WHERE k = 3) GROUP BY lang, part),
+        kept AS (SELECT c.* FROM c LEFT JOIN o ON c.lang = o.lang AND c.phrase = o.part WHERE longer IS NULL OR 100 * longer < 50 * c.c),
+        cuts AS (
+            SELECT kept.lang, kept.phrase, kept.c AS a, cut, lf.c AS l, rf.c AS r,
+                   ((1000000::HUGEINT * kept.c * kept.c) // (lf.c::HUGEINT * rf.c))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) kept
+            JOIN f lf ON lf.lang = kept.lang AND lf.phrase = array_to_string(kept.ws[1:cut], ' ')
+            JOIN f rf ON rf.lang = kept.lang AND rf.phrase = array_to_string(kept.ws[cut + 1:], ' ')),
+        low AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM cuts),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low WHERE nth = 1),
+        n AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+        SELECT ranked.lang, rank, phrase, a, l, r, n.n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000""",
 }
