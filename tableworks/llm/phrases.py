@@ -16,10 +16,12 @@ first two to the node of the last two; what is shorter is a piece-end correction
 A unary path follows one occurrence of its first edge, so it is never longer than
 a piece, and it can't be a ring: the pieces it is made of begin somewhere.
 
-Grams are counted per Arrow batch before Spark shuffles them, and every later
-aggregate is combined before its shuffle, so a frequent phrase, word or language
-is one row per task.  The grams go through one shuffle and the nodes through
-another; only words, frequent nodes and frequent edges are written.
+Counting runs level by level, from edges to nodes to words.  Every level is summed
+where Spark's shuffle brings equal phrases together; what it passes to the level
+below is summed before it is shuffled, so a frequent phrase, word or language is
+one entry per task, whatever its share.  Entries travel sorted and compressed, many
+to a row, as most grams occur once.  The number of partitions follows the bytes of
+the texts, so that a partition's phrases fit a task.
 
 Defined results: a null or empty text has no words; a null language is ``und``;
 equal rows count each; ties in score go to the larger count, then to the smaller
@@ -29,7 +31,9 @@ ignored.  A very long text or piece is counted whole.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -55,17 +59,26 @@ RANK_GROUPS = 64
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _SIGNS = bytes.maketrans(_BREAKS + b"\t", b"\n" * len(_BREAKS) + b" ")
 
-_BLOCK_BYTES = 8 << 20
-_SEGMENT = 1 << 19
-_OUT_ROWS = 1 << 16
+#: Text that one partition of the counting stages stands for, and that a task gathers before it counts.
+PARTITION_BYTES = 24 << 20
+_HELD_BYTES = 12 << 20
+_SEGMENT = 1 << 20
+_MERGE_ROWS = 1 << 20
 
-GRAMS = "lang string, node string, last string, c long"
+LONGEST = 3
 
+#: Phrases of one language, line by line, with their counts; ``done`` ones are only passed on.
+BLOCKS = "bucket int, done boolean, lang string, entries long, size long, phrases binary, counts binary"
+_BLOCK_SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("done", pa.bool_()), ("lang", pa.string()), ("entries", pa.int64()), ("size", pa.int64())]
+    + [("phrases", pa.binary()), ("counts", pa.binary())]
+)
 
-# -- grams of texts ---------------------------------------------------------
 
+# -- counting ---------------------------------------------------------------
 
-def _coded_words(data: bytes) -> tuple[np.ndarray, list]:
+
+def _coded_words(data: bytes) -> tuple[np.ndarray, list[bytes]]:
     """Codes of the words in order, 0 at a break, and the words in byte order.
 
     Word ``i`` has code ``i + 1``.  Every token ends in a space, so the tokens
@@ -83,48 +96,142 @@ def _coded_words(data: bytes) -> tuple[np.ndarray, list]:
     return codes[codes >= 0], words
 
 
-def count_grams(data: bytes) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
-    """(node, last, count) of the grams that each word of the pieces opens.
+def count_grams(data: bytes) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(phrases, counts, hashes) of the grams that each word of the pieces opens.
 
-    ``data`` holds lower-case pieces with line feeds between them.  ``last`` is
-    empty where a piece ends after the node, and a node of one word ends a piece.
+    ``data`` holds lower-case pieces with line feeds between them.  Phrases are
+    in byte order of their words; one of fewer than three words ends a piece.
     """
     codes, words = _coded_words(data)
     if not words:
         return
     codes = np.concatenate([codes, [0, 0]])
     opens = np.flatnonzero(codes)
-    text = pa.array([b"", *words], pa.binary()).cast(pa.string())
+    text = pa.array([b"", *words], pa.binary())
+    hashes = np.fromiter(map(zlib.crc32, [b"", *words]), np.uint64, len(words) + 1)
     for lo in range(0, len(opens), _SEGMENT):
         at = opens[lo : lo + _SEGMENT]
         grams = np.stack([codes[at], codes[at + 1], np.where(codes[at + 1] > 0, codes[at + 2], 0)])
-        # a segment's codes are made dense, so that three of them fit 63 bits
-        dense, grams = np.unique(grams, return_inverse=True)
-        grams, base = grams.reshape(3, -1), len(dense) + 1
+        base = len(words) + 1
+        dense = None
+        if base >= 1 << 21:  # a segment's codes are made dense, so that three of them fit 63 bits
+            dense, grams = np.unique(grams, return_inverse=True)
+            grams, base = grams.reshape(3, -1), len(dense) + 1
         keys, counts = np.unique((grams[0] * base + grams[1]) * base + grams[2], return_counts=True)
-        first, second, last = (text.take(pa.array(dense[k])) for k in (keys // base // base, keys // base % base, keys % base))
-        node = pc.if_else(pc.equal(second, ""), first, pc.binary_join_element_wise(first, second, " "))
-        yield node, last, pa.array(counts, pa.int64())
-
+        parts = [keys // base // base, keys // base % base, keys % base]
+        if dense is not None:
+            parts = [dense[k] for k in parts]
+        hashed = (hashes[parts[0]] * np.uint64(31) + hashes[parts[1]]) * np.uint64(31) + hashes[parts[2]]
+        phrase = pc.binary_join_element_wise(*[text.take(pa.array(k, mask=k == 0)) for k in parts], b" ", null_handling="skip")
+        yield phrase, counts, hashed
+
+
+def _blocks(lang: str, done: bool, phrases: pa.Array, counts: np.ndarray, buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases and counts as one row per bucket."""
+    order = np.argsort(buckets, kind="stable")
+    sorted_buckets = buckets[order]
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(sorted_buckets)) + 1, [len(order)]])
+    phrases, counts = phrases.take(pa.array(order)), counts[order].astype("<i8")
+    columns: list[list] = [[] for _ in _BLOCK_SCHEMA]
+    held = 0
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        joined = b"\n".join(phrases.slice(lo, hi - lo).to_pylist())
+        row = (int(sorted_buckets[lo]), done, lang, hi - lo, len(joined), pa.compress(joined, "zstd", asbytes=True))
+        for column, value in zip(columns, (*row, pa.compress(counts[lo:hi].tobytes(), "zstd", asbytes=True))):
+            column.append(value)
+        held += len(row[-1])
+        if held > 1 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
+            columns, held = [[] for _ in _BLOCK_SCHEMA], 0
+    if columns[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
+
+
+def _entries(row: dict) -> pa.Table:
+    phrases = pa.decompress(row["phrases"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n")
+    counts = pa.decompress(row["counts"], decompressed_size=8 * row["entries"], codec="zstd", asbytes=True)
+    return pa.table({"phrase": pa.array(phrases, pa.binary()), "c": np.frombuffer(counts, "<i8")})
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("phrase").aggregate([("c", "sum")]).rename_columns(["phrase", "c"])
+
+
+def _grams(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of the texts' grams, counted over many texts of a language at a time."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, texts in held.items():
+            for phrases, counts, hashes in count_grams(b"\n".join(texts)):
+                yield from _blocks(lang, False, phrases, counts, ((hashes + np.uint64(zlib.crc32(lang.encode()))) % np.uint64(buckets)).astype(np.int64))
+        held.clear()
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            if text:
-                texts.setdefault(lang, []).append(text.lower().translate(_SIGNS))
-        for lang, some in texts.items():
-            held: list[bytes] = []
-            size = 0
-            for i, t in enumerate(some):
-                held.append(t)
-                size += len(t)
-                if size >= _BLOCK_BYTES or i + 1 == len(some):
-                    for node, last, c in count_grams(b"\n".join(held)):
-                        rows = pa.RecordBatch.from_arrays([pa.array([lang] * len(node), pa.string()), node, last, c], ["lang", "node", "last", "c"])
-                        for lo in range(0, len(node), _OUT_ROWS):
-                            yield rows.slice(lo, _OUT_ROWS)
-                    held, size = [], 0
+        for first in range(0, batch.num_rows, 256):
+            some = batch.slice(first, 256)
+            for lang, text in zip(some.column(0).to_pylist(), some.column(1).cast(pa.binary()).to_pylist()):
+                if text:
+                    held.setdefault(lang, []).append(text.lower().translate(_SIGNS))
+                    size += len(text)
+            if size >= _HELD_BYTES:
+                yield from out()
+                size = 0
+    yield from out()
+
+
+def _level(batches: Iterator[pa.RecordBatch], words: int, least: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sum the phrases of a partition; pass each one's count to the phrase without its last word.
+
+    Phrases of ``words`` words with ``least`` or more are done and stay; shorter
+    ones ended a piece and go to the level below as they are.
+    """
+    new: dict[str, list[pa.Table]] = {}
+    rows: dict[str, int] = {}
+    here = 0  # a partition is one bucket
+    for batch in batches:
+        here = batch.column(0)[0].as_py() if batch.num_rows else here
+        done = batch.filter(batch.column(1))
+        if done.num_rows:
+            yield done
+        for row in batch.filter(pc.invert(batch.column(1))).to_pylist():
+            lang = row["lang"]
+            new.setdefault(lang, []).append(_entries(row))
+            rows[lang] = rows.get(lang, 0) + row["entries"]
+            if rows[lang] > _MERGE_ROWS + 2 * new[lang][0].num_rows:
+                new[lang], rows[lang] = [_summed(new[lang])], 0
+    for lang in list(new):
+        table = _summed(new.pop(lang))
+        below: list[pa.Table] = []
+        for some in table.to_batches(max_chunksize=1 << 18):
+            phrase, c = some.column(0), some.column(1)
+            full = pc.equal(pc.count_substring(phrase, b" "), words - 1)
+            stays = pc.and_(full, pc.greater_equal(c, least))
+            if pc.any(stays).as_py():
+                kept = phrase.filter(stays)
+                yield from _blocks(lang, True, kept, c.filter(stays).to_numpy(), np.full(len(kept), here))
+            if words > 1:
+                parents = pa.array([p.rpartition(b" ")[0] if f else p for p, f in zip(phrase.to_pylist(), full.to_pylist())], pa.binary())
+                below.append(pa.table({"phrase": parents, "c": c}).group_by("phrase").aggregate([("c", "sum")]).rename_columns(["phrase", "c"]))
+        if below:
+            passed = _summed(below).sort_by("phrase").combine_chunks()
+            phrases = passed.column(0).chunk(0) if passed.num_rows else pa.array([], pa.binary())
+            seed = zlib.crc32(lang.encode())
+            at = np.fromiter((zlib.crc32(p, seed) for p in phrases.to_pylist()), np.int64, len(phrases)) % buckets
+            yield from _blocks(lang, False, phrases, passed.column(1).to_numpy(), at)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks as rows of (lang, k, phrase, c)."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            entries = _entries(row).combine_chunks()
+            phrase = entries.column(0).chunk(0)
+            k = pc.add(pc.count_substring(phrase, b" "), 1).cast(pa.int8())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["lang"]] * len(phrase), pa.string()), k, phrase.cast(pa.string()), entries.column(1).chunk(0)], ["lang", "k", "phrase", "c"]
+            )
 
 
 # -- the graph --------------------------------------------------------------
@@ -138,27 +245,14 @@ def phrase_flows(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     workers_find_package(docs.sparkSession)
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANGUAGE))
     texts = docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")).where(F.col("text").isNotNull())
-    grams = texts.mapInArrow(_grams, GRAMS).groupBy("lang", "node", "last").agg(F.sum("c").alias("c"))
-
-    def row(phrase: Column, k: int) -> Column:
-        return F.struct(F.lit(k).cast("byte").alias("k"), phrase.alias("phrase"))
-
-    # an edge or end passes its weight to its node; frequent edges go on beside it
-    is_word = F.instr("node", " ") == 0
-    node = F.when(is_word, row(F.col("node"), 1)).otherwise(row(F.col("node"), 2))
-    frequent = (F.col("c") >= min_count) & (F.col("last") != "")
-    passed = F.when(frequent, F.array(node, row(F.concat_ws(" ", "node", "last"), 3))).otherwise(F.array(node))
-    nodes = grams.select("lang", F.explode(passed).alias("p"), "c").groupBy("lang", "p.k", "p.phrase").agg(F.sum("c").alias("c"))
-
-    # a node passes its flow to the word that opens it; frequent nodes go on
-    itself = F.struct("k", "phrase")
-    word = row(F.substring_index("phrase", " ", 1), 1)
-    kept = (
-        F.when(F.col("k") != 2, F.array(itself))
-        .when(F.col("c") >= min_count, F.array(itself, word))
-        .otherwise(F.array(word))
-    )
-    flows = nodes.select("lang", F.explode(kept).alias("p"), "c").groupBy("lang", "p.k", "p.phrase").agg(F.sum("c").alias("c"))
+    text_bytes = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(1, -(-text_bytes // PARTITION_BYTES))
+    blocks = texts.mapInArrow(partial(_grams, buckets=buckets), BLOCKS)
+    for words in range(LONGEST, 0, -1):
+        least = min_count if words > 1 else 0
+        dealt = blocks.repartitionById(buckets, "bucket")
+        blocks = dealt.mapInArrow(partial(_level, words=words, least=least, buckets=buckets), BLOCKS)
+    flows = blocks.mapInArrow(_rows, "lang string, k byte, phrase string, c long")
     return written(flows, "phrase-flows")
 
 

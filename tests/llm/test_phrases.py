@@ -87,16 +87,24 @@ def test_segments_and_blocks_change_nothing(spark, monkeypatch):
     want = Counter()
     for part in data.decode().split("\n"):
         ws = part.split()
-        want.update((" ".join(ws[i : i + 2]), "".join(ws[i + 2 : i + 3])) for i in range(len(ws)))
+        want.update(" ".join(ws[i : i + 3]) for i in range(len(ws)))
     for segment in (1, 2, 7, 1 << 19):
         monkeypatch.setattr(P, "_SEGMENT", segment)
         got = Counter()
-        for node, last, c in P.count_grams(data):
-            for x, y, z in zip(node.to_pylist(), last.to_pylist(), c.to_pylist()):
-                got[x, y] += z
+        for phrases, c, hashes in P.count_grams(data):
+            assert len(phrases) == len(c) == len(hashes)
+            for x, y in zip(phrases.to_pylist(), c.tolist()):
+                got[x.decode()] += y
         assert got == want
 
 
+def test_many_buckets_and_small_blocks(spark, monkeypatch):
+    docs = random_docs(12, 150)
+    for name in ("PARTITION_BYTES", "_HELD_BYTES", "_MERGE_ROWS"):
+        monkeypatch.setattr(P, name, 500)
+    assert rows(P.collocations(frame(spark, docs), min_count=4)) == brute(docs, 4)
+
+
 def test_paths_carry_every_frequent_edge_once(spark):
     passage = " ".join(f"w{i}" for i in range(70))
     docs = [("en", f"{passage}. begin w3 w4 w5 end. w60 w61 w62")] * 12 + [("en", "a a a a a"), ("en", "x y x y x y")] * 11
