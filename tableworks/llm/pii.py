@@ -40,7 +40,7 @@ DEFAULT_KEY = "tableworks-pseudonyms"  # a parameter: production passes its own
 
 # The formats.  Java regular expressions; possessive quantifiers
 # and look-behinds keep them linear in the text.
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}+"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.){1,126}\p{L}{2,}+"
 IPV4 = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)"
 _ABROAD = (
     r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"

@@ -178,3 +178,17 @@ def test_month_first_dates_match_brute_force(spark):
     docs = spark.createDataFrame([(k,) for k in want], "text string").withColumn("was", F.col("text"))
     assert {r["was"]: r["text"] for r in P.pseudonymize(docs, key=KEY).collect()} == want
     assert len(set(want.values())) == len(want) and late[base * base].year == 2099
+
+
+def test_long_runs_need_no_stack(spark):
+    """A recursive pattern would end the executor; every text here must come back."""
+    texts = [
+        "x@" + "a." * 3000 + "com", "x@" + "a." * 100 + "com", "x@a.b.com.1 y@b..com z@c-d.com...", "1 " * 100_000, "7" * 200_000,
+        " " * 200_000, "a" * 200_000 + "@" + "b" * 200_000 + ".org", "+" * 50_000, "1-" * 50_000, "(0" * 50_000, "12/" * 50_000, "@" * 100_000, "x@" * 50_000,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in P.pseudonymize(df, with_counts=True).collect()}
+    assert len(got) == len(texts)
+    assert [got[i]["n_email"] for i in range(3)] == [0, 1, 2]  # a host name has at most 127 labels
+    assert got[0]["text"] == texts[0] and got[2]["text"].endswith("...") and "y@b..com" in got[2]["text"]
+    assert got[6]["n_email"] == 1 and all(got[i]["text"] == texts[i] for i in (3, 4, 5, 7, 11))
