@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 
 from tableworks.llm.common import workers_find_package
 
+#: Decimals in which two totals are one and the same.
+TIE_DIGITS = 9
+
 # Fixed values of the format: the space mark, and by how much an unknown
 # character scores below the lowest piece.
 SPACE_MARK = "▁"
@@ -85,7 +88,11 @@ class Pieces:
         return tuple(self.byte_id[b] for b in char.encode())
 
     def nbest(self, chunk: str, n: int) -> list[Path]:
-        """The ``n`` best segmentations of a chunk as (score, ids), best first."""
+        """The ``n`` best segmentations of a chunk as (score, ids), best first.
+
+        Equal totals (to ``TIE_DIGITS`` decimals) come in the order in which the
+        search, which prefers to go on near the start, completes them.
+        """
         size = len(chunk)
         best = [float("-inf")] * (size + 1)  # forward Viterbi
         best[0] = 0.0
@@ -105,10 +112,12 @@ class Pieces:
             done += 1
             self._unknown_edge(chunk, done, best, into)
         found: list[Path] = []
-        queue: list[tuple] = [(-best[size], 0, size, 0.0, None)]
+        # among equal totals the one nearest to the text's start goes on, so a run of one
+        # sign, which is all ties, yields a whole path before any other is followed
+        queue: list[tuple] = [(0.0, size, 0, 0.0, None)]
         order = 0
         while queue and len(found) < n:
-            _, _, at, behind, tail = heapq.heappop(queue)
+            _, at, _, behind, tail = heapq.heappop(queue)
             if at == 0:
                 out: list[int] = []
                 while tail is not None:
@@ -118,7 +127,8 @@ class Pieces:
                 continue
             for i, s, piece in into[at]:
                 order += 1
-                heapq.heappush(queue, (-(best[i] + s + behind), order, i, s + behind, (piece, tail)))
+                total = round(best[size] - (best[i] + s + behind), TIE_DIGITS)
+                heapq.heappush(queue, (total, i, order, s + behind, (piece, tail)))
         return found
 
     def best_two(self, chunk: str) -> tuple[float, tuple[int, ...], float]:

@@ -1,6 +1,7 @@
 """N-best segmentation against all segmentations, exact round trips, edge cases."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +54,21 @@ def test_matches_all_segmentations(encoder):
         assert all(known[tuple(i.tolist())] == s for s, i in got)
 
 
+def test_runs_of_one_sign_end_soon(encoder):
+    """Runs are all ties; each must yield whole paths before ties are followed."""
+    for sign in "- =a.é":
+        for n in (1, 2, 3, 7, 12):
+            got, all_of_them = encoder.encode(sign * n), every(encoder.pieces, marked(sign * n))
+            assert [s for s, _ in got] == [s for s, _ in all_of_them[:4]]
+        for n in (300, 1000, 1001, 3000, 20_000):
+            begun = time.process_time()
+            got = encoder.encode(sign * n)
+            assert time.process_time() - begun < 20
+            assert len({tuple(i.tolist()) for _, i in got}) == len(got) == (2 if sign == "é" else 4)  # é has one piece only
+            assert all(encoder.pieces.decode(ids) == sign * n for _, ids in got)
+            assert [s for s, _ in got] == sorted((s for s, _ in got), reverse=True)
+
+
 def test_decoding_restores_every_segmentation(encoder):
     texts = [d["text"] for d in small("documents")[:80]] + ["  a  b ", "\n\n", " \n ", "▁▁ x", "\ta\r\nb", "é 　", "x" * 700]
     for t in texts:
