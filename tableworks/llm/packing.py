@@ -21,13 +21,13 @@ columns are ignored.  A very long text is streamed out in full sequences.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -56,11 +56,15 @@ class Limits:
 
 
 class Pool:
-    """Items that wait for a bin: a fixed number of slots with their sizes."""
+    """Items that wait for a bin: a fixed number of slots with their sizes.
+
+    Every item is one segment, so tokens and loss-bearing tokens are all that
+    is kept; a free slot holds infinities, which fit nowhere.
+    """
 
     def __init__(self, slots: int, limits: Limits):
         self.limits, self.cap = limits, limits.vector()
-        self.size = np.full((slots, 3), np.inf)
+        self.tokens, self.loss = np.full(slots, np.inf), np.full(slots, np.inf)
         self.items: list[object] = [None] * slots
         self.free = list(range(slots))[::-1]
 
@@ -70,27 +74,35 @@ class Pool:
     def add(self, item: object, tokens: int, loss: int) -> None:
         slot = self.free.pop()
         self.items[slot] = item
-        self.size[slot] = tokens, 1, loss
+        self.tokens[slot], self.loss[slot] = tokens, loss
 
     def take(self, slot: int) -> object:
         item, self.items[slot] = self.items[slot], None
-        self.size[slot] = np.inf
+        self.tokens[slot] = self.loss[slot] = np.inf
         self.free.append(slot)
         return item
 
-    def best(self, room: np.ndarray) -> int | None:
+    def best(self, room: tuple[float, float, float]) -> int | None:
         """The fitting item with the largest weighted dot product; ties: first slot."""
-        fits = (self.size <= room).all(axis=1).nonzero()[0]
+        if room[1] < 1:
+            return None
+        fits = ((self.tokens <= room[0]) & (self.loss <= room[2])).nonzero()[0]
         if not len(fits):
             return None
-        share = self.size[fits] / self.cap
-        scarce = share.mean(axis=0)  # average demand weighs each dimension
-        return int(fits[np.argmax(share @ (scarce * (room / self.cap)))])
+        tokens, loss = self.tokens[fits], self.loss[fits]
+        cap = self.cap
+        # average demand weighs each dimension; the segment's part is the same for all items
+        weigh_tokens = tokens.sum() / len(fits) / cap[0] * room[0] / cap[0] / cap[0]
+        weigh_loss = loss.sum() / len(fits) / cap[2] * room[2] / cap[2] / cap[2]
+        return int(fits[np.argmax(tokens * weigh_tokens + loss * weigh_loss)])
 
     def longest(self) -> int | None:
         if not len(self):
             return None
-        return int(np.argmax(np.where(np.isinf(self.size[:, 0]), -1, self.size[:, 0])))
+        return int(np.argmax(np.where(np.isinf(self.tokens), -1, self.tokens)))
+
+    def held(self) -> int:
+        return int(self.tokens[np.isfinite(self.tokens)].sum())
 
 
 # -- texts ------------------------------------------------------------------
@@ -114,6 +126,16 @@ def byte_level_bpe(path: str):
     return tiktoken.Encoding("byte_level", pat_str=GPT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def special_strings(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` JSON file, which stand for one id wherever a text holds them."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens that take in or need what stands around them are not supported: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 class ChunkTokenizer:
     """Ids of a tokenizer file, with the ids of space-separated chunks remembered.
 
@@ -125,6 +147,8 @@ class ChunkTokenizer:
 
     def __init__(self, path: str, max_chunks: int = 250_000):
         self.bpe = byte_level_bpe(path)
+        self.special = special_strings(path)
+        self.cut_special = re.compile("(" + ("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)") + ")")
         self.line_feed = self.bpe.encode_ordinary("\n")[0]
         self.max_chunks = max_chunks
         self.clear()
@@ -137,7 +161,29 @@ class ChunkTokenizer:
         self.used = 0
 
     def encode_plain(self, text: str) -> np.ndarray:
-        return np.array(self.bpe.encode_ordinary(text) if text else [], np.uint32)
+        """Ids of a text without special strings.
+
+        The white space before a word is a token of its own but for its last
+        character.  Very long runs are cut there: the pattern's engine gives up
+        on a run of a million.
+        """
+        if not text:
+            return np.zeros(0, np.uint32)
+        ids: list[int] = []
+        begin = 0
+        for run in _LONG_RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.bpe.encode_ordinary(text[begin : run.start()])
+            ids += self.bpe._encode_single_piece(text[run.start() : end])
+            begin = end
+        return np.array(ids + self.bpe.encode_ordinary(text[begin:]), np.uint32)
+
+    def encode_with_special(self, text: str) -> np.ndarray:
+        parts = [
+            np.array([self.special[part]], np.uint32) if part in self.special else self.encode_plain(part)
+            for part in self.cut_special.split(text)
+        ]
+        return np.concatenate(parts)
 
     def _learn(self, new: list[str]) -> None:
         """Encode all new chunks at once, one to a line.
@@ -170,6 +216,9 @@ class ChunkTokenizer:
         group: list[tuple[int, list[str]]] = []
         held = 0
         for i, text in enumerate(texts):
+            if any(t in text for t in self.special):
+                out[i] = self.encode_with_special(text)
+                continue
             # the line feed in front makes the first chunk like one that opens a line
             chunks = ("\n" + text.replace("\n", " \n")).split(" ")
             if "" in chunks or "\n" in chunks:
@@ -214,6 +263,19 @@ class ChunkTokenizer:
         return self.encode_plain(" ".join(chunks)[1:].replace(" \n", "\n"))
 
 
+#: Runs of white space that are cut off before the pattern sees them.
+_LONG_RUN = re.compile(r"\s{5000,}")
+
+
+def white_ids(path: str) -> np.ndarray:
+    """For each id whether it is white space only."""
+    bpe = byte_level_bpe(path)
+    flags = np.zeros(max(bpe.max_token_value, *special_strings(path).values(), 0) + 1, bool)
+    for token in bpe.token_byte_values():
+        flags[bpe.encode_single_token(token)] = not token.strip()
+    return flags
+
+
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
 
 
@@ -225,74 +287,93 @@ def _tokenizer(path: str) -> ChunkTokenizer:
 
 @dataclass
 class Rest:
-    """What is left of a document: ids from ``start`` to ``stop``."""
+    """What is left of a document: ids from ``start`` to ``stop``.
+
+    ``loss`` counts the loss-bearing ids before each place of the whole document.
+    """
 
     doc: object
     ids: np.ndarray
     start: int
-    total: int
+    loss: np.ndarray
 
     def __len__(self) -> int:
         return len(self.ids)
 
+    def bears(self) -> int:
+        return int(self.loss[self.start + len(self.ids)] - self.loss[self.start])
+
+    def fitting(self, tokens: float, loss: float) -> int:
+        """How many ids from the start have at most so many tokens and loss-bearing ones."""
+        n = min(len(self.ids), int(tokens))
+        if self.loss[self.start + n] - self.loss[self.start] > loss:
+            n = int(np.searchsorted(self.loss, self.loss[self.start] + loss, "right")) - 1 - self.start
+        return n
+
     def cut(self, n: int) -> tuple[Rest, Rest]:
-        return Rest(self.doc, self.ids[:n], self.start, self.total), Rest(self.doc, self.ids[n:], self.start + n, self.total)
+        return Rest(self.doc, self.ids[:n], self.start, self.loss), Rest(self.doc, self.ids[n:], self.start + n, self.loss)
 
 
 class DocumentPacker:
-    """Packs the documents of one partition; pieces come out in sequence order."""
+    """Packs the documents of one partition; pieces come out in sequence order.
+
+    Loss-bearing are all ids but white space and the end id.
+    """
 
-    def __init__(self, first_sequence: int, limits: Limits, slots: int):
+    def __init__(self, first_sequence: int, limits: Limits, slots: int, white: np.ndarray | None = None):
         self.sequence = first_sequence
-        self.limits, self.cap = limits, limits.vector()
+        self.limits = limits
+        self.bearing = None if white is None else ~white
         self.pool = Pool(slots, limits)
         self.rows: list[tuple] = []
 
     def emit(self, pieces: list[Rest]) -> None:
         offset = 0
         for p in pieces:
-            self.rows.append((p.doc, p.start, len(p), zlib.crc32(p.ids.astype("<u4").tobytes()), p.total, self.sequence, offset))
+            self.rows.append((p.doc, p.start, len(p), zlib.crc32(p.ids), len(p.loss) - 1, self.sequence, offset))
             offset += len(p)
         self.sequence += 1
 
     def add(self, doc: object, ids: np.ndarray) -> None:
-        rest = Rest(doc, ids, 0, len(ids))
-        full = min(self.limits.tokens, self.limits.loss_tokens)
-        while len(rest) >= full:
-            piece, rest = rest.cut(full)
+        """``ids`` are little-endian unsigned 32-bit, the end id last."""
+        loss = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.ones(len(ids), bool) if self.bearing is None else self.bearing[ids], out=loss[1:])
+        loss[-1] = loss[-2] if self.bearing is not None else loss[-1]
+        rest = Rest(doc, ids, 0, loss)
+        while len(rest) >= self.limits.tokens or rest.bears() >= self.limits.loss_tokens:
+            piece, rest = rest.cut(rest.fitting(self.limits.tokens, self.limits.loss_tokens))
             self.emit([piece])
         if len(rest):
             while not self.pool.free:
                 self.fill()
-            self.pool.add(rest, len(rest), len(rest))
+            self.pool.add(rest, len(rest), rest.bears())
 
-    def fill(self, target: int | None = None) -> None:
-        """One sequence of exactly ``target`` tokens, or as near as the limits allow."""
-        limit = np.array([target or self.limits.tokens, self.limits.segments, self.limits.loss_tokens], float)
-        room, pieces = limit.copy(), []
-        while room.min() >= 1 and len(self.pool):
+    def fill(self, target: int | None = None) -> int:
+        """One sequence of exactly ``target`` tokens, or as near as the limits allow; its tokens."""
+        tokens, segments, loss = float(target or self.limits.tokens), float(self.limits.segments), float(self.limits.loss_tokens)
+        whole, pieces = tokens, []
+        while tokens >= 1 and segments >= 1 and len(self.pool):
             # the last segment has to fill the gap, so it is cut from the longest item
-            slot = self.pool.best(room) if room[1] > 1 else None
+            slot = self.pool.best((tokens, segments, loss)) if segments > 1 else None
             if slot is None:
-                slot = self.pool.longest()
-                gap = int(min(room[0], room[2]))
-                item = self.pool.take(slot)
-                if len(item) > gap:
-                    item, rest = item.cut(gap)
-                    self.pool.add(rest, len(rest), len(rest))
+                item = self.pool.take(self.pool.longest())
+                n = item.fitting(tokens, loss)
+                if n < len(item):
+                    item, rest = item.cut(n)
+                    self.pool.add(rest, len(rest), rest.bears())
+                if not n:
+                    break
             else:
                 item = self.pool.take(slot)
             pieces.append(item)
-            room -= (len(item), 1, len(item))
+            tokens, segments, loss = tokens - len(item), segments - 1, loss - item.bears()
         self.emit(pieces)
+        return int(whole - tokens)
 
     def finish(self) -> None:
-        left = int(np.where(np.isinf(self.pool.size[:, 0]), 0, self.pool.size[:, 0]).sum())
+        left = self.pool.held()
         while left:
-            target = self.limits.tokens if left >= self.limits.tokens else 1 << (left.bit_length() - 1)
-            before = self.sequence, len(self.rows)
-            self.fill(target)
-            left -= sum(r[2] for r in self.rows[before[1] :])
+            left -= self.fill(self.limits.tokens if left >= self.limits.tokens else 1 << (left.bit_length() - 1))
 
     def flush(self) -> list[tuple]:
         rows, self.rows = self.rows, []
@@ -304,7 +385,7 @@ PIECE_COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, seque
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, limits: Limits, slots: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
-    packer = DocumentPacker(part << 40, limits, slots)
+    packer = DocumentPacker(part << 40, limits, slots, white_ids(path))
     tok = _tokenizer(path)
 
     def out() -> Iterator[pa.RecordBatch]:
@@ -316,7 +397,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, limits: Limits, slots:
             some = batch.slice(first, 256)
             texts = [t or "" for t in some.column(1).to_pylist()]
             for doc, ids in zip(some.column(0).to_pylist(), tok.encode(texts)):
-                packer.add(doc, np.append(ids, np.uint32(END_ID)))
+                packer.add(doc, np.append(ids, np.uint32(END_ID)).astype("<u4", copy=False))
             yield from out()
     packer.finish()
     yield from out()
@@ -328,14 +409,15 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     limits: Limits = Limits(),
-    pool_slots: int = 512,
+    pool_slots: int = 256,
 ) -> DataFrame:
     """Cut and pack texts into sequences; one row per piece.
 
     A piece is ``length`` ids from the document's ``start``-th on, at ``offset``
     of sequence ``sequence_id``; ``ids_crc32`` is the checksum of its ids as
     little-endian 32-bit integers and ``doc_tokens`` counts the document's ids
-    with the end id.  Every id bears loss, so tokens and loss grow alike here.
+    with the end id.  Special strings inside a text are one id each, as the
+    library takes them by default.  Ids of white space and the end id bear no loss.
     """
     workers_find_package(docs.sparkSession)
     one = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
@@ -346,46 +428,79 @@ def pack_documents(
 # -- whole examples ---------------------------------------------------------
 
 
-def pack_vectors(tokens: list[int], loss: list[int], limits: Limits, slots: int = 2048) -> list[int]:
-    """The bin of each example; one that exceeds a limit alone gets a bin of its own."""
-    pool, bins, last = Pool(slots, limits), [-1] * len(tokens), -1
+class ExamplePacker:
+    """Bins of whole examples, filled from a pool that lasts over all batches of a partition."""
+
+    def __init__(self, first_bin: int, limits: Limits, slots: int):
+        self.limits, self.pool, self.next = limits, Pool(slots, limits), first_bin
+
+    def _fill(self) -> Iterator[tuple[object, int]]:
+        room = self.limits.tokens, self.limits.segments, self.limits.loss_tokens
+        while (slot := self.pool.best(room)) is not None:
+            room = room[0] - self.pool.tokens[slot], room[1] - 1, room[2] - self.pool.loss[slot]
+            yield self.pool.take(slot), self.next
+        self.next += 1
 
-    def fill() -> None:
-        nonlocal last
-        last += 1
-        room = limits.vector()
-        while (slot := pool.best(room)) is not None:
-            room -= pool.size[slot]
-            bins[pool.take(slot)] = last
+    def add(self, example: object, tokens: int, loss: int) -> Iterator[tuple[object, int]]:
+        """Take an example; yields (example, bin) of those that are placed now."""
+        if tokens > self.limits.tokens or loss > self.limits.loss_tokens:
+            yield example, self.next  # too large for any bin: one of its own
+            self.next += 1
+            return
+        while not self.pool.free:
+            yield from self._fill()
+        self.pool.add(example, tokens, loss)
 
+    def finish(self) -> Iterator[tuple[object, int]]:
+        while len(self.pool):
+            yield from self._fill()
+
+
+def pack_vectors(tokens: list[int], loss: list[int], limits: Limits, slots: int = 2048) -> list[int]:
+    """The bin of each example; one that exceeds a limit alone gets a bin of its own."""
+    packer, bins = ExamplePacker(0, limits, slots), [-1] * len(tokens)
     for i, (t, l) in enumerate(zip(tokens, loss)):
-        if t > limits.tokens or l > limits.loss_tokens:
-            last += 1
-            bins[i] = last
-            continue
-        while not pool.free:
-            fill()
-        pool.add(i, t, l)
-    while len(pool):
-        fill()
+        for k, b in packer.add(i, t, l):
+            bins[k] = b
+    for k, b in packer.finish():
+        bins[k] = b
     return bins
 
 
 def pack_examples(
     examples: DataFrame, tokens_col: str, loss_col: str, limits: Limits = Limits(), pool_slots: int = 2048
 ) -> DataFrame:
-    """Whole examples (never cut) with a ``sequence_id`` each; null sizes count as 0."""
+    """Whole examples (never cut) with a ``sequence_id`` each; null sizes count as 0.
+
+    The pool of waiting examples is kept from batch to batch of a partition; it
+    holds at most ``pool_slots`` rows.
+    """
     workers_find_package(examples.sparkSession)
     name = "sequence_id"
     if name in examples.columns:
         raise ValueError("the examples already have a column sequence_id")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for pdf in frames:
-            t, l = (pdf[c].fillna(0).astype(int).tolist() for c in (tokens_col, loss_col))
-            bins = pack_vectors(t, l, limits, pool_slots)
-            yield pdf.assign(**{name: np.array(bins, np.int64) + base})
-            base += max(bins, default=-1) + 1
-
-    return examples.mapInPandas(run, T.StructType([*examples.schema.fields, T.StructField(name, T.LongType())]))
+    places = [examples.columns.index(c) for c in (tokens_col, loss_col)]
+    out = T.StructType([*examples.schema.fields, T.StructField(name, T.LongType())])
+    schema = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = ExamplePacker((TaskContext.get().partitionId() if TaskContext.get() else 0) << 40, limits, pool_slots)
+        placed: list[tuple[pa.RecordBatch, int]] = []
+
+        def some() -> Iterator[pa.RecordBatch]:
+            rows, bins = [r for r, _ in placed], pa.array([b for _, b in placed], pa.int64())
+            placed.clear()
+            if rows:
+                table = pa.Table.from_batches(rows).combine_chunks()
+                columns = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in table.columns]
+                yield pa.RecordBatch.from_arrays([*[c.cast(f.type) for c, f in zip(columns, schema)], bins], schema=schema)
+
+        for batch in batches:
+            sizes = [batch.column(i).to_pylist() for i in places]
+            for i, (t, l) in enumerate(zip(*sizes)):
+                placed += packer.add(batch.slice(i, 1), int(t or 0), int(l or 0))
+            yield from some()
+        placed += packer.finish()
+        yield from some()
+
+    return examples.mapInArrow(run, out)

@@ -18,7 +18,6 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 def reference():
     t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
     return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -65,6 +64,62 @@ def test_chunked_ids_equal_the_tokenizer():
         assert [x.tolist() for x in tok.encode(texts[lo : lo + 100])] == reference()(texts[lo : lo + 100])
 
 
+def test_special_strings_and_long_runs():
+    tok, ids = K.ChunkTokenizer(FILE), reference()
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext|", "<|ENDOFTEXT|>", " <|endoftext|>  c"]
+    texts += ["a" + c * n + end for c in " \n\t" for n in (4999, 5000, 5001, 20_000) for end in ("", "b", ".", "<|endoftext|>")]
+    texts += [" \n" * 6000 + "é", "x" + "\x0b\u3000" * 5000 + "日", "-" * 50_000, "a" * 50_000, "1" * 50_000]
+    assert [x.tolist() for x in tok.encode(texts)] == ids(texts)
+
+
+def test_million_spaces_come_back(spark):
+    texts = [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b", "\t" * 999_999 + " c"]
+    pieces = K.pack_documents(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), FILE).collect()
+    total = {p["doc_id"]: p["doc_tokens"] for p in pieces}
+    assert len(total) == 3 and all(sum(p["length"] for p in pieces if p["doc_id"] == i) == n for i, n in total.items())
+    bpe = K.byte_level_bpe(FILE)
+    assert all(bpe.decode(K.ChunkTokenizer(FILE).encode([t])[0].tolist()) == t for t in texts)
+
+
+def test_loss_bearing_limit_holds():
+    """Ids of white space and the end id bear no loss; a tight limit on the others cuts pieces by it."""
+    white = K.white_ids(FILE)
+    tok = K.ChunkTokenizer(FILE)
+    assert white[tok.encode([" "])[0][0]] and white[tok.line_feed] and not white[tok.encode(["a"])[0][0]]
+    rng = random.Random(3)
+    limits = K.Limits(tokens=128, segments=6, loss_tokens=40)
+    packer = K.DocumentPacker(0, limits, 32, white)
+    ids_of = {i: np.append(tok.encode([" ".join(rng.choice(["a\n\n\n", "word", "\n", "\t\t b"]) for _ in range(rng.randrange(300)))])[0], 0).astype("<u4") for i in range(200)}
+    for i, ids in ids_of.items():
+        packer.add(i, ids)
+    packer.finish()
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    pieces = [dict(zip(names, r)) for r in packer.flush()]
+    check(pieces, {i: x.tolist() for i, x in ids_of.items()}, limits)
+    held = defaultdict(int)
+    for p in pieces:
+        part = ids_of[p["doc_id"]][p["start"] : p["start"] + p["length"]]
+        ends = p["start"] + p["length"] == p["doc_tokens"]
+        held[p["sequence_id"]] += int((~white[part]).sum()) - int(ends)
+    assert max(held.values()) <= 40 and sum(v == 40 for v in held.values()) > 20
+
+
+def test_examples_wait_across_batches(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(50, 700), rng.randrange(0, 50), f"n{i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "conv long, tokens int, loss int, note string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = K.pack_examples(df, "tokens", "loss").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["conv"], r["tokens"], r["loss"], r["note"]) for r in got) == rows
+    held = defaultdict(int)
+    for r in got:
+        held[r["sequence_id"]] += r["tokens"]
+    assert max(held.values()) <= 1024 and len(held) <= 1.03 * sum(r[1] for r in rows) / 1024
+
+
 def test_segment_limit_holds(spark):
     limits = K.Limits(tokens=64, segments=4, loss_tokens=64)
     rows = [(i, "a b" if i % 3 else "word " * (i % 90)) for i in range(400)]
