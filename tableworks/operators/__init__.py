@@ -36,12 +36,15 @@ from tableworks.operators.loads import (
     scd2_history,
     scd2_initial,
 )
+from tableworks.operators.overlaps import band_join, disjunctive_join, overlap_join
+from tableworks.operators.change_feed import scd2_feed
 from tableworks.operators.sizing import fits_broadcast, measured_size
 
 __all__ = [
     "JOIN_STRATEGIES",
     "LOAD_STRATEGIES",
     "SCD_COLUMNS",
+    "band_join",
     "broadcast_join",
     "bucketed_join",
     "check_unique_keys",
@@ -50,6 +53,7 @@ __all__ = [
     "create_history_table",
     "delete_insert",
     "delete_insert_partitions",
+    "disjunctive_join",
     "equi_join",
     "fits_broadcast",
     "full_outer_join",
@@ -66,11 +70,13 @@ __all__ = [
     "merge_upsert_partitions",
     "multi_table_join",
     "normalize_join_type",
+    "overlap_join",
     "range_join",
     "right_join",
     "scd2_apply",
     "scd2_apply_partitions",
     "scd2_current",
+    "scd2_feed",
     "scd2_history",
     "scd2_initial",
 ]

@@ -18,6 +18,7 @@ those names.  No temp views are registered: nothing leaks between calls.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import math
 import operator
@@ -30,78 +31,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableworks.operators import conditions
+from tableworks.operators.overlaps import band_join, disjunctive_join, overlap_join
+from tableworks.operators.sides import (
+    EDGE,
+    END_OPS,
+    LEFT,
+    LEFT_STREAMED,
+    RANGE_OPS,
+    RIGHT,
+    START_OPS,
+    KeySpec,
+    common_type,
+    field_type,
+    join_on,
+    key_pairs,
+    lowest_level,
+    normalize_join_type,
+    ordinal,
+    project,
+    qualified,
+    unmatched,
+)
 from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast, row_bytes
 from tableworks.sources.tables import bucket_spec, qualified_name
 
 _log = logging.getLogger(__name__)
 
-LEFT = "left_table"
-RIGHT = "right_table"
-
-_JOIN_TYPES = {
-    "inner": "inner",
-    "left": "left",
-    "left_outer": "left",
-    "leftouter": "left",
-    "right": "right",
-    "right_outer": "right",
-    "rightouter": "right",
-    "outer": "full_outer",
-    "full": "full_outer",
-    "full_outer": "full_outer",
-    "fullouter": "full_outer",
-    "semi": "left_semi",
-    "left_semi": "left_semi",
-    "leftsemi": "left_semi",
-    "anti": "left_anti",
-    "left_anti": "left_anti",
-    "leftanti": "left_anti",
-}
-
-# Join types in which only the left side is preserved or filtered: a hint on
-# the right side can serve them as a broadcast hash join.
-_LEFT_STREAMED = ("inner", "left", "left_semi", "left_anti")
-
-KeySpec = Sequence["str | tuple[str, str]"]
-
-
-def normalize_join_type(join_type: str) -> str:
-    """Canonical Spark join type; unknown names and cross joins raise ``ValueError``."""
-    key = join_type.strip().lower().replace(" ", "_")
-    if key not in _JOIN_TYPES:
-        raise ValueError(
-            f"unknown join type {join_type!r}; use one of {sorted(set(_JOIN_TYPES.values()))}"
-        )
-    return _JOIN_TYPES[key]
-
-
-def _key_pairs(join_keys: KeySpec) -> list[tuple[str, str]]:
-    if isinstance(join_keys, str):
-        join_keys = [join_keys]
-    pairs = []
-    for k in join_keys:
-        if isinstance(k, str):
-            pairs.append((k, k))
-        else:
-            left_key, right_key = k
-            pairs.append((left_key, right_key))
-    if not pairs:
-        raise ValueError("join_keys must not be empty")
-    return pairs
-
-
-def _qualified(alias: str, name: str) -> Column:
-    return F.col(f"{alias}.`{name}`")
-
-
-def _project(df: DataFrame, select_columns: Sequence[str | Column] | None) -> DataFrame:
-    """``select_columns`` entries are SQL text (names, qualified names,
-    expressions with aliases) or Columns."""
-    if not select_columns:
-        return df
-    return df.select(*[F.expr(c) if isinstance(c, str) else c for c in select_columns])
-
-
 def equi_join(
     left: DataFrame,
     right: DataFrame,
@@ -120,19 +76,12 @@ def equi_join(
     per side) for keys known to be unique on both sides.
     """
     how = normalize_join_type(how)
-    pairs = _key_pairs(join_keys)
-    on = _join_on(pairs)
+    pairs = key_pairs(join_keys)
+    on = join_on(pairs)
     if how == "full_outer" and split_full_outer:
-        return full_outer_split(left, right, on, lambda joined: _project(joined, select_columns), pairs)
+        return full_outer_split(left, right, on, lambda joined: project(joined, select_columns), pairs)
     out = left.alias(LEFT).join(right.alias(RIGHT), on, how)
-    return _project(out, select_columns)
-
-
-def _join_on(pairs: list[tuple[str, str]]) -> list[str] | Column:
-    """Key names for a ``USING`` join, or an equality condition over the aliases."""
-    if all(lk == rk for lk, rk in pairs):
-        return [lk for lk, _ in pairs]
-    return reduce(operator.and_, [_qualified(LEFT, lk) == _qualified(RIGHT, rk) for lk, rk in pairs])
+    return project(out, select_columns)
 
 
 def full_outer_split(
@@ -231,11 +180,16 @@ def conditional_join(
     planned as a nested-loop join: a side measured at most
     ``max_broadcast_bytes`` is broadcast (the right one where the join streams
     the left; for inner joins either), with no shuffle.
+
+    Text of three more shapes is planned without a nested loop, for the same join
+    types: ranges that overlap (``overlap_join``), a column within fixed distances
+    of another (``band_join``), and equalities joined by ``OR``
+    (``disjunctive_join``).
     """
     how = normalize_join_type(how)
     default_aliases = (left_alias, right_alias) == (LEFT, RIGHT)
     shape = _interval_shape(join_condition) if isinstance(join_condition, str) and default_aliases else None
-    if shape is not None and _orderable(left, right, shape) and (how == "inner" or (how in _LEFT_STREAMED and shape["point_side"] == LEFT)):
+    if shape is not None and _orderable(left, right, shape) and (how == "inner" or (how in LEFT_STREAMED and shape["point_side"] == LEFT)):
         keys = shape["keys"]
         if shape["point_side"] == LEFT:
             points, ranges, names = left, right, (LEFT, RIGHT)
@@ -248,15 +202,47 @@ def conditional_join(
             point_alias=names[0], range_alias=names[1],
         )
         if select_columns or names == (LEFT, RIGHT):
-            return _project(joined, select_columns)
-        return joined.select(*[_qualified(LEFT, c) for c in left.columns], *[_qualified(RIGHT, c) for c in right.columns])
+            return project(joined, select_columns)
+        return joined.select(*[qualified(LEFT, c) for c in left.columns], *[qualified(RIGHT, c) for c in right.columns])
+    if isinstance(join_condition, str) and default_aliases and how in LEFT_STREAMED:
+        planned = _planned(left, right, join_condition, how, select_columns, max_broadcast_bytes)
+        if planned is not None:
+            return planned
     cond = F.expr(join_condition) if isinstance(join_condition, str) else join_condition
     lft, rgt = left.alias(left_alias), right.alias(right_alias)
-    if how in _LEFT_STREAMED and fits_broadcast(right, max_broadcast_bytes):
+    if how in LEFT_STREAMED and fits_broadcast(right, max_broadcast_bytes):
         rgt = F.broadcast(rgt)
     elif how in ("inner", "right") and fits_broadcast(left, max_broadcast_bytes):
         lft = F.broadcast(lft)
-    return _project(lft.join(rgt, cond, how), select_columns)
+    return project(lft.join(rgt, cond, how), select_columns)
+
+
+def _planned(
+    left: DataFrame, right: DataFrame, condition: str, how: str, select_columns: Sequence[str | Column] | None, max_broadcast_bytes: int
+) -> DataFrame | None:
+    """The join for a condition of a known shape over columns that can be ordered, or ``None``."""
+    ways = conditions.disjunction(condition)
+    if ways is not None and all(a in left.columns and b in right.columns for way in ways for a, b in way):
+        return disjunctive_join(left, right, ways, how, select_columns, max_broadcast_bytes)
+    rest = {"how": how, "select_columns": select_columns, "max_broadcast_bytes": max_broadcast_bytes}
+    shape = conditions.overlap(condition)
+    if shape is not None and _ordered(left, [shape["left_start"], shape["left_end"]], right, [shape["right_start"], shape["right_end"]]):
+        return overlap_join(left, right, **shape, **rest)
+    shape = conditions.band(condition)
+    if shape is not None and _ordered(left, [shape["left_key"]], right, [shape["right_key"]], isinstance(shape["below"], dt.timedelta)):
+        return band_join(left, right, **shape, **rest, residual=F.expr(condition))
+    return None
+
+
+def _ordered(left: DataFrame, left_names: list[str], right: DataFrame, right_names: list[str], timed: bool | None = None) -> bool:
+    """Whether the columns exist and have a common order, of times (or not) if asked."""
+    if not set(left_names) <= set(left.columns) or not set(right_names) <= set(right.columns):
+        return False
+    types = [field_type(left, c) for c in left_names] + [field_type(right, c) for c in right_names]
+    try:
+        return timed is None or timed == (not isinstance(common_type(types), T.NumericType))
+    except ValueError:
+        return False
 
 
 _IDENT = r"`?([A-Za-z_][A-Za-z0-9_]*)`?"
@@ -331,67 +317,12 @@ def _orderable(left: DataFrame, right: DataFrame, shape: dict[str, Any]) -> bool
     if any(c not in df.columns for df, c in names):
         return False
     try:
-        _common_type([_field_type(df, c) for df, c in names])
+        common_type([field_type(df, c) for df, c in names])
     except ValueError:
         return False
     return True
 
 
-# ---------------------------------------------------------------------------
-# Ordered keys: a monotone image of numbers, dates and timestamps as doubles,
-# used only to place rows into bins; the comparison itself is always made on
-# the original columns, with Spark's own coercion.
-
-# Ordinals end here: infinities and NaN (which Spark orders above all) fall into
-# the outermost bins.  A power of two, so bin edges stay exact.
-_EDGE = 2.0**1000
-
-
-def _common_type(types: list[T.DataType]) -> T.DataType:
-    if any(isinstance(t, T.TimestampType) for t in types):
-        return T.TimestampType()
-    if any(isinstance(t, T.TimestampNTZType) for t in types):
-        return T.TimestampNTZType()
-    if any(isinstance(t, T.DateType) for t in types):
-        if all(isinstance(t, T.DateType) for t in types):
-            return T.DateType()
-        raise ValueError(f"cannot order a date against {types}")
-    if all(isinstance(t, T.NumericType) for t in types):
-        return T.DoubleType()
-    raise ValueError(f"range and interval keys must be numbers, dates or timestamps, got {types}")
-
-
-def _ordinal(c: Column, dtype: T.DataType) -> Column:
-    """Monotone non-decreasing double for ``c``, within ``[-_EDGE, _EDGE]``; NULL stays NULL."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c.cast(dtype)).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        c = c.cast(dtype)
-        # Wall-clock seconds, independent of the session time zone.
-        seconds = F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        return seconds.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    d = c.cast("double")
-    clamped = F.greatest(F.lit(-_EDGE), F.least(F.lit(_EDGE), d))
-    return F.when(d.isNull(), d).when(F.isnan(d), F.lit(_EDGE)).otherwise(clamped)
-
-
-def _lowest_level(dtype: T.DataType) -> int:
-    """Exponent of the narrowest bin worth using for ``dtype``'s ordinal."""
-    if isinstance(dtype, T.TimestampType):
-        return 20  # about a second
-    return 0 if isinstance(dtype, (T.TimestampNTZType, T.DateType)) else -40
-
-
-def _field_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
-
-
-_START_OPS: dict[str, Callable[[Column, Column], Column]] = {">=": operator.ge, ">": operator.gt}
-_END_OPS: dict[str, Callable[[Column, Column], Column]] = {"<=": operator.le, "<": operator.lt}
-
-
 def interval_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -437,21 +368,21 @@ def interval_join(
     both sides are shuffled, and AQE splits a bin that holds many points.
     """
     how = normalize_join_type(how)
-    if how not in _LEFT_STREAMED:
+    if how not in LEFT_STREAMED:
         raise ValueError("interval_join preserves the point side only: inner, left, left_semi, left_anti")
-    if start_op not in _START_OPS or end_op not in _END_OPS:
+    if start_op not in START_OPS or end_op not in END_OPS:
         raise ValueError("start_op is >= or >, end_op is <= or <")
-    keys = _key_pairs(join_keys) if join_keys else []
-    ctype = _common_type([_field_type(points, point_col), _field_type(ranges, start_col), _field_type(ranges, end_col)])
+    keys = key_pairs(join_keys) if join_keys else []
+    ctype = common_type([field_type(points, point_col), field_type(ranges, start_col), field_type(ranges, end_col)])
     s, e = F.col(f"`{start_col}`"), F.col(f"`{end_col}`")
     valid = s.isNotNull() & (F.coalesce(s <= e, F.lit(True)) if open_end else (s <= e))
     rng = ranges.where(valid)
 
-    s_ord = _ordinal(s, ctype)
-    e_ord = F.coalesce(_ordinal(e, ctype), F.lit(_EDGE))
+    s_ord = ordinal(s, ctype)
+    e_ord = F.coalesce(ordinal(e, ctype), F.lit(EDGE))
     # Two levels are merged into one (bins up to four times wider than needed),
     # which halves the copies of each point.  log2 of a zero length is NULL.
-    lowest = _lowest_level(ctype)
+    lowest = lowest_level(ctype)
     if bin_width is not None and bin_width > 0:
         lowest = max(lowest, math.ceil(math.log2(bin_width)))
     exponent = F.ceil(F.log2(e_ord - s_ord)) + 1
@@ -465,9 +396,9 @@ def interval_join(
     def residual(left: str, right: str) -> Column:
         p = F.col(f"{left}.`{point_col}`")
         end = F.col(f"{right}.`{end_col}`")
-        ends = _END_OPS[end_op](p, end)
-        cond = _START_OPS[start_op](p, F.col(f"{right}.`{start_col}`")) & ((ends | end.isNull()) if open_end else ends)
-        return reduce(operator.and_, [_qualified(left, lk) == _qualified(right, rk) for lk, rk in keys], cond)
+        ends = END_OPS[end_op](p, end)
+        cond = START_OPS[start_op](p, F.col(f"{right}.`{start_col}`")) & ((ends | end.isNull()) if open_end else ends)
+        return reduce(operator.and_, [qualified(left, lk) == qualified(right, rk) for lk, rk in keys], cond)
 
     width = F.pow(F.lit(2.0), F.col("__tw_rlvl").cast("double"))
     binned = rng.withColumn("__tw_rlvl", level).withColumn(
@@ -478,7 +409,7 @@ def interval_join(
         binned = F.broadcast(binned)
 
     def at_levels(frame: DataFrame) -> DataFrame:
-        p_ord = _ordinal(F.col(f"`{point_col}`"), ctype)
+        p_ord = ordinal(F.col(f"`{point_col}`"), ctype)
         bins = [
             F.struct(F.lit(lv).alias("l"), F.floor(p_ord / F.lit(2.0**lv)).alias("b")) for lv in levels
         ]
@@ -502,24 +433,17 @@ def interval_join(
         return meet(pts, "inner")
 
     if how == "inner":
-        return _project(inner(), select_columns)
+        return project(inner(), select_columns)
     by = list(dict.fromkeys([*[lk for lk, _ in keys], point_col]))
     matched = meet(at_levels(points.select(*[F.col(f"`{c}`") for c in by]).distinct()), "left_semi")
     matched = matched.select(*[F.col(f"`{c}`").alias(f"__tw_m{i}") for i, c in enumerate(by)])
-    same = reduce(operator.and_, [_qualified(point_alias, c) == F.col(f"__tw_m{i}") for i, c in enumerate(by)])
+    same = reduce(operator.and_, [qualified(point_alias, c) == F.col(f"__tw_m{i}") for i, c in enumerate(by)])
     if how in ("left_semi", "left_anti"):
-        return _project(points.alias(point_alias).join(matched, same, how), select_columns)
+        return project(points.alias(point_alias).join(matched, same, how), select_columns)
     alone = points.alias(point_alias).join(matched, same, "left_anti")
     alone = alone.alias(point_alias).join(ranges.where(F.lit(False)).alias(range_alias), F.lit(False), "left")
-    return _project(inner(), select_columns).union(_project(alone, select_columns))
-
+    return project(inner(), select_columns).union(project(alone, select_columns))
 
-_RANGE_OPS: dict[str, Callable[[Column, Column], Column]] = {
-    ">=": operator.ge,
-    "<=": operator.le,
-    ">": operator.gt,
-    "<": operator.lt,
-}
 
 DEFAULT_RANGE_BINS = 64
 
@@ -534,8 +458,9 @@ def range_join(
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     num_bins: int = DEFAULT_RANGE_BINS,
     join_keys: KeySpec | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on ``left_table.left_key <op> right_table.right_key`` (and equal ``join_keys``).
+    """Join on ``left_table.left_key <op> right_table.right_key`` (and equal ``join_keys``).
 
     ``op`` is one of ``>=``, ``<=``, ``>``, ``<``.  The comparison is made on the
     original columns on every path, so the rows never depend on the plan.
@@ -548,24 +473,40 @@ def range_join(
       can hold a partner and each right row goes to its own, and the join is an
       equi-join on the bin.  Quantiles keep the bins even; NaN and infinities
       fall into the outer bins.  AQE splits bins that many left rows reach.
+
+    Semi and anti joins make no pairs.  A left row has a partner exactly if it
+    passes the smallest right key of its group (the largest for ``<=`` and
+    ``<``), so the right side is aggregated to one row per group, combined before
+    its shuffle, and joined once; without keys that is one value, a scalar
+    subquery.  A left join is the inner join and the left rows that the anti
+    join keeps.
     """
-    if range_condition not in _RANGE_OPS:
-        raise ValueError(f"range_condition must be one of {sorted(_RANGE_OPS)}, got {range_condition!r}")
-    compare = _RANGE_OPS[range_condition](F.col(f"{LEFT}.`{left_key}`"), F.col(f"{RIGHT}.`{right_key}`"))
-    ctype = _common_type([_field_type(left, left_key), _field_type(right, right_key)])
+    how = normalize_join_type(how)
+    if how not in LEFT_STREAMED:
+        raise ValueError("range_join preserves the left side only: inner, left, left_semi, left_anti")
+    if range_condition not in RANGE_OPS:
+        raise ValueError(f"range_condition must be one of {sorted(RANGE_OPS)}, got {range_condition!r}")
+    compare = RANGE_OPS[range_condition](F.col(f"{LEFT}.`{left_key}`"), F.col(f"{RIGHT}.`{right_key}`"))
+    ctype = common_type([field_type(left, left_key), field_type(right, right_key)])
+    if how == "left":
+        inner = range_join(left, right, left_key, right_key, range_condition, select_columns, max_broadcast_bytes, num_bins, join_keys)
+        alone = range_join(left, right, left_key, right_key, range_condition, join_keys=join_keys, max_broadcast_bytes=max_broadcast_bytes, how="left_anti")
+        return inner.union(project(unmatched(alone, right), select_columns))
+    if how != "inner":
+        return project(_partnered(left, right, left_key, right_key, range_condition, join_keys, how, max_broadcast_bytes), select_columns)
     lft, rgt = left.alias(LEFT), right.alias(RIGHT)
     if join_keys:
-        pairs = _key_pairs(join_keys)
-        cond = reduce(operator.and_, [_qualified(LEFT, lk) == _qualified(RIGHT, rk) for lk, rk in pairs], compare)
+        pairs = key_pairs(join_keys)
+        cond = reduce(operator.and_, [qualified(LEFT, lk) == qualified(RIGHT, rk) for lk, rk in pairs], compare)
         if fits_broadcast(right, max_broadcast_bytes):
             rgt = F.broadcast(rgt)
-        return _project(lft.join(rgt, cond, "inner"), select_columns)
+        return project(lft.join(rgt, cond, "inner"), select_columns)
     if fits_broadcast(right, max_broadcast_bytes):
-        return _project(lft.join(F.broadcast(rgt), compare, "inner"), select_columns)
+        return project(lft.join(F.broadcast(rgt), compare, "inner"), select_columns)
     if fits_broadcast(left, max_broadcast_bytes):
-        return _project(F.broadcast(lft).join(rgt, compare, "inner"), select_columns)
+        return project(F.broadcast(lft).join(rgt, compare, "inner"), select_columns)
 
-    r_ord, l_ord = _ordinal(F.col(f"`{right_key}`"), ctype), _ordinal(F.col(f"`{left_key}`"), ctype)
+    r_ord, l_ord = ordinal(F.col(f"`{right_key}`"), ctype), ordinal(F.col(f"`{left_key}`"), ctype)
     k = max(int(num_bins), 1)
     cuts = right.agg(F.percentile_approx(r_ord, [i / k for i in range(1, k)] or [0.5]).alias("cuts")).collect()[0]["cuts"]
     edges = sorted(set(cuts or []))
@@ -580,7 +521,24 @@ def range_join(
     lft = left.where(F.col(f"`{left_key}`").isNotNull()).withColumn("__tw_lbin", F.explode(F.sequence(low, high)))
     cond = (F.col(f"{LEFT}.__tw_lbin") == F.col(f"{RIGHT}.__tw_rbin")) & compare
     out = lft.alias(LEFT).join(rgt.alias(RIGHT), cond, "inner").drop("__tw_lbin", "__tw_rbin")
-    return _project(out, select_columns)
+    return project(out, select_columns)
+
+
+def _partnered(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, op: str, join_keys: KeySpec | None, how: str, max_broadcast_bytes: int
+) -> DataFrame:
+    """Left rows with (or without) a right row that ``op`` accepts, from one extreme per group."""
+    extreme = (F.min if op in (">=", ">") else F.max)(F.col(f"`{right_key}`")).alias("__tw_extreme")
+    if not join_keys:
+        passes = F.coalesce(RANGE_OPS[op](F.col(f"`{left_key}`"), right.agg(extreme).scalar()), F.lit(False))
+        return left.where(passes if how == "left_semi" else ~passes).alias(LEFT)
+    pairs = key_pairs(join_keys)
+    groups = right.groupBy(*[F.col(f"`{rk}`").alias(f"__tw_k{i}") for i, (_, rk) in enumerate(pairs)]).agg(extreme)
+    if fits_broadcast(groups, max_broadcast_bytes):
+        groups = F.broadcast(groups)
+    cond = RANGE_OPS[op](qualified(LEFT, left_key), F.col("__tw_extreme"))
+    cond = reduce(operator.and_, [qualified(LEFT, lk) == F.col(f"__tw_k{i}") for i, (lk, _) in enumerate(pairs)], cond)
+    return left.alias(LEFT).join(groups, cond, how)
 
 
 def multi_table_join(
@@ -615,17 +573,17 @@ def multi_table_join(
             raise ValueError("left_key and right_key must have the same length")
         on = reduce(
             operator.and_,
-            [_qualified(left_name, a) == _qualified(right_name, b) for a, b in zip(lkeys, rkeys)],
+            [qualified(left_name, a) == qualified(right_name, b) for a, b in zip(lkeys, rkeys)],
         )
         how = normalize_join_type(cond.get("join_type", "inner"))
         right_df = dataframes[names.index(right_name)].alias(right_name)
         result = result.join(right_df, on, how)
         joined.add(right_name)
-    return _project(result, select_columns)
+    return project(result, select_columns)
 
 
 def _side(alias: str, name: str) -> Column:
-    return F.col(name) if "." in name else _qualified(alias, name)
+    return F.col(name) if "." in name else qualified(alias, name)
 
 
 def coalesce_join(
@@ -657,13 +615,13 @@ def coalesce_join(
             continue
         seen.add(c)
         if c in right_names:
-            cols.append(F.coalesce(_qualified(LEFT, c), _qualified(RIGHT, c)).alias(c))
+            cols.append(F.coalesce(qualified(LEFT, c), qualified(RIGHT, c)).alias(c))
         else:
-            cols.append(_qualified(LEFT, c).alias(c))
+            cols.append(qualified(LEFT, c).alias(c))
     for c in right.columns:
         if c not in seen:
             seen.add(c)
-            cols.append(_qualified(RIGHT, c).alias(c))
+            cols.append(qualified(RIGHT, c).alias(c))
     for out_name, pair in outputs.items():
         lname, rname = pair
         cols.append(F.coalesce(_side(LEFT, lname), _side(RIGHT, rname)).alias(out_name))
@@ -691,7 +649,7 @@ def broadcast_join(
     """
     how = normalize_join_type(join_type)
     max_bytes = int(broadcast_threshold_mb * 1024 * 1024)
-    if how in _LEFT_STREAMED and fits_broadcast(small, max_bytes):
+    if how in LEFT_STREAMED and fits_broadcast(small, max_bytes):
         small = F.broadcast(small)
     return equi_join(large, small, join_keys, how, select_columns)
 
@@ -714,7 +672,7 @@ def bucketed_join(
     the same rows through a shuffle; that is logged as a warning.
     """
     names = qualified_name(left_table, left_catalog), qualified_name(right_table, right_catalog)
-    pairs = _key_pairs(join_keys)
+    pairs = key_pairs(join_keys)
     specs = [bucket_spec(spark, name) for name in names]
     for name, (columns, _), keys in zip(names, specs, zip(*pairs)):
         if columns is None or set(columns) != set(keys):
@@ -741,8 +699,10 @@ def join_data(
 
     * ``basic``: ``equi_join`` (``select_columns``).
     * ``advanced``: ``interval_join`` when ``point_col``/``start_col``/``end_col``
-      are given, ``range_join`` when ``left_key``/``right_key`` are, else
-      ``conditional_join`` with ``join_condition``.
+      are given, ``range_join`` when ``left_key``/``right_key`` are (``band_join``
+      with ``below`` too), ``overlap_join`` for ``left_start``/``left_end``/
+      ``right_start``/``right_end``, ``disjunctive_join`` for ``alternatives``,
+      else ``conditional_join`` with ``join_condition``.
     * ``broadcast``: ``broadcast_join`` (``broadcast_threshold_mb``).
     * ``bucket``: ``bucketed_join``; ``left``/``right`` are table names.
     """
@@ -765,12 +725,20 @@ def join_data(
             how, select_columns, **kwargs,
         )
     if "left_key" in kwargs:
-        if how != "inner":
-            raise ValueError("range_join is an inner join")
+        if "below" in kwargs:
+            return band_join(
+                left, right, kwargs.pop("left_key"), kwargs.pop("right_key"), kwargs.pop("below"), how=how,
+                select_columns=select_columns, join_keys=join_keys, **kwargs,
+            )
         return range_join(
             left, right, kwargs.pop("left_key"), kwargs.pop("right_key"),
-            kwargs.pop("range_condition", ">="), select_columns, **kwargs,
+            kwargs.pop("range_condition", ">="), select_columns, join_keys=join_keys, how=how, **kwargs,
         )
+    if "left_start" in kwargs:
+        names = [kwargs.pop(c) for c in ("left_start", "left_end", "right_start", "right_end")]
+        return overlap_join(left, right, *names, how, select_columns, join_keys=join_keys, **kwargs)
+    if "alternatives" in kwargs:
+        return disjunctive_join(left, right, kwargs.pop("alternatives"), how, select_columns, **kwargs)
     if "join_condition" not in kwargs:
         raise ValueError("the advanced strategy needs join_condition, left_key/right_key or point_col")
     return conditional_join(left, right, kwargs.pop("join_condition"), select_columns, how, **kwargs)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 
+from tableworks.operators.key_filter import MAX_FILTER_BYTES, split_by_keys
 from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from tableworks.sources.tables import (
     create_table,
@@ -117,6 +118,7 @@ def merge_upsert(
     source: DataFrame,
     merge_keys: Sequence[str],
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
     """New contents: every source row, plus the target rows whose key is not in the source.
 
@@ -126,15 +128,23 @@ def merge_upsert(
     replaced as a whole by the one source row.
 
     Source keys measured at most ``max_broadcast_bytes`` are broadcast, so a
-    small batch never shuffles the target; otherwise both sides are shuffled and
-    AQE splits a hot key.
+    small batch never shuffles the target.  With a larger source, a bitmap of its
+    keys (at most ``max_filter_bytes``, broadcast) lets target rows that can't
+    match pass by; only the others and the source's keys are shuffled, and AQE
+    splits a hot key.
     """
     if not merge_keys:
         raise ValueError("merge_keys must be provided for merge/upsert")
     _same_columns(target, source)
     keys = list(merge_keys)
-    kept = target.join(_small_broadcast(source.select(*keys), max_broadcast_bytes), keys, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    source_keys = source.select(*keys)
+    if fits_broadcast(source_keys, max_broadcast_bytes):
+        kept = target.join(F.broadcast(source_keys), keys, "left_anti")
+    else:
+        near, apart = split_by_keys(target, source_keys, keys, max_filter_bytes)
+        kept = near.join(source_keys, keys, "left_anti")
+        kept = kept if apart is None else kept.unionByName(apart)
+    return kept.select(*[F.col(f"`{c}`") for c in target.columns]).unionByName(source.select(*target.columns))
 
 
 # ---------------------------------------------------------------------------
@@ -190,6 +200,7 @@ def scd2_apply(
     effective_date: _dt.datetime | _dt.date | str | None = None,
     validate: bool = True,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    max_filter_bytes: int = MAX_FILTER_BYTES,
 ) -> DataFrame:
     """New history after loading ``source`` at ``effective_date``.
 
@@ -205,7 +216,9 @@ def scd2_apply(
     without a current version are found by an anti join against the keys that
     do match, which are never more than the source's.  A source measured at most
     ``max_broadcast_bytes`` is broadcast in both joins, so the history is not
-    shuffled; otherwise AQE can split a hot key in all of them.
+    shuffled.  With a larger one, current versions that a bitmap of the source's
+    keys (at most ``max_filter_bytes``, broadcast) proves to have no source row
+    pass through like expired ones; AQE can split a hot key in all joins.
     A key with two current versions would insert its source row twice; with
     ``validate`` such a history is refused (only keys of the source are looked
     at).  A changed key whose current version is not older than
@@ -232,7 +245,7 @@ def scd2_apply(
     # so many of them cannot pile up in the one task the NULL key hashes to.
     all_keys = reduce(operator.and_, [F.col(f"`{k}`").isNotNull() for k in keys])
     expired = history.where(~is_cur | ~all_keys)
-    current = history.where(is_cur & all_keys).withColumn("__tw_t", F.lit(True))
+    current = history.where(is_cur & all_keys)
     src = source.select(
         *[F.col(f"`{c}`").cast(hist_types[c]).alias(c) for c in data_cols],
         F.lit(True).alias("__tw_s"),
@@ -240,6 +253,10 @@ def scd2_apply(
 
     small = fits_broadcast(src, max_broadcast_bytes)
     src_keys = src.select(*keys)
+    passing = [expired]
+    if not small:
+        current, apart = split_by_keys(current, src_keys, keys, max_filter_bytes)
+        passing += [] if apart is None else [apart]
     hit = current.select(*keys).join(F.broadcast(src_keys) if small else src_keys, keys, "left_semi")
     if validate:
         check_unique_keys(hit, keys, "current versions of the history: ")
@@ -287,7 +304,7 @@ def scd2_apply(
         .select("__tw_v.*")
     )
     absent = src.join(hit.distinct(), keys, "left_anti").select(*current_from(""))
-    parts = [expired, versions, absent]
+    parts = [*passing, versions, absent]
     return reduce(DataFrame.unionByName, [part.select(*history.columns) for part in parts])
 
 
@@ -554,7 +571,9 @@ def load_data(
 
     * ``delete_insert``: ``filter_condition`` (optional);
     * ``merge_upsert``: ``merge_keys`` (required);
-    * ``scd_type2``: ``business_keys`` (required), ``effective_date``.
+    * ``scd_type2``: ``business_keys`` (required), ``effective_date``; with
+      ``version_col``, the source is a change feed (see ``scd2_feed``) whose
+      versions begin at that column's times.
 
     A missing table is created from the (prepared) source.  Other keyword
     arguments go to ``replace_table`` (``drop_stale``, ``bucket_by``,
@@ -619,9 +638,17 @@ def load_data(
 
     keys = kwargs.pop("business_keys", None)
     effective_date = kwargs.pop("effective_date", None)
+    version_col = kwargs.pop("version_col", None)
     _no_extra(kwargs)
     if not keys:
         raise ValueError("business_keys must be provided for SCD type 2")
+    if version_col is not None:
+        if effective_date is not None:
+            raise ValueError("a feed's versions begin at version_col; effective_date is for one batch")
+        from tableworks.operators.change_feed import scd2_feed
+
+        none_yet = scd2_initial(source.drop(version_col), "2000-01-01").limit(0)
+        return replace_table(scd2_feed(spark.table(name) if exists else none_yet, source, keys, version_col), name, **write_opts)
     if effective_date is None:  # pin one instant for the whole load
         effective_date = _dt.datetime.now(_dt.timezone.utc)
     if not exists:

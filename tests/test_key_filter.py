@@ -1,0 +1,90 @@
+"""Loads from large sources: the key bitmap keeps untouched target rows out of the shuffle, and rows stay exact."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableworks import merge_upsert, scd2_apply, scd2_initial
+from tableworks.operators import key_filter as K
+from tests.plans import final_plan_text, shuffled_rows
+
+N = 30_000
+
+
+def rows(df):
+    return sorted(tuple(map(repr, r)) for r in df.collect())
+
+
+def table(spark, n=N, step=1, add=0):
+    return spark.range(0, n, step).select(F.col("id").alias("k"), F.concat(F.lit("key"), F.col("id")).alias("name"), (F.col("id") + add).alias("v"))
+
+
+@pytest.fixture()
+def no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("keys", [["k"], ["name"], ["name", "k"]])
+def test_upsert_shuffles_matched_rows_only(spark, no_auto_broadcast, keys):
+    target, source = table(spark), table(spark, step=20, add=7)
+    plain = merge_upsert(target, source, keys, max_broadcast_bytes=0, max_filter_bytes=0)
+    filtered = merge_upsert(target, source, keys, max_broadcast_bytes=0)
+    assert rows(filtered) == rows(plain) and len(rows(plain)) == N
+    assert shuffled_rows(plain) >= N
+    # the matched twentieth, chance collisions, and the source's keys
+    assert shuffled_rows(filtered) <= 0.2 * N + len(range(0, N, 20))
+    assert filtered.columns == plain.columns
+
+
+def test_history_shuffles_matched_rows_only(spark, no_auto_broadcast):
+    history = scd2_initial(table(spark), dt.datetime(2024, 1, 1))
+    source = table(spark, step=20, add=7).unionByName(table(spark, step=25).withColumn("k", -1 - F.col("k")))
+    args = (history, source, ["k"], dt.datetime(2024, 2, 1))
+    plain = scd2_apply(*args, max_broadcast_bytes=0, max_filter_bytes=0)
+    filtered = scd2_apply(*args, max_broadcast_bytes=0)
+    assert rows(filtered) == rows(plain)
+    assert filtered.count() == N + len(range(0, N, 20)) + len(range(0, N, 25))
+    assert shuffled_rows(filtered) < 0.5 * shuffled_rows(plain)
+
+
+def test_bitmap_has_no_false_negative(spark):
+    rng = random.Random(3)
+    values = [None, "", "a", "日", *(f"x{rng.randrange(10**9)}" for _ in range(3000))]
+    source = spark.createDataFrame([(v, i % 7 if i % 5 else None) for i, v in enumerate(values)], "a string, b int")
+    for bits in (32768, 1 << 20):
+        marked = K.with_may_match(source, source, ["a", "b"], bits, "may")
+        assert marked.where((F.col("a").isNull() | F.col("b").isNull()) == F.col("may")).count() == 0
+        assert marked.columns == ["a", "b", "may"] and marked.count() == len(values)
+        size = K.key_bitmap(source, ["a", "b"], bits).agg(F.sum(F.octet_length("__tw_bitmap"))).first()[0]
+        assert size <= bits // 8
+    others = spark.range(50_000).select(F.concat(F.lit("other"), "id").alias("a"), F.lit(1).alias("b"))
+    taken = K.with_may_match(others, source, ["a", "b"], 1 << 20, "may").where("may").count()
+    assert taken < 0.02 * 50_000
+
+
+def test_null_keys_and_hot_keys(spark, no_auto_broadcast):
+    """NULL keys pass by; a key with a third of the target's rows is replaced as a whole."""
+    target = spark.range(N).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    source = spark.createDataFrame([(0, -1), (1, -2), (-5, -3)], "k long, v long")
+    got = merge_upsert(target, source, ["k"], max_broadcast_bytes=0)
+    assert rows(got) == rows(merge_upsert(target, source, ["k"]))
+    assert got.count() == N - 10_000 - 1 + 3
+
+
+def test_filter_only_where_it_pays_and_hashes_agree(spark):
+    assert K.filter_bits(1000, 1500) == 0 and K.filter_bits(10**9, 10**12) == 0
+    assert K.filter_bits(0, 10) == 32768 and K.filter_bits(10**6, 10**8) == 1 << 23
+    assert K.filter_bits(16 << 20, 10**9) == 1 << 27  # the largest: 16 MB
+    ints, doubles = table(spark), table(spark, step=20).withColumn("k", F.col("k").cast("double"))
+    assert K.split_by_keys(ints, doubles, ["k"])[1] is None  # 1 and 1.0 are equal and hash apart
+    assert K.split_by_keys(doubles, doubles, ["k"])[1] is None  # 0.0 and -0.0
+    with pytest.raises(ValueError, match="multiple"):
+        K.key_bitmap(ints, ["k"], 1000)
+    near, apart = K.split_by_keys(ints, table(spark, step=20), ["k"])
+    assert near.count() + apart.count() == N and "BroadcastHashJoin" in final_plan_text(apart)

@@ -1,0 +1,110 @@
+"""SCD type 2 from a feed: equal to loading one batch per time, with large keys cut along time."""
+
+import datetime as dt
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableworks import load_data, scd2_apply, scd2_feed, scd2_initial
+from tableworks.operators import change_feed as module
+
+DAY0 = dt.datetime(2024, 1, 1)
+SCHEMA = "k int, a string, b double"
+
+
+def day(n):
+    return DAY0 + dt.timedelta(days=n)
+
+
+def rows(df):
+    return sorted(tuple(map(repr, r)) for r in df.collect())
+
+
+def random_feed(seed, keys=6, days=14):
+    rng = random.Random(seed)
+    feed = []
+    for k in range(keys):
+        for d in range(1, days):
+            if rng.random() < (0.9 if k == 0 else 0.35):  # key 0 has about a third of all rows
+                feed.append((k, rng.choice(["x", "x", "y", None]), rng.choice([1.0, 1.0, None, float("nan"), 0.0, -0.0]), day(d)))
+    return feed
+
+
+def start(spark):
+    first = [(k, "x", 1.0) for k in range(0, 9, 2)]
+    history = scd2_initial(spark.createDataFrame(first, SCHEMA), DAY0)
+    # an expired version, a key with none but expired ones, and a current one without a key
+    more = [(0, "old", 0.0, day(-9), False, DAY0), (5, "gone", 0.0, day(-9), False, day(-2)), (None, "n", 1.0, DAY0, True, None)]
+    return history.unionByName(spark.createDataFrame(more, history.schema))
+
+
+def one_by_one(spark, history, feed):
+    for t in sorted({r[3] for r in feed}):
+        batch = spark.createDataFrame([r[:3] for r in feed if r[3] == t], SCHEMA)
+        got = scd2_apply(history, batch, ["k"], t, validate=False).collect()
+        history = spark.createDataFrame(got, history.schema)
+    return history
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_loading_batch_by_batch(spark, seed, monkeypatch):
+    feed = random_feed(seed, days=9)
+    df = spark.createDataFrame(random.Random(0).sample(feed, len(feed)), f"{SCHEMA}, at timestamp_ntz")
+    want = rows(one_by_one(spark, start(spark), feed))
+    assert rows(scd2_feed(start(spark), df, ["k"], "at")) == want
+    assert rows(scd2_feed(start(spark), df, ["k"], "at", max_broadcast_bytes=0)) == want
+    for most in (1, 3):  # large keys are cut along time
+        assert rows(scd2_feed(start(spark), df, ["k"], "at", max_versions=most)) == want
+    monkeypatch.setattr(module, "_MOST_CUTS", 2)
+    assert rows(scd2_feed(start(spark), df, ["k"], "at", max_versions=1, max_broadcast_bytes=0)) == want
+
+
+def test_cut_key_of_many_versions(spark):
+    n = 4000
+    feed = spark.range(1, n).select(
+        F.lit(0).alias("k"), (F.col("id") / 3).cast("int").cast("string").alias("a"), F.lit(1.0).alias("b"),
+        F.timestamp_seconds(F.col("id") * 60 + 1_704_067_200).cast("timestamp_ntz").alias("at"),
+    )
+    got = scd2_feed(start(spark), feed, ["k"], "at", max_versions=100)
+    assert rows(got) == rows(scd2_feed(start(spark), feed, ["k"], "at"))
+    chain = got.where("k = 0 AND a <> 'old'").orderBy("effective_date").collect()
+    assert len(chain) == 1 + len({i // 3 for i in range(1, n)})
+    assert all(x["expiry_date"] == y["effective_date"] and not x["is_current"] for x, y in zip(chain, chain[1:]))
+    assert chain[-1]["is_current"] and chain[-1]["expiry_date"] is None
+
+
+@pytest.mark.parametrize("most", [1, 1000])
+def test_late_changes_are_refused(spark, most):
+    feed = lambda *r: spark.createDataFrame([*r], f"{SCHEMA}, at timestamp_ntz")
+    for late in ([(0, "y", 1.0, DAY0)], [(0, "x", 1.0, day(-3)), (0, "y", 1.0, day(-2)), (0, "z", 2.0, day(3))]):
+        with pytest.raises(Exception, match="later than the current version"):
+            scd2_feed(start(spark), feed(*late), ["k"], "at", max_versions=most).collect()
+    same = scd2_feed(start(spark), feed((0, "x", 1.0, day(-3)), (0, "x", 1.0, day(2))), ["k"], "at", max_versions=most)
+    assert rows(same) == rows(start(spark))
+
+
+def test_bad_feeds_and_empty_tables(spark):
+    feed = spark.createDataFrame([(1, "x", 1.0, day(1)), (1, "y", 1.0, day(1))], f"{SCHEMA}, at timestamp_ntz")
+    with pytest.raises(ValueError, match="unique"):
+        scd2_feed(start(spark), feed, ["k"], "at")
+    with pytest.raises(ValueError, match="columns"):
+        scd2_feed(start(spark), feed.drop("a"), ["k"], "at")
+    with pytest.raises(ValueError, match="business_keys"):
+        scd2_feed(start(spark), feed, [], "at")
+    twice = start(spark).unionByName(start(spark).where("k = 2"))
+    with pytest.raises(ValueError, match="current versions"):
+        scd2_feed(twice, feed.where("a = 'x'").withColumn("k", F.lit(2)), ["k"], "at").collect()
+    assert rows(scd2_feed(start(spark), feed.limit(0), ["k"], "at")) == rows(start(spark))
+    assert scd2_feed(start(spark).limit(0), feed.where("a = 'x'"), ["k"], "at").count() == 1
+
+
+def test_load_data_takes_a_feed(spark):
+    name = f"t_feed_{uuid.uuid4().hex[:10]}"
+    feed = spark.createDataFrame(random_feed(5, days=6), f"{SCHEMA}, at timestamp_ntz")
+    args = dict(business_keys=["k"], version_col="at")
+    load_data(feed.where(F.col("at") <= day(3)), name, "scd_type2", **args)
+    got = load_data(feed.where(F.col("at") > day(3)), name, "scd_type2", **args)
+    whole = scd2_feed(start(spark).limit(0), feed, ["k"], "at")
+    assert rows(got) == rows(whole)

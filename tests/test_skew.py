@@ -76,7 +76,7 @@ def test_upsert_anti_join_splits_hot_target_key(spark):
     target = hot_left(spark).withColumnRenamed("lv", "v")
     source = right_side(spark, 5).withColumnRenamed("rv", "v")
     with skew_conf(spark):
-        merged = merge_upsert(target, source, ["k"])
+        merged = merge_upsert(target, source, ["k"], max_broadcast_bytes=0)  # a small source would be broadcast
         assert "skew=true" in final_plan_text(merged)
         # target rows whose key is not in the source, plus every source row
         kept = sum(1 for i in range(N) if (0 if i % 3 == 0 else i) % 5 != 0)
