@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tableworks.llm.common import table
 from tableworks.llm.context_trees import score_texts
 from tableworks.llm.fill_middle import fill_in_middle, restore_text
-from tableworks.llm.line_dedup import MAX_SHARE, MIN_CHARS, MIN_SITES, dedup_lines
+from tableworks.llm.line_dedup import MIN_CHARS, MIN_SITES, dedup_lines
 from tableworks.llm.nbest_pieces import encode_nbest
 from tableworks.llm.near_dedup import THRESHOLD_PERCENT, near_duplicates
 from tableworks.llm.packing import pack_documents
@@ -122,10 +122,7 @@ ORACLE_SQL: dict[str, str] = {
         later AS (
             SELECT k.*, bad.key IS NOT NULL AND (k.doc_id, k.pos) <> bad.first AS bad
             FROM k LEFT JOIN bad ON k.key = bad.key),
-        copies AS (
-            SELECT doc_id FROM later GROUP BY doc_id
-            HAVING count(*) FILTER (bad) > {MAX_SHARE} * count(*) FILTER (length(key) >= {MIN_CHARS})),
-        m AS (SELECT *, bad AND doc_id NOT IN (SELECT doc_id FROM copies) AS gone FROM later)
+        m AS (SELECT *, bad AS gone FROM later)
         SELECT d.doc_id, count(m.doc_id)::BIGINT AS n_lines,
                count(*) FILTER (gone)::BIGINT AS n_removed,
                CASE WHEN d.text IS NOT NULL THEN length(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))::BIGINT END AS clean_chars,

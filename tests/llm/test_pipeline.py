@@ -26,7 +26,7 @@ def test_run_matches_brute_force(spark, monkeypatch):
         if page[d["doc_id"]].base()[0] >= 50 and 2 * page[d["doc_id"]].base()[4] <= page[d["doc_id"]].base()[0]
         and not any(rule(page[d["doc_id"]]) for rule in quality_rules.RULES.values())
     ]
-    text = test_line_dedup.brute([(d["doc_id"], d["text"], d["source"]) for d in docs])
+    text = test_line_dedup.brute([(d["doc_id"], d["text"], d["source"]) for d in docs], copies_alike=True)
     text = {i: text[i] for i, (_, c) in test_near_dedup.brute(list(text.items())).items() if i == c}
     monkeypatch.setattr(test_pii, "KEY", DEFAULT_KEY)
     text = {i: test_pii.replaced(t) for i, t in text.items()}
