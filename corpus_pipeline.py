@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand on many sites go from every document, but for their first place; exact copies stay alike."""
-    return dedup_lines(docs, max_share=1.0, copies_alike=True)
+    return dedup_lines(docs, copies_alike=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
