@@ -1,10 +1,12 @@
 """Joins and table-loading strategies as DataFrame functions."""
 
+from tableworks.operators.change_feed import scd2_feed
 from tableworks.operators.joins import (
     JOIN_STRATEGIES,
     broadcast_join,
     bucketed_join,
     coalesce_join,
+    coalesce_many,
     conditional_join,
     equi_join,
     full_outer_join,
@@ -37,7 +39,7 @@ from tableworks.operators.loads import (
     scd2_initial,
 )
 from tableworks.operators.overlaps import band_join, disjunctive_join, overlap_join
-from tableworks.operators.change_feed import scd2_feed
+from tableworks.operators.hot_keys import hot_keys
 from tableworks.operators.sizing import fits_broadcast, measured_size
 
 __all__ = [
@@ -49,6 +51,7 @@ __all__ = [
     "bucketed_join",
     "check_unique_keys",
     "coalesce_join",
+    "coalesce_many",
     "conditional_join",
     "create_history_table",
     "delete_insert",
@@ -57,6 +60,7 @@ __all__ = [
     "equi_join",
     "fits_broadcast",
     "full_outer_join",
+    "hot_keys",
     "inner_join",
     "interval_join",
     "join_data",

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableworks.operators import conditions
+from tableworks.operators.hot_keys import full_outer_hot
 from tableworks.operators.overlaps import band_join, disjunctive_join, overlap_join
 from tableworks.operators.sides import (
     EDGE,
@@ -71,19 +72,26 @@ def equi_join(
     ``join_keys`` entries are a column name present on both sides (joined
     ``USING``-style: one key column in the output, the coalesced key for a full
     outer join) or a ``(left_name, right_name)`` pair (both columns kept).
-    A full outer join runs as ``full_outer_split`` so a hot key can be split;
-    ``split_full_outer=False`` keeps Spark's single full outer join (one shuffle
-    per side) for keys known to be unique on both sides.
+    A full outer join runs as ``full_outer_hot``: keys that hold a large share of
+    a side are joined apart, where they can be split, and every row is shuffled
+    once (``full_outer_split`` where keys can't be told by hashes).
+    ``split_full_outer=False`` keeps Spark's single full outer join, without the
+    look for hot keys, for keys known to be unique on both sides.
     """
     how = normalize_join_type(how)
     pairs = key_pairs(join_keys)
     on = join_on(pairs)
     if how == "full_outer" and split_full_outer:
-        return full_outer_split(left, right, on, lambda joined: project(joined, select_columns), pairs)
+        return _full_outer(left, right, pairs, lambda joined: project(joined, select_columns))
     out = left.alias(LEFT).join(right.alias(RIGHT), on, how)
     return project(out, select_columns)
 
 
+def _full_outer(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], select: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    joined = full_outer_hot(left, right, pairs, select)
+    return joined if joined is not None else full_outer_split(left, right, join_on(pairs), select, pairs)
+
+
 def full_outer_split(
     left: DataFrame,
     right: DataFrame,
@@ -596,8 +604,8 @@ def coalesce_join(
 ) -> DataFrame:
     """Full outer join on ``join_keys`` that prefers left values, then right.
 
-    The full outer join runs as ``full_outer_split`` (skewed keys can be split)
-    unless ``split_full_outer`` is false.
+    The full outer join treats hot keys apart (see ``equi_join``) unless
+    ``split_full_outer`` is false.
 
     ``coalesce_columns`` maps an output name to ``[left_column, right_column]``
     (plain names are looked up on their own side).  Output: the keys, every
@@ -626,10 +634,50 @@ def coalesce_join(
         lname, rname = pair
         cols.append(F.coalesce(_side(LEFT, lname), _side(RIGHT, rname)).alias(out_name))
     if how == "full_outer" and split_full_outer:
-        return full_outer_split(left, right, keys, lambda joined: joined.select(*cols))
+        return _full_outer(left, right, [(k, k) for k in keys], lambda joined: joined.select(*cols))
     return left.alias(LEFT).join(right.alias(RIGHT), keys, how).select(*cols)
 
 
+def coalesce_many(
+    frames: Sequence[DataFrame], join_keys: Sequence[str], columns: Sequence[str] | None = None, validate: bool = True
+) -> DataFrame:
+    """Full outer join of any number of frames that prefers earlier frames' values.
+
+    Output: the keys, then ``columns`` (default: every column of any frame, in
+    order of first appearance); each is the first non-NULL value in the order of
+    ``frames``.  Keys are unique within a frame; with ``validate`` a repeated key
+    fails the query itself (``raise_error``).  A row with a NULL key matches
+    nothing and comes out alone.
+
+    Plan: the frames are put under each other with their place in the order, and
+    one aggregate per key takes each column's value of the smallest place that
+    has one.  That is one shuffle and one scan per frame, however many frames; a
+    chain of full outer joins shuffles the growing result again and again.
+    """
+    keys = list(join_keys)
+    if not frames or not keys:
+        raise ValueError("frames and join_keys must not be empty")
+    found = list(dict.fromkeys(c for df in frames for c in df.columns if c not in keys))
+    wanted = found if columns is None else list(columns)
+    if unknown := sorted(set(wanted) - set(found)):
+        raise ValueError(f"no frame has the columns {unknown}")
+    placed = [
+        df.select(*[F.col(f"`{c}`") for c in (*keys, *wanted) if c in df.columns], F.lit(i).alias("__tw_place")) for i, df in enumerate(frames)
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
+    all_set = reduce(operator.and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    firsts = [F.min_by(f"`{c}`", F.when(F.col(f"`{c}`").isNotNull(), F.col("__tw_place"))).alias(c) for c in wanted]
+    # places are unique per key exactly if there are as many as distinct ones
+    repeated = F.count("__tw_place") != F.size(F.collect_set("__tw_place"))
+    merged = rows.where(all_set).groupBy(*keys).agg(*firsts, repeated.alias("__tw_repeated"))
+    if validate:
+        shown = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]))
+        message = F.concat(F.lit("a frame has more than one row for key "), shown)
+        merged = merged.where(F.when(F.col("__tw_repeated"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    out = [F.col(f"`{c}`") for c in (*keys, *wanted)]
+    return merged.select(*out).unionByName(rows.where(~all_set).select(*out))
+
+
 def broadcast_join(
     large: DataFrame,
     small: DataFrame,

@@ -31,10 +31,10 @@ _BITS_PER_KEY = 8
 _EXACT = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
 
 
-def _comparable(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
+def comparable(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> bool:
     """Whether equal keys surely have equal hashes: same types, and none with two forms of one value."""
-    for k in keys:
-        a, b = target.schema[k].dataType, source.schema[k].dataType
+    for lk, rk in pairs:
+        a, b = left.schema[lk].dataType, right.schema[rk].dataType
         plain_text = isinstance(a, T.StringType) and a == T.StringType()
         if a != b or not (isinstance(a, (*_EXACT, T.DecimalType)) or plain_text):
             return False
@@ -88,7 +88,7 @@ def split_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], max
     comes from file footers).
     """
     keys = list(keys)
-    if max_bytes <= 0 or not _comparable(target, source, keys):
+    if max_bytes <= 0 or not comparable(target, source, [(k, k) for k in keys]):
         return target, None
     bits = filter_bits(source.select(*keys).count(), target.count(), max_bytes)
     if not bits:

@@ -30,6 +30,7 @@ from pyspark.errors import AnalysisException, UnsupportedOperationException
 
 from tableworks.operators.key_filter import MAX_FILTER_BYTES, split_by_keys
 from tableworks.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
+from tableworks.sources.locks import DEFAULT_TTL, load_lock
 from tableworks.sources.tables import (
     create_table,
     drop_partitions,
@@ -593,11 +594,22 @@ def load_data(
     whose condition reads partition columns only, and a merge/upsert or SCD
     type 2 load whose keys include every partition column.  Everything else
     rewrites the whole table through the staged swap.
+
+    A load holds the table's lock from before it looks at the table's state until
+    its write is done (see ``load_lock``), so of two loaders the second is refused
+    with ``TableLockedError``, or waits up to ``lock_wait`` seconds.  A lock older
+    than ``lock_ttl`` seconds is taken over.  ``lock=False`` does without.
     """
     if strategy not in LOAD_STRATEGIES:
         raise ValueError(f"unknown loading strategy {strategy!r}; use one of {LOAD_STRATEGIES}")
     spark: SparkSession = source.sparkSession
     name = qualified_name(target_table, target_catalog)
+    lock, ttl, wait = kwargs.pop("lock", True), kwargs.pop("lock_ttl", DEFAULT_TTL), kwargs.pop("lock_wait", 0.0)
+    with load_lock(spark, name, ttl, wait) if lock else contextlib.nullcontext():
+        return _load(spark, source, name, strategy, kwargs)
+
+
+def _load(spark: SparkSession, source: DataFrame, name: str, strategy: str, kwargs: dict[str, Any]) -> DataFrame:
     write_opts = {k: kwargs.pop(k) for k in ("drop_stale", "bucket_by", "num_buckets", "partition_by") if k in kwargs}
     scoped = kwargs.pop("partition_scoped", True)
     row_level = kwargs.pop("row_level", None)

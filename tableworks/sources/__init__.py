@@ -1,5 +1,6 @@
 """Catalog tables as sources and sinks."""
 
+from tableworks.sources.locks import TableLockedError, load_lock
 from tableworks.sources.tables import (
     STAGE_SUFFIX,
     TableStateError,
@@ -18,10 +19,12 @@ from tableworks.sources.tables import (
 
 __all__ = [
     "STAGE_SUFFIX",
+    "TableLockedError",
     "TableStateError",
     "append_table",
     "create_table",
     "drop_partitions",
+    "load_lock",
     "overwrite_partitions",
     "partition_columns",
     "qualified_name",

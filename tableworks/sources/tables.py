@@ -334,6 +334,7 @@ def write_bucketed(
     sort: bool = True,
     files_per_bucket: int | None = None,
     catalog: str | None = None,
+    spread_hot: bool = True,
 ) -> DataFrame:
     """Write ``df`` as a table bucketed (and sorted) on ``bucket_columns``.
 
@@ -348,6 +349,11 @@ def write_bucketed(
     tasks.  Joins on the bucket columns of two tables with the same bucket
     count skip the exchange whatever the number of files per bucket.
 
+    A key that holds a large share of the rows (found by a sketch over the bucket
+    columns, one job) would still be one task's: with ``spread_hot`` its rows are
+    dealt to partitions of their own, all of the key's bucket, as many as make
+    them as large as the others.
+
     In a V2 catalog (``catalog``, or one named in ``name``) the table is created
     with a bucket transform as its partitioning, which takes one column.
     """
@@ -362,9 +368,14 @@ def write_bucketed(
     if files_per_bucket is None:
         shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         files_per_bucket = max(shuffle_partitions // num_buckets, 1)
-    writer = df.repartition(num_buckets * max(int(files_per_bucket), 1), *bucket_columns).write.bucketBy(
-        num_buckets, *bucket_columns
-    )
+    files_per_bucket = max(int(files_per_bucket), 1)
+    if spread_hot:
+        from tableworks.operators.hot_keys import dealt_to_buckets
+
+        dealt = dealt_to_buckets(df, bucket_columns, num_buckets, files_per_bucket)
+    else:
+        dealt = df.repartition(num_buckets * files_per_bucket, *bucket_columns)
+    writer = dealt.write.bucketBy(num_buckets, *bucket_columns)
     if sort:
         writer = writer.sortBy(*bucket_columns)
     writer.saveAsTable(name)

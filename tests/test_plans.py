@@ -161,19 +161,34 @@ def test_order_amounts_aggregates_before_the_join(spark):
     assert plan.count("Exchange rangepartitioning") == 1
 
 
+def _exchanges(final: str) -> int:
+    return len([line for line in final.split("Initial Plan")[0].splitlines() if "Exchange" in line and "Reused" not in line])
+
+
+def test_full_outer_shuffles_every_row_once(spark):
+    from tableworks import equi_join
+    from tests.plans import shuffled_rows
+
+    customer = w.table(spark, SF_SMALL, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    orders = w.table(spark, SF_SMALL, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    with conf(spark, **NO_AUTO_BROADCAST):
+        joined = equi_join(customer, orders, [("c_custkey", "o_custkey")], "full_outer")
+        assert shuffled_rows(joined) <= customer.count() + orders.count()
+
+
 def test_split_full_outer_reuses_side_exchanges(spark):
     """The inner part and each anti part read the same NULL-free side, so each
     side is shuffled once in full (reused) plus once as keys only."""
-    from tableworks import equi_join
+    from tableworks.operators.joins import full_outer_split
     from tests.plans import final_plan_text
 
     customer = w.table(spark, SF_SMALL, "customer").where(F.col("c_mktsegment") == "BUILDING")
     orders = w.table(spark, SF_SMALL, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     with conf(spark, **NO_AUTO_BROADCAST):
-        joined = equi_join(customer, orders, [("c_custkey", "o_custkey")], "full_outer")
+        on = F.col("left_table.c_custkey") == F.col("right_table.o_custkey")
+        joined = full_outer_split(customer, orders, on, key_pairs=[("c_custkey", "o_custkey")])
         final = final_plan_text(joined).split("Initial Plan")[0]
-    exchanges = [line for line in final.splitlines() if "Exchange" in line and "Reused" not in line]
-    assert len(exchanges) == 4
+    assert _exchanges(final) == 4
     assert final.count("ReusedExchange") == 2
 
 
