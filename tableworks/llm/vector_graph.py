@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by a robust-pruned directed graph per shard.
 
-Distinct vectors are dealt to shards of bounded size.  In each shard a graph is
+Distinct vectors are dealt to shards of bounded size and like norm.  In each shard a graph is
 built by insertion: a greedy beam search over the graph so far proposes
 neighbours, and relaxed pruning keeps an edge only if no kept neighbour is
 closer to the proposal by the factor ``ALPHA``, so the edges that remain point
-into different directions.  Queries run a beam search in every shard, and the
-shards' best are merged.  Nearness is the inner product; vectors get one more
+into different directions; a node that no walk from the start comes to gets one more
+edge.  Queries run a beam search in every shard, and the shards' best are merged.
+How wide the beam is, each shard measures: some of its queries are compared with
+brute force, and the beam doubles until it finds ``RECALL`` of their nearest.  Where
+vectors are so spread that a quarter of the shard wouldn't do, the shard is scanned.  Nearness is the inner product; vectors get one more
 component that makes all norms equal, so the largest inner product is the
 smallest distance (queries have 0 there).
 
@@ -36,6 +39,8 @@ SEARCH_BEAM = 96
 SHARD_ROWS, LEAST_SHARDS = 1 << 16, 12
 QUERY_BLOCK = 1 << 15
 _STEP = 256  # points searched or inserted at once
+#: Share of the nearest that a shard's beam has to find, measured on so many queries against brute force.
+RECALL, MEASURED = 0.95, 64
 
 
 class VectorGraph:
@@ -146,8 +151,67 @@ class VectorGraph:
             self.edges[batch] = self.prune(batch, found)
             self._link_back(batch)
             done += len(batch)
+        self._reach_all()
         return self
 
+    def reachable(self) -> np.ndarray:
+        """Which nodes a walk along the edges from the start comes to."""
+        known = np.zeros(self.n, bool)
+        edge = np.array([self.start])
+        while len(edge):
+            known[edge] = True
+            near = np.unique(self.edges[edge])
+            near = near[near >= 0]
+            edge = near[~known[near]]
+        return known
+
+    def _reach_all(self) -> None:
+        """Give every node a way from the start: a node without one gets an edge from its nearest that has one.
+
+        Back-links that pruning dropped can leave nodes without a way in.  The
+        new edges are beside the ``DEGREE`` others; nothing else is dropped.
+        """
+        while len(lost := np.flatnonzero(~self.reachable())):
+            lost = lost[:_STEP]
+            _, found = self.search(self.x[lost], BEAM)  # a search comes to reachable nodes only
+            order = np.argsort(found[:, 0], kind="stable")
+            nearest, node = found[order, 0], lost[order]
+            _, first, many = np.unique(nearest, return_index=True, return_counts=True)
+            column = np.arange(len(node)) - np.repeat(first, many)
+            free = (self.edges[nearest] >= 0).sum(axis=1) + column
+            short = int(free.max()) + 1 - self.edges.shape[1]
+            if short > 0:
+                self.edges = np.concatenate([self.edges, np.full((self.n, short), -1, np.int32)], axis=1)
+            self.edges[nearest, free] = node
+
+    def beam_for(self, q: np.ndarray, k: int, share: float = RECALL) -> int | None:
+        """The narrowest beam, doubled from ``SEARCH_BEAM``, that finds ``share`` of some queries' ``k`` nearest.
+
+        Measured against brute force on at most ``MEASURED`` of the queries,
+        spread over them.  ``None`` if even a beam of a quarter of the nodes
+        doesn't, so that looking at every node costs no more.
+        """
+        some = q[np.linspace(0, len(q) - 1, min(len(q), MEASURED)).astype(int)]
+        k = min(k, self.n)
+        exact = some @ self.x.T
+        least = -np.partition(-exact, k - 1, axis=1)[:, k - 1]
+        beam = SEARCH_BEAM
+        while beam < self.n:
+            if beam > max(SEARCH_BEAM, self.n // 4):
+                return None
+            sims, at = self.search(some, beam)
+            hit = (sims >= least[:, None] - 1e-5 * np.abs(least[:, None])) & (at >= 0)
+            if np.minimum(hit.sum(axis=1), k).sum() >= share * k * len(some):
+                return beam
+            beam *= 2
+        return self.n
+
+    def scan(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``search``, over every node."""
+        sims = q @ self.x.T
+        best = np.argpartition(-sims, min(beam, self.n) - 1, axis=1)[:, :beam]
+        return np.take_along_axis(sims, best, 1), best
+
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
@@ -155,10 +219,11 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(flat), -1) if len(flat) else np.zeros((0, 0), np.float32)
 
 
-def _equal_norms(x: np.ndarray, largest: float) -> np.ndarray:
-    """One more component, so that all rows have the norm ``largest``."""
+def _equal_norms(x: np.ndarray, largest: float | None = None) -> np.ndarray:
+    """One more component, so that all rows have the norm ``largest`` (the longest row's)."""
     x = x.astype(np.float64)
-    extra = np.sqrt(np.maximum(largest * largest - (x * x).sum(axis=1), 0))
+    square = (x * x).sum(axis=1)
+    extra = np.sqrt(np.maximum((square.max(initial=0.0) if largest is None else largest * largest) - square, 0))
     return np.concatenate([x, extra[:, None]], axis=1).astype(np.float32)
 
 
@@ -173,6 +238,20 @@ def participating(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return rows.filter(F.size("vec") == (size["n"] if size else 0)).dropDuplicates(["id", "vec"])
 
 
+def _shard(nodes: DataFrame, shards: int) -> Column:
+    """Shards as bands of like norm, cut at quantiles; nodes of one norm are dealt by hash.
+
+    Where norms differ, the component that makes them equal would stand for most of
+    a distance: long vectors, which answer most queries, would have few edges to
+    them.  Within a band it is small.
+    """
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    key = F.log(square) + F.xxhash64("node") / F.lit(2.0**63 * 1e5)
+    cuts = nodes.agg(F.percentile_approx(key, [i / shards for i in range(1, shards)] or [1.0], max(10_000, 20 * shards))).first()[0]
+    edges = F.array(*[F.lit(c) for c in cuts or [0.0]])
+    return F.size(F.filter(edges, lambda c: c < key)).cast("int") if shards > 1 else F.lit(0)
+
+
 def nearest(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20
 ) -> DataFrame:
@@ -191,22 +270,21 @@ def nearest(
     queries = nodes.join(asked.select(F.col("q").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("q"), F.col("vec").alias("qvec"))
     queries = written(queries, "query-vectors")
 
-    n, largest = nodes.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()
-    largest = float(largest or 0.0) ** 0.5
+    n = nodes.count()
     shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
-        x = _equal_norms(_matrix(table.column("vec")), largest)
+        x = _equal_norms(_matrix(table.column("vec")))
         graph = VectorGraph(x).build()
-        edges = pa.FixedSizeListArray.from_arrays(pa.array(graph.edges.ravel()), DEGREE).cast(pa.list_(pa.int32()))
+        edges = pa.FixedSizeListArray.from_arrays(pa.array(graph.edges.ravel()), graph.edges.shape[1]).cast(pa.list_(pa.int32()))
         return pa.table(
             {"shard": table.column("shard"), "at": pa.array(np.arange(graph.n, dtype=np.int32)), "start": pa.array(np.full(graph.n, graph.start, np.int32)),
              "node": table.column("node"), "vec": table.column("vec"), "edges": edges}
         )
 
-    index = nodes.select(F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"), "node", "vec")
+    index = nodes.select(_shard(nodes, shards).alias("shard"), "node", "vec")
     index = written(index.groupBy("shard").applyInArrow(build, "shard int, at int, start int, node long, vec array<float>, edges array<int>"), "vector-graph")
 
     def search(found: pa.Table, ask: pa.Table) -> pa.Table:
@@ -214,13 +292,16 @@ def nearest(
         if found.num_rows and ask.num_rows:
             found = found.sort_by("at")
             x = _matrix(found.column("vec"))
-            graph = VectorGraph(_equal_norms(x, largest), _matrix(found.column("edges")), int(found.column("start")[0].as_py()))
+            graph = VectorGraph(_equal_norms(x), _matrix(found.column("edges")), int(found.column("start")[0].as_py()))
             ids, asking = (t.column(c).to_numpy() for t, c in ((found, "node"), (ask, "q")))
             q = _matrix(ask.column("qvec"))
+            q_flat = np.concatenate([q, np.zeros((len(q), 1), q.dtype)], axis=1).astype(np.float32)
+            beam = graph.beam_for(q_flat, k + 1)
+            look = graph.scan if beam is None else graph.search
+            width = min(2 * (k + 1), graph.n) if beam is None else beam
             for lo in range(0, len(q), _STEP):
                 part = q[lo : lo + _STEP]
-                flat = np.concatenate([part, np.zeros((len(part), 1), np.float32)], axis=1).astype(np.float32)
-                _, at = graph.search(flat, min(SEARCH_BEAM, max(graph.n, 1)))
+                _, at = look(q_flat[lo : lo + _STEP], width)
                 score = np.einsum("bd,bcd->bc", part.astype(np.float64), x[at].astype(np.float64))
                 score = np.where(at >= 0, score, -np.inf)
                 node = np.where(at >= 0, ids[at], np.iinfo(np.int64).max)
