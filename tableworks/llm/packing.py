@@ -136,6 +136,19 @@ def special_strings(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
+class _Places(dict):
+    """Places of chunks; a chunk seen for the first time gets the next one and is noted in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        place = self[chunk] = len(self)
+        self.new.append(chunk)
+        return place
+
+
 class ChunkTokenizer:
     """Ids of a tokenizer file, with the ids of space-separated chunks remembered.
 
@@ -154,7 +167,7 @@ class ChunkTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at = _Places()
         self.flat = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(self.max_chunks + 1, np.int64)
         self.length = np.zeros(self.max_chunks + 1, np.int64)
@@ -186,7 +199,7 @@ class ChunkTokenizer:
         return np.concatenate(parts)
 
     def _learn(self, new: list[str]) -> None:
-        """Encode all new chunks at once, one to a line.
+        """Encode all new chunks, which have the last places, at once, one to a line.
 
         A chunk with white space inside has ids that depend on its neighbours;
         it is kept with length 0, which no other chunk has.
@@ -199,7 +212,7 @@ class ChunkTokenizer:
         begins = np.concatenate([[0], ends[:-1] + 1])
         odd = np.fromiter((not b for b in bodies), bool, len(bodies))
         opens_line = np.fromiter((c[0] == "\n" for c in new), bool, len(new))
-        k = len(self.at)
+        k = len(self.at) - len(new)
         while self.used + len(ids) + 1 > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
         # a line feed stands in front of each line's ids, and belongs to chunks that open a line
@@ -207,7 +220,6 @@ class ChunkTokenizer:
         self.flat[self.used + 1 : self.used + 1 + len(ids)] = ids
         self.begin[k : k + len(new)] = self.used + 1 + begins - opens_line
         self.length[k : k + len(new)] = np.where(odd, 0, ends - begins + opens_line)
-        self.at.update(zip(new, range(k, k + len(new))))
         self.used += len(ids) + 1
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -235,19 +247,16 @@ class ChunkTokenizer:
 
     def _encode_group(self, group: list[tuple[int, list[str]]], out: list[np.ndarray | None]) -> None:
         chunks = [c for _, one in group for c in one]
-        known = list(map(self.at.get, chunks))
-        if None in known:
-            new = list({c: None for c, k in zip(chunks, known) if k is None})
-            if len(self.at) + len(new) > self.max_chunks:
-                self.clear()
-                new = list(dict.fromkeys(chunks))
-                if len(new) > self.max_chunks:  # one text with more distinct chunks than are kept
-                    for i, one in group:
-                        out[i] = self._whole(one)
-                    return
+        if len(self.at) + len(chunks) > self.max_chunks and len(self.at) + sum(c not in self.at for c in set(chunks)) > self.max_chunks:
+            self.clear()
+            if len(set(chunks)) > self.max_chunks:  # one text with more distinct chunks than are kept
+                for i, one in group:
+                    out[i] = self._whole(one)
+                return
+        at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+        if self.at.new:
+            new, self.at.new = self.at.new, []
             self._learn(new)
-            known = list(map(self.at.__getitem__, chunks))
-        at = np.array(known, np.int64)
         length = self.length[at]
         ends = np.cumsum(length)
         ids = self.flat[np.repeat(self.begin[at] - (ends - length), length) + np.arange(ends[-1])]
