@@ -62,6 +62,21 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` made and nothing reads any more.
+
+    For rounds of a loop: the next round's table is complete, so a lost executor
+    has no need of the one before it.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if not folder.removeprefix("file://").startswith(shared_folder(spark).removeprefix("file://").rstrip("/") + "/"):
+                raise ValueError(f"{folder} is not in the shared folder")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(c, _UPPER, _LOWER)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableworks.llm.common import written
+from tableworks.llm.common import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )
-        now = written(small.filter("u <> v").distinct(), "components")
+        last, now = now, written(small.filter("u <> v").distinct(), "components")
+        discard(last)
         before, state = state, _state(now)
         if state == before:
             break

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableworks.llm.common import workers_find_package, written
+from tableworks.llm.common import discard, workers_find_package, written
 
 MIN_COUNT = 10
 TOP = 2000
@@ -287,7 +287,8 @@ def _places(links: DataFrame) -> DataFrame:
             (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
             F.col("further").isNotNull().alias("open"),
         )
-        places = written(moved.unionByName(places.where(~F.col("open"))), "phrase-places")
+        before, places = places, written(moved.unionByName(places.where(~F.col("open"))), "phrase-places")
+        discard(before)
     return places.drop("open")
 
 

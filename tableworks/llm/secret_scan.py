@@ -92,18 +92,18 @@ def _count(c: Column, pattern: str) -> Column:
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, place, candidate, before, after): each candidate with the text beside it."""
+    """(id, place, candidate, before, after, text_hash): each candidate with the text beside it."""
     text = F.col(f"`{text_col}`")
-    some = docs.filter(text.rlike(CANDIDATE)).select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+    some = docs.filter(text.rlike(CANDIDATE)).select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     gaps = F.split("text", CANDIDATE, -1)
     found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
     # only the ends of the gaps are kept
     sides = F.transform(gaps, lambda g: F.struct(F.substring(g, -48, 48).alias("tail"), F.substring(g, 1, 48).alias("head")))
-    rows = some.select("id", found.alias("found"), sides.alias("sides"))
-    rows = rows.select("id", F.posexplode(F.arrays_zip(F.col("found").alias("found"), F.col("sides").alias("sides"), F.slice("sides", 2, F.greatest(F.size("found"), F.lit(1))).alias("next"))).alias("place", "x"))
+    rows = some.select("id", "text_hash", found.alias("found"), sides.alias("sides"))
+    rows = rows.select("id", "text_hash", F.posexplode(F.arrays_zip(F.col("found").alias("found"), F.col("sides").alias("sides"), F.slice("sides", 2, F.greatest(F.size("found"), F.lit(1))).alias("next"))).alias("place", "x"))
     return rows.filter(F.col("x.found").isNotNull()).select(
         "id", (F.col("place") + 1).alias("place"), F.col("x.found").alias("candidate"),
-        F.coalesce(F.col("x.sides.tail"), F.lit("")).alias("before"), F.coalesce(F.col("x.next.head"), F.lit("")).alias("after"),
+        F.coalesce(F.col("x.sides.tail"), F.lit("")).alias("before"), F.coalesce(F.col("x.next.head"), F.lit("")).alias("after"), "text_hash",
     )
 
 
@@ -196,7 +196,7 @@ def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Random
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, place, candidate, before, after, held_out, score, is_secret) of every candidate.
+    """(id, place, candidate, before, after, held_out, score, is_secret, text_hash) of every candidate.
 
     ``known`` holds labelled findings (id, place, label); by default labels are
     derived, and only those outside the held-out fold and ``examples`` are learned from.
@@ -216,15 +216,20 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
         scored = forest.transform(ready).withColumn("score", vector_to_array("probability")[1])
     return scored.select(
         F.col("id").alias(id_col), "place", "candidate", "before", "after", held_out(F.col("id")).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).alias("is_secret"),
+        (F.col("score") >= THRESHOLD).alias("is_secret"), "text_hash",
     )
 
 
 def redact_secrets(docs: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "<secret>") -> DataFrame:
-    """``docs`` with the candidates judged secret replaced by ``mark``."""
-    places = scanned.filter("is_secret").groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("place").alias("__places"))
-    joined = docs.join(places, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left")
+    """``docs`` with the candidates judged secret replaced by ``mark``.
+
+    A row is found by its id and its text's hash, so rows that share an id, or have
+    none, each lose their own candidates only.
+    """
     text = F.col(f"`{text_col}`")
+    key = [F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")]
+    places = scanned.filter("is_secret").groupBy(*key).agg(F.collect_set("place").alias("__places"))
+    joined = docs.join(places, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     fills = F.transform(found, lambda f, i: F.when(F.array_contains("__places", i + 1), F.lit(mark)).otherwise(f))
     clean = F.array_join(F.zip_with(F.split(text, CANDIDATE, -1), F.concat(fills, F.array(F.lit(""))), lambda g, f: F.concat(g, f)), "")

@@ -78,6 +78,16 @@ def test_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in clean.collect()} == {1: 'a token = "<secret>" and thereafterthereafter', 2: None, None: "x"}
 
 
+def test_redaction_keeps_to_its_own_row(spark):
+    """Rows that share an id, or have none: only the row with the secret loses it."""
+    secret, plain = 'token = "0123456789abcdef0123456789abcdef"', "some-long-hyphenated-word-here and more"
+    rows = [(7, secret), (7, plain), (None, plain), (None, secret), (7, secret), (8, plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = X.redact_secrets(docs, X.scan(docs))
+    want = [(i, 'token = "<secret>"' if t == secret else t) for i, t in rows]
+    assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, want))
+
+
 def test_edges(spark):
     assert X.scan(edge_docs(spark)).count() == 0
     assert X.scan(no_docs(spark)).count() == 0
