@@ -1,13 +1,16 @@
 """Rule ensemble: held-out accuracy, rules against their trees, defined cases."""
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
 from tableworks.llm import rule_ensemble as R
 from tableworks.llm.queries import QUERIES
-from tests.conftest import SF_ORACLE
-from tests.llm.data import edge_docs, no_docs
+from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.llm.data import edge_docs, no_docs, small
 
 
 def test_held_out_accuracy(spark):
@@ -23,6 +26,55 @@ def test_held_out_accuracy(spark):
     assert len(right) > 50 and np.mean(right) > 0.97
 
 
+def plain_statistics(text):
+    """The features one by one, with Python's own strings."""
+    text = text or ""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
+    if not words:
+        return [0.0] * len(R.FEATURES)
+    solid, n = b"".join(words), len(words)
+    share = lambda signs: sum(solid.count(c.encode()) for c in signs) / len(solid)
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / n
+    upper, lower = (sum(a <= b <= z for b in solid) for a, z in ((65, 90), (97, 122)))
+    lines, kept = text.count("\n") + 1, [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {i + j for i in range(n - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(3)}
+    times = Counter(words)
+    return [
+        math.log(1 + n), mean, math.sqrt(sum((x - mean) ** 2 for x in lengths) / n), share("#*$%&<>"), share("|"), share("!"),
+        upper / max(1, upper + lower), share("0123456789"), share(".,;:?"), sum(b >= 128 for b in solid) / len(solid),
+        lines / n, (len(kept) - len(set(kept))) / lines, len(inside) / n, len(times) / n, max(times.values()) / n,
+    ]
+
+
+def test_statistics_and_scores_match_plain_python(spark):
+    """Features of whole texts, every rule's truth and the compiled score of one fitted model."""
+    docs = small("documents")
+    label = {r["doc_id"]: r["quality"] for r in small("labels")}
+    frame = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    features = {r["id"]: r for r in R.feature_table(frame).collect()}
+    plain = {d["doc_id"]: plain_statistics(d["text"]) for d in docs}
+    for i, values in plain.items():
+        assert np.allclose([features[i][f] for f in R.FEATURES], values, rtol=1e-9, atol=1e-12)
+    rows = [(label[i], *map(float, (features[i][f] for f in R.FEATURES))) for i in sorted(label) if i in features]
+    model = R.fit_rules(spark.createDataFrame(rows, "label int, " + ", ".join(f"{f} double" for f in R.FEATURES)))
+    assert len(model.weights) >= 3
+
+    def holds(rule, values):
+        by_name = dict(zip(R.FEATURES, values))
+        return all(by_name[t.feature] <= t.bound if t.at_most else by_name[t.feature] > t.bound for t in rule)
+
+    rules = list(model.weights)
+    scored = R.feature_table(frame).select("id", model.score().alias("score"), *[R.rule_column(r).alias(f"r{k}") for k, r in enumerate(rules)])
+    for r in scored.collect():
+        values = [features[r["id"]][f] for f in R.FEATURES]
+        truth = [holds(rule, values) for rule in rules]
+        assert truth == [r[f"r{k}"] for k in range(len(rules))]
+        margin = model.intercept + sum(w for w, t in zip(model.weights.values(), truth) if t)
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin))) < 1e-12
+
+
 def test_tree_paths_become_rules():
     text = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5
   If (feature 0 <= 2.5)
