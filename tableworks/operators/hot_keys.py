@@ -21,6 +21,8 @@ from tableworks.operators.sides import LEFT, RIGHT, join_on, key_pairs, qualifie
 
 #: A key with a larger share of its table's rows is hot; so at most a hundred are.
 HOT_SHARE = 0.01
+#: A key with fewer rows is no burden to a task, whatever its share of a small table.
+HOT_ROWS = 1000
 _TRACKED = 10_000
 
 
@@ -32,7 +34,7 @@ def _all_set(keys: Sequence[str]) -> Column:
     return reduce(operator.and_, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> tuple[dict[int, int], int]:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int = HOT_ROWS) -> tuple[dict[int, int], int]:
     """({hash of a hot key: about how many rows}, rows in all); rows with a NULL key don't count as hot.
 
     One job over the key columns.  Counts of the sketch are off by at most
@@ -41,7 +43,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> tu
     h = F.when(_all_set(keys), _key_hash(keys))
     most = min(int(1 / share) + 1, 1000)
     row = df.select(h.alias("h")).agg(F.expr(f"approx_top_k(h, {most}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None and t["count"] > share * row["n"]}, row["n"]
+    enough = max(share * row["n"], least)
+    return {t["item"]: t["count"] for t in row["top"] or [] if t["item"] is not None and t["count"] > enough}, row["n"]
 
 
 def full_outer_hot(
@@ -50,6 +53,7 @@ def full_outer_hot(
     join_keys: Sequence[str | tuple[str, str]],
     select: Callable[[DataFrame], DataFrame] = lambda joined: joined,
     share: float = HOT_SHARE,
+    least: int = HOT_ROWS,
 ) -> DataFrame | None:
     """Full outer join in which every row is shuffled once, also with hot keys.
 
@@ -65,7 +69,7 @@ def full_outer_hot(
     lkeys, rkeys = [a for a, _ in pairs], [b for _, b in pairs]
     if not comparable(left, right, pairs):
         return None
-    hot = sorted({*hot_keys(left, lkeys, share)[0], *hot_keys(right, rkeys, share)[0]})
+    hot = sorted({*hot_keys(left, lkeys, share, least)[0], *hot_keys(right, rkeys, share, least)[0]})
     on = join_on(pairs)
 
     def parts(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -441,6 +441,7 @@ def merge_upsert_partitions(
     """
     target = source.sparkSession.table(name)
     with _evaluated_once(source, name) as rows:
+        check_unique_keys(rows, merge_keys)  # on the rows that are written
         return overwrite_partitions(merge_upsert(touched_partitions(target, rows, pcols), rows, merge_keys), name)
 
 
@@ -638,13 +639,17 @@ def _load(spark: SparkSession, source: DataFrame, name: str, strategy: str, kwar
         _no_extra(kwargs)
         if not keys:
             raise ValueError("merge_keys must be provided for merge/upsert")
+        by_partition = exists and bool(pcols) and set(pcols) <= set(keys)
+        if exists and by_partition and row_level is not True and (table_provider(spark, name) or "parquet") in FILE_PROVIDERS:
+            _same_columns(spark.table(name), source)
+            return merge_upsert_partitions(name, source, keys, pcols)
         check_unique_keys(source, keys)
         if not exists:
             return replace_table(source, name, **write_opts)
         _same_columns(spark.table(name), source)
         if _try_row_level(spark, name, row_level, lambda: merge_upsert_row_level(source, name, keys)):
             return spark.table(name)
-        if pcols and set(pcols) <= set(keys):
+        if by_partition:
             return merge_upsert_partitions(name, source, keys, pcols)
         return replace_table(merge_upsert(spark.table(name), source, keys), name, **write_opts)
 

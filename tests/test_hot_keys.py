@@ -1,5 +1,6 @@
 """Keys with a third of all rows: found by the sketch, joined and written apart; merging many frames; load locks."""
 
+import os
 import random
 import threading
 import time
@@ -26,6 +27,7 @@ def test_sketch_finds_hot_keys_only(spark):
     nulls = hot_left(spark).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
     assert hot_keys(nulls, ["k"])[0] == {}  # a NULL key is no key
     assert hot_keys(hot_left(spark).limit(0), ["k"]) == ({}, 0)
+    assert hot_keys(spark.range(5), ["id"])[0] == {} and len(hot_keys(spark.range(5), ["id"], least=0)[0]) == 5
 
 
 def test_full_outer_moves_every_row_once(spark):
@@ -48,7 +50,7 @@ def test_full_outer_with_hot_keys_on_both_sides(spark, keys, share):
     right = spark.createDataFrame([(rng.choice([0, 7, 7, 9, None]), rng.choice("xyz"), f"r{i}") for i in range(40)], "k int, b string, rv string")
     if keys != ["k"]:
         right = right.withColumnRenamed("k", "j")
-    got = full_outer_hot(left, right, keys, share=share)
+    got = full_outer_hot(left, right, keys, share=share, least=0)
     want = equi_join(left, right, keys, "full_outer", split_full_outer=False)
     assert got.columns == want.columns and rows(got) == rows(want)
     assert rows(equi_join(left, right, keys, "full_outer")) == rows(want)
@@ -145,34 +147,55 @@ def test_second_loader_is_refused(spark):
     assert load_data(df, name, "merge_upsert", merge_keys=["id"], lock=False).count() == 10
 
 
-def test_stale_lock_is_taken_over_once(spark):
-    name = f"t_stale_{uuid.uuid4().hex[:8]}"
-    owners, barrier = [], threading.Barrier(4)
-    dead = load_lock(spark, name, ttl=0.2)
-    dead.__enter__()
-    time.sleep(0.4)
+@pytest.mark.parametrize("stale", [True, False])
+def test_lock_has_one_owner_at_a_time(spark, stale):
+    """Many threads, a stale lock or none: each gets the lock in turn, never two at once."""
+    name = f"t_turns_{uuid.uuid4().hex[:8]}"
+    inside, most, turns, barrier = [], [], [], threading.Barrier(8)
+    dead = load_lock(spark, name, ttl=0.05)
+    if stale:
+        dead.__enter__()
+        time.sleep(0.2)
 
     def take():
-        barrier.wait(30)
-        try:
-            with load_lock(spark, name) as owner:
-                owners.append(owner)
-                time.sleep(1.5)
-        except TableLockedError:
-            pass
-
-    threads = [threading.Thread(target=take) for _ in range(4)]
+        barrier.wait(60)
+        for _ in range(5):
+            with load_lock(spark, name, wait=120.0) as owner:
+                inside.append(owner)
+                most.append(len(inside))
+                time.sleep(0.005)
+                inside.remove(owner)
+                turns.append(owner)
+
+    threads = [threading.Thread(target=take) for _ in range(8)]
     for t in threads:
         t.start()
     for t in threads:
-        t.join(60)
-    assert len(owners) == 1
-    dead.__exit__(None, None, None)  # its lock is someone else's by now, or gone
+        t.join(240)
+    assert len(turns) == 40 and max(most) == 1
+    if stale:
+        dead.__exit__(None, None, None)  # its lock went to others long ago
     with load_lock(spark, name), pytest.raises(TableLockedError), load_lock(spark, name):
         pass
     assert lock_path(spark, f"spark_catalog.default.{name}") == lock_path(spark, name)
 
 
+def test_half_written_and_left_files(spark):
+    """An empty lock file blocks until it is old; a guard left behind is cleared when it is old."""
+    name = f"t_left_{uuid.uuid4().hex[:8]}"
+    path = lock_path(spark, name).removeprefix("file:")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    open(path, "w").close()
+    with pytest.raises(TableLockedError), load_lock(spark, name):
+        pass
+    open(f"{path}.guard", "w").close()
+    for f in (path, f"{path}.guard"):
+        os.utime(f, (time.time() - 3600,) * 2)
+    with load_lock(spark, name):
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and not os.path.exists(f"{path}.guard")
+
+
 def test_lock_is_released_after_a_failed_load(spark):
     name = f"t_fail_{uuid.uuid4().hex[:8]}"
     load_data(spark.range(2).withColumn("v", F.lit(0)), name)
