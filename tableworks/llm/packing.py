@@ -158,7 +158,7 @@ class ChunkTokenizer:
     whole.  The memory is bounded: it starts anew after ``max_chunks`` chunks.
     """
 
-    def __init__(self, path: str, max_chunks: int = 250_000):
+    def __init__(self, path: str, max_chunks: int = 200_000):
         self.bpe = byte_level_bpe(path)
         self.special = special_strings(path)
         self.cut_special = re.compile("(" + ("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)") + ")")
@@ -278,14 +278,16 @@ _LONG_RUN = re.compile(r"\s{5000,}")
 
 def white_ids(path: str) -> np.ndarray:
     """For each id whether it is white space only."""
-    bpe = byte_level_bpe(path)
-    flags = np.zeros(max(bpe.max_token_value, *special_strings(path).values(), 0) + 1, bool)
+    tokenizer = _tokenizer(path)
+    bpe = tokenizer.bpe
+    flags = np.zeros(max(bpe.max_token_value, *tokenizer.special.values(), 0) + 1, bool)
     for token in bpe.token_byte_values():
         flags[bpe.encode_single_token(token)] = not token.strip()
     return flags
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
+_WHITE: dict[str, np.ndarray] = {}
 
 
 def _tokenizer(path: str) -> ChunkTokenizer:
@@ -345,7 +347,7 @@ class DocumentPacker:
 
     def add(self, doc: object, ids: np.ndarray) -> None:
         """``ids`` are little-endian unsigned 32-bit, the end id last."""
-        loss = np.zeros(len(ids) + 1, np.int64)
+        loss = np.zeros(len(ids) + 1, np.int32)
         np.cumsum(np.ones(len(ids), bool) if self.bearing is None else self.bearing[ids], out=loss[1:])
         loss[-1] = loss[-2] if self.bearing is not None else loss[-1]
         rest = Rest(doc, ids, 0, loss)
@@ -355,6 +357,8 @@ class DocumentPacker:
         if len(rest):
             while not self.pool.free:
                 self.fill()
+            # what waits keeps its own ids only, not those of the texts encoded with it
+            rest = Rest(doc, rest.ids.copy(), rest.start, rest.loss)
             self.pool.add(rest, len(rest), rest.bears())
 
     def fill(self, target: int | None = None) -> int:
@@ -394,8 +398,10 @@ PIECE_COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, seque
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, limits: Limits, slots: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
-    packer = DocumentPacker(part << 40, limits, slots, white_ids(path))
     tok = _tokenizer(path)
+    if path not in _WHITE:
+        _WHITE[path] = white_ids(path)
+    packer = DocumentPacker(part << 40, limits, slots, _WHITE[path])
 
     def out() -> Iterator[pa.RecordBatch]:
         if rows := packer.flush():
