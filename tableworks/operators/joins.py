@@ -454,6 +454,9 @@ def interval_join(
 
 
 DEFAULT_RANGE_BINS = 64
+#: Pairs of rows with equal keys that one task of a range join is to compare.
+PAIRS_PER_CELL = 1 << 25
+_MAX_CELL_PARTITIONS = 1 << 14
 
 
 def range_join(
@@ -473,7 +476,10 @@ def range_join(
     ``op`` is one of ``>=``, ``<=``, ``>``, ``<``.  The comparison is made on the
     original columns on every path, so the rows never depend on the plan.
 
-    * With ``join_keys`` it is an equi-join with the comparison as residual.
+    * With ``join_keys`` it is an equi-join with the comparison as residual.  Where
+      the keys meet in more than ``PAIRS_PER_CELL`` pairs, the pairs of a key are
+      dealt to cells of about that many, so few keys keep all tasks busy and no
+      task holds a whole key.
     * Without, the output is a large share of all pairs, whatever the plan.  A
       side measured at most ``max_broadcast_bytes`` (right first, then left) is
       broadcast; otherwise the right key is cut at its quantiles (finite or
@@ -505,6 +511,10 @@ def range_join(
     lft, rgt = left.alias(LEFT), right.alias(RIGHT)
     if join_keys:
         pairs = key_pairs(join_keys)
+        cells = _in_cells(left, right, pairs)
+        if cells:
+            lft, rgt, same = cells
+            return project(lft.join(rgt, same & compare, "inner").drop(*_cell_columns(pairs)), select_columns)
         cond = reduce(operator.and_, [qualified(LEFT, lk) == qualified(RIGHT, rk) for lk, rk in pairs], compare)
         if fits_broadcast(right, max_broadcast_bytes):
             rgt = F.broadcast(rgt)
@@ -532,6 +542,59 @@ def range_join(
     return project(out, select_columns)
 
 
+def _cell_columns(pairs: Sequence[tuple[str, str]]) -> list[str]:
+    return [*[f"__tw_k{i}" for i in range(len(pairs))], "__tw_lcell", "__tw_rcell"]
+
+
+def _in_cells(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame, Column] | None:
+    """Both sides dealt to cells of at most about ``PAIRS_PER_CELL`` pairs, and when two rows meet.
+
+    ``None`` where the keys meet in no more pairs than that (or their types differ,
+    other than whole numbers of two widths).  A key's rows are cut by a hash of the
+    whole row into slices, about as long on both sides, and each slice meets each
+    slice of the other side in a cell of its own: a pair meets exactly once.  The
+    copies this takes are about ``2 / sqrt(PAIRS_PER_CELL)`` of the pairs.  Exact
+    copies of a row share a slice.
+    """
+    columns = _cell_columns(pairs)
+    keys, whole_number = columns[:-2], (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    types = [(field_type(left, lk), field_type(right, rk)) for lk, rk in pairs]
+    if not all(lt == rt or isinstance(lt, whole_number) and isinstance(rt, whole_number) for lt, rt in types):
+        return None
+    if left.count() * right.count() <= PAIRS_PER_CELL:
+        return None
+
+    def keyed(df: DataFrame, side: int) -> DataFrame:
+        names = [p[side] for p in pairs]
+        cast = [F.col(f"`{c}`") if lt == rt else F.col(f"`{c}`").cast("long") for c, (lt, rt) in zip(names, types)]
+        return df.where(reduce(operator.and_, [F.col(f"`{c}`").isNotNull() for c in names])).withColumns(dict(zip(keys, cast)))
+
+    lft, rgt = keyed(left, 0), keyed(right, 1)
+    met = lft.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tw_ln")).join(rgt.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tw_rn")), keys)
+    ln, rn = F.col("__tw_ln"), F.col("__tw_rn")
+    in_all = met.agg(F.sum(ln.cast("double") * rn)).first()[0] or 0.0
+    if in_all <= PAIRS_PER_CELL:
+        return None
+    side = F.lit(PAIRS_PER_CELL**0.5)
+    hot = met.where(ln.cast("double") * rn > PAIRS_PER_CELL).select(
+        *keys,
+        F.ceil(ln / F.greatest(side, F.lit(PAIRS_PER_CELL) / rn)).alias("__tw_lslices"),
+        F.ceil(rn / F.greatest(side, F.lit(PAIRS_PER_CELL) / ln)).alias("__tw_rslices"),
+    )
+    n = min(max(2 * math.ceil(in_all / PAIRS_PER_CELL), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))), _MAX_CELL_PARTITIONS)
+
+    def dealt(df: DataFrame, names: Sequence[str], own: str, other: str) -> DataFrame:
+        whole = F.xxhash64(*[F.col(f"`{c}`") for c in names if "map<" not in field_type(df, c).simpleString()])
+        slices = {c: F.coalesce(F.col(f"__tw_{c}slices"), F.lit(1)).cast("long") for c in "lr"}
+        # each of the hot keys stands for over PAIRS_PER_CELL pairs of the output's candidates
+        rows = df.join(F.broadcast(hot), keys, "left").withColumn(f"__tw_{own}cell", F.pmod(whole, slices[own]))
+        rows = rows.withColumn(f"__tw_{other}cell", F.explode(F.sequence(F.lit(0).cast("long"), slices[other] - 1)))
+        return rows.drop("__tw_lslices", "__tw_rslices").repartition(n, *columns)
+
+    same = reduce(operator.and_, [qualified(LEFT, c) == qualified(RIGHT, c) for c in columns])
+    return dealt(lft, left.columns, "l", "r").alias(LEFT), dealt(rgt, right.columns, "r", "l").alias(RIGHT), same
+
+
 def _partnered(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, op: str, join_keys: KeySpec | None, how: str, max_broadcast_bytes: int
 ) -> DataFrame:

@@ -270,3 +270,28 @@ def test_hot_band_and_hot_alternative_are_split(spark):
 def test_queries_plan_no_pairs(spark, name):
     plan = final_plan_text(w.QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "double"])
+def test_few_keys_keep_many_tasks_busy(spark, monkeypatch, kind):
+    """The pairs of a hot key are dealt to cells, and each pair still comes exactly once."""
+    import importlib
+
+    monkeypatch.setattr(importlib.import_module("tableworks.operators.joins"), "PAIRS_PER_CELL", 500)
+    rng = random.Random(8)
+    make = {"string": str, "int": int, "double": lambda k: NAN if k == 2 else -0.0 if k == 1 else float(k)}[kind]
+
+    def rows(n):
+        keys = [None if rng.random() < 0.1 else make(rng.choice([0, 0, 0, 0, 1, 2])) for _ in range(n)]
+        return [(i // 2, k, None if rng.random() < 0.1 else rng.choice([NAN, INF, rng.uniform(0, 50)])) for i, k in enumerate(keys)]
+
+    ldf = spark.createDataFrame(rows(130), f"lid int, k {kind}, x double").coalesce(1)
+    rdf = spark.createDataFrame(rows(90) + [(900, make(5), 1.0)], f"rid int, k {'long' if kind == 'int' else kind}, y double").coalesce(1)
+    ldf = ldf.unionByName(ldf.limit(40)).coalesce(1)  # exact copies
+    for op in (">=", "<"):
+        joined = range_join(ldf, rdf, "x", "y", op, join_keys=["k"])
+        same_as_spark(joined, ldf, rdf, f"left_table.k = right_table.k AND left_table.x {op} right_table.y", "inner")
+        busy = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert busy > 8, busy
+    mine = range_join(ldf, ldf, "x", "x", ">", ["left_table.lid", "right_table.lid AS other"], join_keys=["k"])
+    assert mine.count() == ldf.alias("a").join(ldf.alias("b"), F.expr("a.k = b.k AND a.x > b.x")).count()
