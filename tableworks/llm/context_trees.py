@@ -7,12 +7,19 @@ half and half with what its deeper contexts predict, so all depths take part
 with weights that the training data set.  The code length of a text is minus the
 logarithm of its probability.
 
-The counts come from all training texts.  The tree is bounded: only the
-``MAX_CONTEXTS`` most frequent contexts of all depths are nodes of their own (a
-context's endings are at least as frequent, so they are nodes too); the rarer
-contexts under a node share one leaf.  The model, at most 2 * ``MAX_CONTEXTS``
-rows of 2 KB (less where few byte values occur), is broadcast, texts are scored where they lie, and the counts stay
-fixed while scoring.
+The counts come from all training texts, and every context of up to ``DEPTH``
+bytes is a node.  No task holds the trees: what is predicted depends on a context
+and a byte alone, so each distinct gram (context and byte) of the texts gets its
+probability once, and texts meet the probabilities of their grams.
+
+1. Grams are counted, combined per task before the shuffle.
+2. Grams that share their last ``_LOCAL`` context bytes lie in one partition and
+   hold whole subtrees of the context trees: weights go up and predictions come
+   down inside them.  What is above has at most 65,536 contexts, whatever the
+   corpus; it is summed up, weighted on the driver and broadcast.
+3. The up to ``MAX_COMMON_GRAMS`` most frequent grams are broadcast with their
+   probabilities and looked up where texts lie; all others meet theirs in a join,
+   at most one row per text and distinct gram.
 
 A text is its words, lower-cased in A-Z, joined by single spaces, then one end
 byte; the byte 0xFF, which UTF-8 never holds, stands for the end and for what
@@ -33,7 +40,6 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -42,10 +48,13 @@ from pyspark.sql import functions as F
 from tableworks.llm.common import byte_words, workers_find_package, written
 
 DEPTH = 5
-MAX_CONTEXTS = 40_000
 MAX_COMMON_WORDS = 1 << 17
+MAX_COMMON_GRAMS = 1 << 19
 END = 0xFF
 _MERGE_AT = 1 << 21  # grams a task holds before it merges them
+_LOCAL = 3  # context bytes that name a subtree
+_SUBTREE_GRAMS = 1 << 18  # grams of whole subtrees worked on at once; more only where one subtree has more
+_DIGITS = 10**9  # joined digits are summed as whole numbers of this unit: equal texts, equal scores
 _TEXTS = 64  # texts whose words are held at once
 
 
@@ -69,42 +78,58 @@ def _with_history(texts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.n
     return flat, np.flatnonzero(coded_here)
 
 
-def gram_counts(texts: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, byte) codes with counts; the byte is the lowest."""
+def _codes(texts: list[np.ndarray], depth: int) -> np.ndarray:
+    """The (context, byte) code of every coded byte; the byte is the lowest."""
     flat, at = _with_history(texts, depth)
     code = np.zeros(len(at), np.int64)
     for d in range(depth, -1, -1):
         code = (code << 8) | flat[at - d]
-    return np.unique(code, return_counts=True)
+    return code
+
+
+def gram_counts(texts: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (context, byte) codes with counts."""
+    return np.unique(_codes(texts, depth), return_counts=True)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """(gram, n in training texts, seen in all texts) from (text, held_out)."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-        return codes, np.bincount(at, np.concatenate([n for _, n in held]), len(codes)).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        n, seen = (np.bincount(at, np.concatenate([h[i] for h in held]), len(codes)).astype(np.int64) for i in (1, 2))
+        return codes, n, seen
 
     def out() -> Iterator[pa.RecordBatch]:
-        codes, n = merged()
+        columns = merged()
         held.clear()
-        for i in range(0, len(codes), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(codes[i : i + (1 << 18)]), pa.array(n[i : i + (1 << 18)])], ["gram", "n"])
+        for i in range(0, len(columns[0]), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 18)]) for c in columns], ["gram", "n", "seen"])
 
     for batch in batches:
-        texts, size = [], 0
-        for value in batch.column(0):
-            texts.append(coded(byte_words(value.as_py())))
-            size += len(texts[-1])
+        texts: dict[bool, list[np.ndarray]] = {False: [], True: []}
+        size = 0
+
+        def count() -> None:
+            for is_held, some in texts.items():
+                if some:
+                    codes, n = gram_counts(some, depth)
+                    held.append((codes, np.zeros_like(n) if is_held else n, n))
+                    some.clear()
+
+        for value, is_held in zip(batch.column(0), batch.column(1).to_pylist()):
+            one = coded(byte_words(value.as_py()))
+            texts[is_held].append(one)
+            size += len(one)
             if size > 1 << 20:
-                held.append(gram_counts(texts, depth))
-                texts, size = [], 0
-                if sum(len(c) for c, _ in held) > _MERGE_AT:
+                count()
+                size = 0
+                if sum(len(h[0]) for h in held) > _MERGE_AT:
                     held[:] = [merged()]
                     if len(held[0][0]) > _MERGE_AT // 2:
                         yield from out()
-        if texts:
-            held.append(gram_counts(texts, depth))
+        count()
     if held:
         yield from out()
 
@@ -127,7 +152,9 @@ def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ContextTrees:
-    """``step[node, symbol]`` walks one byte deeper; ``log10p[node, symbol]`` predicts.
+    """Trees of a small corpus in one process, as ``build_trees`` makes them.
+
+    ``step[node, symbol]`` walks one byte deeper; ``log10p[node, symbol]`` predicts.
 
     ``symbol_of`` maps bytes to columns; all bytes that never occur in training
     share the last column and, evenly, its probability.
@@ -245,30 +272,166 @@ def _mixed(zeros: np.ndarray, ones: np.ndarray, parent: np.ndarray, levels: list
     return np.clip(mixed, 1e-12, 1 - 1e-12)
 
 
-def fit_trees(training: DataFrame, depth: int = DEPTH, max_contexts: int = MAX_CONTEXTS) -> ContextTrees:
-    """Context trees of a one-column DataFrame of texts; all rows are counted."""
-    grams = written(
-        training.mapInArrow(partial(_count_grams, depth=depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "byte-grams"
-    )
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    levels, frequent = [], []
-    for d in range(depth + 1):
-        code = F.col("gram").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1))
-        pairs = grams.groupBy(code.alias("code")).agg(F.sum("n").alias("n")) if d < depth else grams.select(F.col("gram").alias("code"), "n")
-        pairs = pairs.select(F.lit(d).alias("depth"), F.shiftright("code", 8).alias("context"), F.col("code").bitwiseAND(F.lit(255)).alias("byte"), "n")
-        # a share of 1 / max_contexts: at most that many contexts of this depth
-        totals = pairs.groupBy("depth", "context").agg(F.sum("n").alias("m"))
-        frequent.append(totals.filter(F.col("m") * max_contexts >= total).toPandas())
-        levels.append(pairs)
-    kept = pd.concat(frequent).sort_values(["m", "depth", "context"], ascending=[False, True, True]).head(max_contexts)
-    rows: list[tuple[int, int, int, int]] = []
-    for d, pairs in enumerate(levels):
-        contexts = kept.loc[kept.depth == d, ["context"]]
-        if len(contexts):
-            chosen = F.broadcast(grams.sparkSession.createDataFrame(contexts, "context long"))
-            # at most 256 rows for each of the chosen contexts
-            rows += pairs.join(chosen, "context").select("depth", "context", "byte", "n").toPandas().itertuples(index=False, name=None)
-    return build_trees(rows, depth)
+def _above(key: np.ndarray, d: int) -> np.ndarray:
+    """(context of d bytes, byte prefix or place) keys of nodes from those of deeper ones."""
+    return ((key >> 8) & ((1 << (8 * d)) - 1)) << 8 | key & 255
+
+
+def _up(
+    key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray | None, depth: int, base: int
+) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Weights from level ``depth`` up to ``base``, for nodes with sorted distinct keys.
+
+    Per level (share of the own estimate, estimate of a one, place of the parent);
+    and (key, zeros, ones, weight) of level ``base``.  ``children`` is None for leaves.
+    """
+    levels = []
+    for d in range(depth, base - 1, -1):
+        seen = zeros + ones
+        own = np.where(seen > 0, _log_kt(zeros, ones), 0.0)
+        weighted = own if children is None else np.logaddexp(own, children) - math.log(2)
+        share = np.ones(len(own)) if children is None else np.exp(own - math.log(2) - weighted)
+        parents, up = np.unique(_above(key, d - 1), return_inverse=True) if d > base else (key, np.arange(len(key)))
+        levels.append((share, (ones + 0.5) / (seen + 1.0), up))
+        if d > base:
+            key = parents
+            zeros, ones, children = (np.bincount(up, x, len(key)) for x in (zeros, ones, weighted))
+    return levels, (key, zeros, ones, weighted)
+
+
+def predict_subtrees(gram: np.ndarray, n: np.ndarray, depth: int, base: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For sorted distinct grams of whole subtrees under contexts of ``base`` bytes.
+
+    The probability of each of the 8 bits by the subtree alone, and what the level
+    above sums up: (context and place, zeros, ones, weight).
+    """
+    byte = gram & 255
+    bits = np.empty((len(gram), 8), np.float32)
+    above: list[tuple[np.ndarray, ...]] = []
+    for k in range(8):
+        bit = (byte >> (7 - k)) & 1
+        key = (gram >> 8) << 8 | byte >> (8 - k)
+        new = np.append(True, key[1:] != key[:-1])
+        at = np.cumsum(new) - 1
+        ones, both = np.bincount(at, n * bit), np.bincount(at, n)
+        levels, (top, *sums) = _up(key[new], both - ones, ones, None, depth, base)
+        node, one = np.arange(len(ones)), np.zeros(len(ones))
+        for share, estimate, up in levels:  # from the leaves: each level mixes its own in
+            one = share[node] * estimate[node] + (1 - share[node]) * one
+            node = up[node]
+        one = one[at]
+        bits[:, k] = np.where(bit, one, 1 - one)
+        if base:
+            parents, up = np.unique(_above(top, base - 1) + (2**k - 1), return_inverse=True)
+            above.append((parents, *(np.bincount(up, x, len(parents)) for x in sums)))
+    return bits, [np.concatenate(c) for c in zip(*above)]
+
+
+def _predict(batches: Iterator[pa.RecordBatch], depth: int, base: int) -> Iterator[pa.RecordBatch]:
+    """Rows of grams with their 8 bits, and rows of nodes for the level above, from rows sorted by subtree."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def out(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(columns[0])
+        gram, n, seen = (c[order] for c in columns)
+        bits, above = predict_subtrees(gram, n, depth, base)
+        for i in range(0, len(gram), 1 << 16):
+            part = bits[i : i + (1 << 16)]
+            offsets = pa.py_buffer(np.arange(0, 32 * len(part) + 1, 32, dtype=np.int32))
+            packed = pa.Array.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(part.tobytes())])
+            none = [pa.nulls(len(part), t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(gram[i : i + len(part)]), pa.array(seen[i : i + len(part)]), packed, *none], _PREDICTED)
+        if above:
+            rows = len(above[0])
+            none = [pa.nulls(rows, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, *map(pa.array, above)], _PREDICTED)
+
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size > _SUBTREE_GRAMS:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            subtree = _above(columns[0], base) >> 8
+            whole = int(np.flatnonzero(subtree != subtree[-1]).max(initial=-1)) + 1
+            if whole:
+                yield from out([c[:whole] for c in columns])
+            # a single larger subtree is held until it ends
+            held = [[c[whole:] for c in columns]]
+            size = 0 if len(columns[0]) - whole > _SUBTREE_GRAMS // 2 else len(columns[0]) - whole
+    if held and sum(len(h[0]) for h in held):
+        yield from out([np.concatenate(c) for c in zip(*held)])
+
+
+_PREDICTED = ["gram", "seen", "bits", "node", "zeros", "ones", "weight"]
+
+
+def _top(rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, mixed, left) of the nodes of ``depth`` bytes: the prediction of all levels down to there, and the weight left below."""
+    rows = rows[np.argsort(rows[:, 0])]
+    key = rows[:, 0].astype(np.int64)
+    levels, _ = _up(key, rows[:, 1], rows[:, 2], rows[:, 3], depth, 0)
+    path = [np.arange(len(key))]
+    for _, _, up in levels[:-1]:
+        path.append(up[path[-1]])
+    mixed, left = np.zeros(len(key)), np.ones(len(key))
+    for (share, estimate, _), node in zip(reversed(levels), reversed(path)):
+        mixed += left * share[node] * estimate[node]
+        left *= 1 - share[node]
+    return key, mixed, left
+
+
+def _digits(batches: Iterator[pa.RecordBatch], base: int, top) -> Iterator[pa.RecordBatch]:
+    """(gram, seen, log10 probability of its byte after its context)."""
+    keys, mixed, left = top.value
+    for batch in batches:
+        gram = batch.column(0).to_numpy()
+        column = batch.column(2)
+        bits = np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, 8).astype(float)
+        digits = np.zeros(len(gram))
+        for k in range(8):
+            p = bits[:, k]
+            if base:
+                place = (2**k - 1) + ((gram & 255) >> (8 - k))
+                at = np.searchsorted(keys, _above(gram >> 8 << 8 | place, base - 1))
+                upper = np.where((gram >> (7 - k)) & 1, mixed[at], 1 - left[at] - mixed[at])
+                p = upper + left[at] * p
+            digits += np.log10(np.clip(p, 1e-12, 1 - 1e-12))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digits)], ["gram", "seen", "digits"])
+
+
+def gram_digits(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, seen, digits) of every gram of (text, held_out) rows, by the context trees of all texts not held out."""
+    sc = texts.sparkSession.sparkContext
+    base = min(_LOCAL, depth)
+    subtree = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << (8 * base)) - 1))
+    grams = texts.mapInArrow(partial(_count_grams, depth=depth), "gram long, n long, seen long").withColumn("subtree", subtree)
+    grams = grams.repartition("subtree").groupBy("subtree", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    grams = grams.sortWithinPartitions("subtree").select("gram", "n", "seen")
+    kinds = "gram long, seen long, bits binary, node long, zeros double, ones double, weight double"
+    predicted = written(grams.mapInArrow(partial(_predict, depth=depth, base=base), kinds), "gram-bits")
+    top = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+    if base:
+        nodes = predicted.filter(F.col("node").isNotNull()).groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weight"))
+        # contexts of two bytes with 255 places at most, whatever the corpus
+        rows = np.stack([c.to_numpy().astype(float) for c in nodes.toArrow().columns], axis=1)
+        if len(rows):
+            top = _top(rows, base - 1)
+    found = predicted.filter(F.col("gram").isNotNull()).select("gram", "seen", "bits")
+    return written(found.mapInArrow(partial(_digits, base=base, top=sc.broadcast(top)), "gram long, seen long, digits double"), "gram-digits")
+
+
+def _most_seen(digits: DataFrame) -> Column:
+    """True for grams seen often enough that at most ``MAX_COMMON_GRAMS`` are."""
+    step = F.floor(F.log2("seen") * 16)
+    steps = sorted(digits.groupBy(step.alias("step")).count().collect(), reverse=True)  # some hundred rows at most
+    least, so_far = None, 0
+    for r in steps:
+        so_far += r["count"]
+        if so_far > MAX_COMMON_GRAMS:
+            break
+        least = r["step"]
+    return F.lit(False) if least is None else step >= least
 
 
 # -- scoring, with the base of word counts -------------------------------------
@@ -298,29 +461,31 @@ def _split_common(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.where(common[at] == h, at, -1)
 
 
-def _rare_words(batches: Iterator[pa.RecordBatch], common) -> Iterator[pa.RecordBatch]:
-    """(row, word, n) of the words that aren't common, and a marker row per text."""
-    known = common.value[0]
+def _rare(batches: Iterator[pa.RecordBatch], common, grams, depth: int) -> Iterator[pa.RecordBatch]:
+    """(row, is_gram, item, n) of the words and grams that aren't common, and a marker row per text."""
+    known, known_grams = common.value[0], grams.value[0]
     for batch in batches:
         for first in range(0, batch.num_rows, _TEXTS):
             some = batch.slice(first, _TEXTS)
-            rows, words, counts = [], [], []
+            out: list[tuple[np.ndarray, ...]] = []
             for row, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                w, n = np.unique(_hashes(byte_words(text)), return_counts=True)
+                words = byte_words(text)
+                w, n = np.unique(_hashes(words), return_counts=True)
                 rare = _split_common(w, known) < 0
+                g = _codes([coded(words)], depth)
+                g, m = np.unique(g[_split_common(g, known_grams) < 0], return_counts=True)
                 w, n = w[rare], n[rare]
-                rows.append(np.full(len(w) + 1, row, np.int64))
-                words.append(np.append(w, row))  # the marker goes where its row's key leads
-                counts.append(np.append(n, -1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(words)), pa.array(np.concatenate(counts).astype(np.int32))], ["row", "word", "n"]
-            )
+                size = len(w) + len(g) + 1
+                # the marker goes where its row's key leads
+                out.append((np.full(size, row, np.int64), np.arange(size) > len(w), np.concatenate([w, [row], g]), np.concatenate([n, [-1], m])))
+            rows, is_gram, item, count = (np.concatenate(c) for c in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(is_gram), pa.array(item), pa.array(count.astype(np.int32))], ["row", "is_gram", "item", "n"])
 
 
-def _score(batches: Iterator[pa.RecordBatch], common, trees) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], common, grams, depth: int) -> Iterator[pa.RecordBatch]:
     known, count, scale = common.value
     weight = np.log10((count + 0.5) / scale) if len(known) else np.zeros(0)
-    model: ContextTrees = trees.value
+    known_grams, digits = grams.value
     for batch in batches:
         for first in range(0, batch.num_rows, _TEXTS):
             some = [byte_words(t) for t in batch.column(1).slice(first, _TEXTS).to_pylist()]
@@ -331,12 +496,15 @@ def _score(batches: Iterator[pa.RecordBatch], common, trees) -> Iterator[pa.Reco
                 n_known.append(len(at))
                 base.append(float(weight[at].sum()))
             part = batch.slice(first, len(some))
-            score = model.score([coded(words) for words in some])
+            texts = [coded(words) for words in some]
+            at = _split_common(_codes(texts, depth), known_grams)
+            own = np.where(at < 0, 0.0, digits[at]) if len(digits) else np.zeros(len(at))
+            score = np.add.reduceat(own, np.cumsum([0, *(len(t) for t in texts[:-1])]))
             size = [sum(map(len, words)) + len(words) for words in some]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), part.column(3), pa.array([len(w) + 1 for w in some], pa.int64()), pa.array(n_known, pa.int64()),
                  pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array([max(s, 1) for s in size], pa.int64())],
-                ["row", "id", "held_out", "n_tokens", "common_known", "common_base", "score", "n_bytes"],
+                ["row", "id", "held_out", "n_tokens", "common_known", "common_base", "common_score", "n_bytes"],
             )
 
 
@@ -344,8 +512,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte) per row.
 
     Words that hold at least ``1 / MAX_COMMON_WORDS`` of the training tokens are
-    at most that many and are broadcast with their counts; all others meet their
-    counts in a join, at most one row per text and distinct word.
+    at most that many and are broadcast with their counts, the most frequent grams
+    with their digits; all others meet their values in a join, at most one row per
+    text and distinct word or gram.
     """
     workers_find_package(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
@@ -362,24 +531,35 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is_common = (F.col("c") * MAX_COMMON_WORDS >= total) | (F.col("word") == END_HASH)
     common = sorted((r["word"], r["c"]) for r in vocabulary.filter(is_common).collect())
     shared = sc.broadcast((np.array([w for w, _ in common], np.int64), np.array([c for _, c in common], float), scale))
-    trees = sc.broadcast(fit_trees(training, depth))
-
-    rare = one.select("row", "text").mapInArrow(partial(_rare_words, common=shared), "row long, word long, n int")
-    counted = rare.join(vocabulary.filter(~is_common), "word", "left")
+    digits = gram_digits(one.select("text", "held_out"), depth)
+    often = _most_seen(digits)
+    frequent = digits.filter(often).select("gram", "digits").toArrow()
+    codes = frequent["gram"].to_numpy()
+    order = np.argsort(codes)
+    grams = sc.broadcast((codes[order], frequent["digits"].to_numpy()[order]))
+    del frequent, codes, order
+
+    rare = one.select("row", "text").mapInArrow(partial(_rare, common=shared, grams=grams, depth=depth), "row long, is_gram boolean, item long, n int")
+    values = vocabulary.filter(~is_common).select(F.lit(False).alias("is_gram"), F.col("word").alias("item"), "c", F.lit(None).cast("double").alias("digits"))
+    values = values.unionByName(digits.filter(~often).select(F.lit(True).alias("is_gram"), F.col("gram").alias("item"), F.lit(None).cast("long").alias("c"), "digits"))
+    counted = rare.join(values, ["is_gram", "item"], "left")
     marker = F.col("n") < 0
+    word = ~F.col("is_gram") & ~marker
     value = F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / F.lit(scale)) * F.col("n")
     # rows with equal id and text share a key: their sums are divided by how many they are
     by_row = counted.groupBy("row").agg(
         F.sum(F.when(marker, 1).otherwise(0)).alias("copies"),
-        F.sum(F.when(~marker, value).otherwise(0.0)).alias("rare_base"),
-        F.sum(F.when(~marker & F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
+        F.sum(F.when(word, value).otherwise(0.0)).alias("rare_base"),
+        F.sum(F.when(word & F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
+        F.sum(F.when(F.col("is_gram"), F.round(F.col("digits") * _DIGITS).cast("long") * F.col("n")).otherwise(0)).alias("rare_digits"),
     )
     scored = one.select("row", "text", "id", "held_out").mapInArrow(
-        partial(_score, common=shared, trees=trees),
-        "row long, id long, held_out boolean, n_tokens long, common_known long, common_base double, score double, n_bytes long",
+        partial(_score, common=shared, grams=grams, depth=depth),
+        "row long, id long, held_out boolean, n_tokens long, common_known long, common_base double, common_score double, n_bytes long",
     )
+    scored = scored.join(by_row, "row").withColumn("score", F.col("common_score") + F.col("rare_digits") / F.col("copies") / _DIGITS)
     end = 0.0 if common else math.log10(0.5 / scale)  # without training texts the end is unknown as well
-    return scored.join(by_row, "row").select(
+    return scored.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("common_known") + (F.col("rare_known") / F.col("copies")).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

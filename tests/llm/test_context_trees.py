@@ -155,3 +155,38 @@ def test_edges(spark):
     assert (r["train_tokens"], r["n_known"], r["n_tokens"]) == (0, 0, 3)
     assert r["base_score"] == pytest.approx(3 * math.log10(0.5 / 0.5))
     assert r["score"] == pytest.approx(-4 * 8 * math.log10(2), rel=1e-6)
+
+
+def test_every_context_counts(spark, monkeypatch):
+    """More contexts than the old 40,000; all predictions as the trees of the whole corpus give them."""
+    import random
+
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzäß語"
+    docs = [(i, " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(60))) for i in range(400)]
+    docs += [(900, None), (901, docs[3][1]), (901, docs[3][1])]
+    train = [T.coded(words(t)) for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1]
+    whole = model(train, 5)
+    assert len(whole.step) > 80_000
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(T, "_SUBTREE_GRAMS", 100)
+    for common in (T.MAX_COMMON_GRAMS, 500, 0):
+        monkeypatch.setattr(T, "MAX_COMMON_GRAMS", common)
+        rows = T.score_texts(df).collect()
+        assert len(rows) == len(docs)
+        for r in rows:
+            text = next(t for i, t in docs if i == r["doc_id"])
+            assert r["score"] == pytest.approx(whole.score([T.coded(words(text))])[0], rel=1e-5)
+        assert len({r["score"] for r in rows if r["doc_id"] in (3, 901)}) == 1
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4])
+def test_distributed_trees_match_the_direct_recursion(spark, depth):
+    texts = ["abra cadabra", "abracad abra", "banana", None]
+    held = ["zebra abra", "aé"]
+    df = spark.createDataFrame([(t, False) for t in texts] + [(t, True) for t in held], "text string, held_out boolean")
+    digits = {r["gram"]: r["digits"] for r in T.gram_digits(df, depth).collect()}
+    train = [T.coded(words(t)) for t in texts]
+    for t in texts + held:
+        one = T.coded(words(t))
+        assert sum(digits[g] for g in T._codes([one], depth).tolist()) == pytest.approx(direct(train, one, depth), rel=1e-5)
