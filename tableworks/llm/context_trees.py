@@ -81,10 +81,11 @@ def _with_history(texts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.n
 def _codes(texts: list[np.ndarray], depth: int) -> np.ndarray:
     """The (context, byte) code of every coded byte; the byte is the lowest."""
     flat, at = _with_history(texts, depth)
-    code = np.zeros(len(at), np.int64)
+    code = np.zeros(len(flat) - depth, np.int64)
     for d in range(depth, -1, -1):
-        code = (code << 8) | flat[at - d]
-    return code
+        code <<= 8
+        code |= flat[depth - d : len(flat) - d]
+    return code[at - depth]
 
 
 def gram_counts(texts: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -461,51 +462,82 @@ def _split_common(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.where(common[at] == h, at, -1)
 
 
-def _rare(batches: Iterator[pa.RecordBatch], common, grams, depth: int) -> Iterator[pa.RecordBatch]:
-    """(row, is_gram, item, n) of the words and grams that aren't common, and a marker row per text."""
-    known, known_grams = common.value[0], grams.value[0]
-    for batch in batches:
-        for first in range(0, batch.num_rows, _TEXTS):
-            some = batch.slice(first, _TEXTS)
-            out: list[tuple[np.ndarray, ...]] = []
-            for row, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                words = byte_words(text)
-                w, n = np.unique(_hashes(words), return_counts=True)
-                rare = _split_common(w, known) < 0
-                g = _codes([coded(words)], depth)
-                g, m = np.unique(g[_split_common(g, known_grams) < 0], return_counts=True)
-                w, n = w[rare], n[rare]
-                size = len(w) + len(g) + 1
-                # the marker goes where its row's key leads
-                out.append((np.full(size, row, np.int64), np.arange(size) > len(w), np.concatenate([w, [row], g]), np.concatenate([n, [-1], m])))
-            rows, is_gram, item, count = (np.concatenate(c) for c in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(is_gram), pa.array(item), pa.array(count.astype(np.int32))], ["row", "is_gram", "item", "n"])
+class _Lookup:
+    """Values of 64-bit keys in an open-addressed table, asked for by the array."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = 64 - max(4, (4 * len(keys) - 1).bit_length())
+        size = 1 << (64 - self.shift)
+        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size)  # no code is negative
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = keys[free]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & (size - 1)
+        self.values[slot] = values
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, 0 for an unknown key, and which keys are known."""
+        slot = self._slots(keys)
+        there = self.keys[slot]
+        known = there == keys
+        left = np.flatnonzero(~known & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            there = self.keys[slot[left]]
+            known[left] = there == keys[left]
+            left = left[~known[left] & (there >= 0)]
+        return np.where(known, self.values[slot], 0.0), known
+
+
+_SCORED = pa.struct(
+    [("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("common_known", pa.int64()),
+     ("common_base", pa.float64()), ("common_score", pa.float64()), ("n_bytes", pa.int64())]
+)
 
 
 def _score(batches: Iterator[pa.RecordBatch], common, grams, depth: int) -> Iterator[pa.RecordBatch]:
+    """(row, is_gram, item, n, scored): a row per text with what the common words and grams give, and its others."""
     known, count, scale = common.value
     weight = np.log10((count + 0.5) / scale) if len(known) else np.zeros(0)
-    known_grams, digits = grams.value
+    table = _Lookup(*grams.value)
     for batch in batches:
         for first in range(0, batch.num_rows, _TEXTS):
-            some = [byte_words(t) for t in batch.column(1).slice(first, _TEXTS).to_pylist()]
-            n_known, base = [], []
-            for words in some:
-                at = _split_common(np.append(_hashes(words), END_HASH), known)
-                at = at[at >= 0]
-                n_known.append(len(at))
-                base.append(float(weight[at].sum()))
-            part = batch.slice(first, len(some))
+            part = batch.slice(first, _TEXTS)
+            some = [byte_words(t) for t in part.column(1).to_pylist()]
             texts = [coded(words) for words in some]
-            at = _split_common(_codes(texts, depth), known_grams)
-            own = np.where(at < 0, 0.0, digits[at]) if len(digits) else np.zeros(len(at))
-            score = np.add.reduceat(own, np.cumsum([0, *(len(t) for t in texts[:-1])]))
-            size = [sum(map(len, words)) + len(words) for words in some]
+            codes = _codes(texts, depth)
+            digits, is_known = table.get(codes)
+            starts = np.cumsum([0, *(len(t) for t in texts)])
+            score = np.add.reduceat(digits, starts[:-1])
+            out: list[tuple[np.ndarray, ...]] = []
+            n_known, base, marks, rows = [], [], [], 0
+            for k, (row, words) in enumerate(zip(part.column(0).to_pylist(), some)):
+                hashes = np.append(_hashes(words), END_HASH)
+                at = _split_common(hashes, known)
+                base.append(float(weight[at[at >= 0]].sum()))
+                n_known.append(int((at >= 0).sum()))
+                w, n = np.unique(hashes[:-1][at[:-1] < 0], return_counts=True)
+                mine = slice(starts[k], starts[k + 1])
+                g, m = np.unique(codes[mine][~is_known[mine]], return_counts=True)
+                size = len(w) + len(g) + 1
+                # the text's own row goes where its key leads
+                out.append((np.full(size, row, np.int64), np.arange(size) > len(w), np.concatenate([w, [row], g]), np.concatenate([n, [-1], m])))
+                marks.append(rows + len(w))
+                rows += size
+            columns = [part.column(2), part.column(3), pa.array([len(w) + 1 for w in some], pa.int64()), pa.array(n_known, pa.int64()),
+                       pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array([len(t) for t in texts], pa.int64())]
+            place = np.full(rows, -1)
+            place[marks] = np.arange(len(some))
+            scored = pa.StructArray.from_arrays(columns, fields=list(_SCORED)).take(pa.array(place, mask=place < 0))
+            row, is_gram, item, n = (np.concatenate(c) for c in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), part.column(3), pa.array([len(w) + 1 for w in some], pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.array([max(s, 1) for s in size], pa.int64())],
-                ["row", "id", "held_out", "n_tokens", "common_known", "common_base", "common_score", "n_bytes"],
-            )
+                [pa.array(row), pa.array(is_gram), pa.array(item), pa.array(n.astype(np.int32)), scored], ["row", "is_gram", "item", "n", "scored"]
+            )
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -539,25 +571,27 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grams = sc.broadcast((codes[order], frequent["digits"].to_numpy()[order]))
     del frequent, codes, order
 
-    rare = one.select("row", "text").mapInArrow(partial(_rare, common=shared, grams=grams, depth=depth), "row long, is_gram boolean, item long, n int")
+    schema = (
+        "row long, is_gram boolean, item long, n int, scored struct<id: long, held_out: boolean, n_tokens: long, "
+        "common_known: long, common_base: double, common_score: double, n_bytes: long>"
+    )
+    rows = one.select("row", "text", "id", "held_out").mapInArrow(partial(_score, common=shared, grams=grams, depth=depth), schema)
     values = vocabulary.filter(~is_common).select(F.lit(False).alias("is_gram"), F.col("word").alias("item"), "c", F.lit(None).cast("double").alias("digits"))
     values = values.unionByName(digits.filter(~often).select(F.lit(True).alias("is_gram"), F.col("gram").alias("item"), F.lit(None).cast("long").alias("c"), "digits"))
-    counted = rare.join(values, ["is_gram", "item"], "left")
+    counted = rows.join(values, ["is_gram", "item"], "left")
     marker = F.col("n") < 0
     word = ~F.col("is_gram") & ~marker
     value = F.log10((F.coalesce(F.col("c"), F.lit(0)) + 0.5) / F.lit(scale)) * F.col("n")
-    # rows with equal id and text share a key: their sums are divided by how many they are
+    # rows with equal id and text share a key: their sums are divided by how many they are, and each comes out
     by_row = counted.groupBy("row").agg(
         F.sum(F.when(marker, 1).otherwise(0)).alias("copies"),
+        *[F.max(f"scored.{f.name}").alias(f.name) for f in _SCORED],
         F.sum(F.when(word, value).otherwise(0.0)).alias("rare_base"),
         F.sum(F.when(word & F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
         F.sum(F.when(F.col("is_gram"), F.round(F.col("digits") * _DIGITS).cast("long") * F.col("n")).otherwise(0)).alias("rare_digits"),
     )
-    scored = one.select("row", "text", "id", "held_out").mapInArrow(
-        partial(_score, common=shared, grams=grams, depth=depth),
-        "row long, id long, held_out boolean, n_tokens long, common_known long, common_base double, common_score double, n_bytes long",
-    )
-    scored = scored.join(by_row, "row").withColumn("score", F.col("common_score") + F.col("rare_digits") / F.col("copies") / _DIGITS)
+    scored = by_row.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    scored = scored.withColumn("score", F.col("common_score") + F.col("rare_digits") / F.col("copies") / _DIGITS)
     end = 0.0 if common else math.log10(0.5 / scale)  # without training texts the end is unknown as well
     return scored.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
