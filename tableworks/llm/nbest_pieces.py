@@ -142,36 +142,47 @@ class Pieces:
         back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (size + 1)
         best[0] = 0.0
         done = 0
-
-        def unknown(end: int) -> None:
-            if chunk[end - 1] not in self.ids:
-                edge(end - 1, end, self.unknown, self.fallback(chunk[end - 1]))
-
-        def edge(start: int, end: int, s: float, piece: tuple[int, ...]) -> None:
-            score = best[start] + s
-            if score > best[end]:
-                second[end] = best[end] if best[end] > second[end] else second[end]
-                best[end], back[end] = score, (start, piece)
-            elif score > second[end]:
-                second[end] = score
-            if second[start] + s > second[end]:
-                second[end] = second[start] + s
-
+        # the step of an edge stands here as it is: a call for each costs more than the step
         for last, (length, s, piece) in self.automaton.iter(chunk):
             while done < last:
                 done += 1
-                unknown(done)
-            edge(last + 1 - length, last + 1, s, piece)
+                self._unknown_step(chunk, done, best, second, back)
+            end = last + 1
+            start = end - length
+            score, reached = best[start] + s, best[end]
+            if score > reached:
+                if reached > second[end]:
+                    second[end] = reached
+                best[end], back[end] = score, (start, piece)
+            elif score > second[end]:
+                second[end] = score
+            score = second[start] + s
+            if score > second[end]:
+                second[end] = score
             if length == 1:
-                done = last + 1
+                done = end
         while done < size:
             done += 1
-            unknown(done)
+            self._unknown_step(chunk, done, best, second, back)
         parts, at = [], size
         while at:
             at, piece = back[at]
             parts.append(piece)
-        return best[size], tuple(i for piece in reversed(parts) for i in piece), best[size] - second[size]
+        ids: list[int] = []
+        for piece in reversed(parts):
+            ids += piece
+        return best[size], tuple(ids), best[size] - second[size]
+
+    def _unknown_step(self, chunk: str, end: int, best: list[float], second: list[float], back: list) -> None:
+        """A character without a piece of its own, in ``best_two``."""
+        if chunk[end - 1] not in self.ids:
+            score = best[end - 1] + self.unknown
+            if score > best[end]:
+                second[end] = max(second[end], best[end])
+                best[end], back[end] = score, (end - 1, self.fallback(chunk[end - 1]))
+            elif score > second[end]:
+                second[end] = score
+            second[end] = max(second[end], second[end - 1] + self.unknown)
 
     def _unknown_edge(self, chunk: str, end: int, best: list[float], into: list[list]) -> None:
         if chunk[end - 1] not in self.ids:

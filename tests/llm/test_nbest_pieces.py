@@ -113,3 +113,13 @@ def test_encode_then_decode_in_spark(spark):
     assert {r["doc_id"]: r["text"] for r in S.decode_pieces(none, FILE).collect()} == {1: None, 2: ""}
     with pytest.raises(ValueError):
         S.decode_pieces(back, FILE)
+
+
+def test_best_two_against_all_segmentations(encoder):
+    rng = random.Random(5)
+    for _ in range(300):
+        chunk = S.SPACE_MARK + "".join(rng.choice("thean=é日\U0001f600") for _ in range(rng.randrange(1, 9)))
+        score, ids, gap = encoder.pieces.best_two(chunk)
+        found = every(encoder.pieces, chunk)
+        assert (score, ids) in found and score == found[0][0]
+        assert gap == (found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
