@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableworks.llm.common import byte_words, workers_find_package, written
+from tableworks.llm.common import byte_words, slices, workers_find_package, written
 from tableworks.llm.graph import components
 
 SHINGLE_WORDS = 5
@@ -156,7 +156,7 @@ SIGNATURE = "id long, n_shingles long, set_key binary, regs binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         n, key, regs = [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text)
@@ -170,10 +170,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bands(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         regs = batch.column("regs").to_pylist()
-        if not regs:
-            continue
         keys = np.concatenate([band_keys(np.frombuffer(r, "<u2"), rows) for r in regs]).view(np.int64)
         at = pa.array(np.repeat(np.arange(len(regs)), BUCKETS // rows))
         yield pa.RecordBatch.from_arrays(
@@ -182,23 +180,18 @@ def _bands(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first in range(0, batch.num_rows, 512):
-            some = batch.slice(first, 512)
-            sets = [shingle_set(t).view(np.int64) for t in some.column(1).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [some.column(0).cast(pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["id", "shingles"]
-            )
+    for some in slices(batches):
+        sets = [shingle_set(t).view(np.int64) for t in some.column(1).to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [some.column(0).cast(pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))], ["id", "shingles"]
+        )
 
 
 def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose corrected estimate reaches the floor and whose sizes allow the threshold."""
     floor = estimate_floor(percent)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches):
         na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
         ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, BUCKETS) for c in ("ra", "rb"))
         estimate = estimated_jaccard(ra, rb, na, nb)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tableworks.llm.common import workers_find_package
+from tableworks.llm.common import slices, workers_find_package
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -146,7 +146,7 @@ RULES: dict[str, Callable[[Page], bool]] = {
 def _measure(batches: Iterator[pa.RecordBatch], rules: dict[str, Callable[[Page], bool]]) -> Iterator[pa.RecordBatch]:
     """Seconds and rejections of every rule, each on a page of its own."""
     spent, rejected, seen = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0), 0
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0).to_pylist():
             seen += 1
             for name, rule in rules.items():
@@ -188,7 +188,7 @@ def rule_order(
 
 
 def _judge(batches: Iterator[pa.RecordBatch], cascade: list[tuple[str, Callable[[Page], bool]]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         bases, failed, first = [], [], []
         for text in batch.column(batch.num_columns - 1).to_pylist():
             page = Page(text)
@@ -233,7 +233,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text", rules: dict[str, Cal
 
 
 def _keep(batches: Iterator[pa.RecordBatch], cascade: list[tuple[str, Callable[[Page], bool]]], at: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         keep = []
         for text in batch.column(at).to_pylist():
             page = Page(text)
